@@ -240,3 +240,78 @@ LEFT JOIN (
     FROM lineitem) WHERE rn = 1) x
   ON o.o_orderkey = x.l_orderkey
 """
+
+_ODS = f"""
+SELECT o.o_orderkey AS order_id, CAST(o.o_orderdate AS DATE) AS order_date,
+       CAST(SUM({_LINE_TOTAL}) AS DECIMAL(19,4)) AS order_total, o.o_custkey AS customer_id
+FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+WHERE CAST(o.o_orderdate AS DATE) BETWEEN DATE '{{first}}' AND DATE '{{last}}'
+GROUP BY o.o_orderkey, o.o_orderdate, o.o_custkey
+"""
+
+ORACLE["guarded_daily_load"] = _ODS.format(first="1996-01-01", last="1996-01-05")
+
+ORACLE["rolling_reload"] = _ODS.format(first="1996-01-03", last="1996-01-10")
+
+ORACLE["typed_migration"] = """
+SELECT event_id AS stock_item_id, event_type AS stock_item_name, user_id AS supplier_id,
+       CAST(value AS DECIMAL(18,3)) AS typical_weight_before_unit,
+       json_extract_string(props, '$.k') AS country_of_manufacture,
+       CAST(date_diff('day', CAST(ts AS DATE), CAST(ts + to_days(CAST(floor(value) AS INTEGER)) AS DATE)) AS INTEGER) AS range_days,
+       CAST((year(ts + to_days(CAST(floor(value) AS INTEGER))) - year(ts)) * 12
+            + month(ts + to_days(CAST(floor(value) AS INTEGER))) - month(ts) AS INTEGER) AS shelf_life_months
+FROM events
+"""
+
+ORACLE["json_shred_load"] = """
+SELECT (SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY o_orderkey) AS stock_item_id,
+       o_orderpriority AS stock_item_name, o_custkey AS supplier_id, 1 AS unit_package_id,
+       CAST(length(o_orderpriority) AS INTEGER) AS outer_package_id, o_orderstatus AS brand,
+       5 AS lead_time_days, 1 AS quantity_per_outer, CAST(6 AS DECIMAL(18,3)) AS tax_rate,
+       CAST(o_totalprice AS DECIMAL(18,2)) AS unit_price,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) * CAST(1.25 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS recommended_retail_price,
+       CAST(0.5 AS DECIMAL(18,3)) AS typical_weight_per_unit,
+       to_json(struct_pack("CountryOfManufacture" := o_orderstatus))::VARCHAR AS custom_fields,
+       TIMESTAMP '2016-05-31 23:00:00' AS valid_from, TIMESTAMP '9999-12-31 23:59:59.999999' AS valid_to
+FROM orders
+"""
+
+ORACLE["json_shred_purchase_orders"] = """
+SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY o_orderkey) AS purchase_order_id,
+       CAST(o_orderdate AS DATE) AS order_date, CAST(o_orderdate AS DATE) + 32 AS expected_delivery_date,
+       'WWI' || CAST(o_orderkey AS VARCHAR) AS supplier_reference,
+       CAST(o_orderdate AS DATE) + 1 AS last_edited_when
+FROM orders
+"""
+
+ORACLE["pivot_to_json"] = "WITH pv AS (" + _YEAR_BY_GROUP + ") SELECT to_json(list(struct_pack(transaction_year := transaction_year, " + ", ".join(
+    f"{_gcol(g)} := {_gcol(g)}" for g in _PIVOT_GROUPS) + ") ORDER BY transaction_year))::VARCHAR AS json_text FROM pv"
+
+_XML_NAMES = {"economy": "Economy", "large": "Large", "medium": "Medium", "promo": "Promo",
+              "small": "Small", "standard": "Standard", "brand_1": "Brand1", "brand_2": "Brand2",
+              "brand_3": "Brand3"}
+
+ORACLE["pivot_to_xml"] = "WITH pv AS (" + _YEAR_BY_GROUP + ") SELECT string_agg('<row><TransactionYear>' || transaction_year || '</TransactionYear>' || " + " || ".join(
+    f"coalesce('<{_XML_NAMES[_gcol(g)]}>' || {_gcol(g)} || '</{_XML_NAMES[_gcol(g)]}>', '')" for g in _PIVOT_GROUPS
+) + " || '</row>', '' ORDER BY transaction_year) AS xml_text FROM pv"
+
+ORACLE["nested_invoice_json"] = """
+WITH inv AS (
+  SELECT * FROM orders WHERE o_orderdate IN (SELECT o_orderdate FROM orders WHERE o_custkey = 1)),
+ln AS (
+  SELECT l_orderkey, list(struct_pack(
+           l_linenumber := l_linenumber, l_partkey := l_partkey, l_suppkey := l_suppkey,
+           l_quantity := CAST(l_quantity AS DECIMAL(18,2)), l_extendedprice := CAST(l_extendedprice AS DECIMAL(18,2)),
+           l_discount := CAST(l_discount AS DECIMAL(18,2)), l_tax := CAST(l_tax AS DECIMAL(18,2)),
+           l_returnflag := l_returnflag, l_linestatus := l_linestatus, l_shipdate := strftime(l_shipdate, '%Y-%m-%d'))
+         ORDER BY l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS DECIMAL(18,2)), CAST(l_extendedprice AS DECIMAL(18,2)),
+                  CAST(l_discount AS DECIMAL(18,2)), CAST(l_tax AS DECIMAL(18,2)), l_returnflag, l_linestatus, l_shipdate) AS il
+  FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM inv) GROUP BY l_orderkey)
+SELECT row_number() OVER (ORDER BY CAST(inv.o_orderdate AS DATE), inv.o_orderkey) AS confirmed_delivery_id,
+       CAST(inv.o_orderdate AS DATE) AS confirmed_delivery_date,
+       to_json(struct_pack(o_orderkey := inv.o_orderkey, o_custkey := inv.o_custkey, o_orderstatus := inv.o_orderstatus,
+                           o_totalprice := CAST(inv.o_totalprice AS DECIMAL(18,2)),
+                           o_orderdate := strftime(inv.o_orderdate, '%Y-%m-%d'),
+                           o_orderpriority := inv.o_orderpriority, "IL" := ln.il))::VARCHAR AS confirmed_delivery_info
+FROM inv JOIN ln ON inv.o_orderkey = ln.l_orderkey
+"""

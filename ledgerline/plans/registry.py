@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.plans import reports
+from ledgerline.plans import documents, loads, reports
 from ledgerline.sources.tables import Tables
 
 PlanFn = Callable[[Tables], DataFrame]
@@ -32,6 +32,14 @@ PLANS: dict[str, PlanFn] = {
     "pivot_group_by_year": reports.pivot_group_by_year,
     "pivot_year_by_group": reports.pivot_year_by_group,
     "invoice_with_total": reports.invoice_with_total,
+    "guarded_daily_load": loads.guarded_daily_load,
+    "typed_migration": loads.typed_migration,
+    "rolling_reload": loads.rolling_reload,
+    "json_shred_load": loads.json_shred_load,
+    "json_shred_purchase_orders": loads.json_shred_purchase_orders,
+    "pivot_to_json": documents.pivot_to_json,
+    "pivot_to_xml": documents.pivot_to_xml,
+    "nested_invoice_json": documents.nested_invoice_json,
 }
 
 
