@@ -18,8 +18,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.aggregates import dedupe_first
-
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -59,19 +57,24 @@ def delete_where(target: DataFrame, predicate: Column) -> DataFrame:
     return target.where(~F.coalesce(predicate, F.lit(False)))
 
 
-def update_matched(target: DataFrame, source: DataFrame, key: str, set_col: str, value) -> DataFrame:
-    """DML3/JN14: ``MERGE target USING source ON key WHEN MATCHED UPDATE SET set_col = value``.
+def update_matched(target: DataFrame, source: DataFrame, key: str, set_col: str, value=None,
+                   source_col: str | None = None) -> DataFrame:
+    """DML3/JN14: ``MERGE target USING source ON key WHEN MATCHED UPDATE SET set_col = ...``.
 
-    Joined on ``(xxhash64(key), key)``: for long text keys the sort-merge
-    join then compares 8-byte hashes first and the full text only on hash
-    ties.  Unmatched target rows are kept unchanged; nothing is inserted.
+    The new value is either a constant (``value``) or a column of the
+    source (``source_col``); the source must have one row per key.  Joined
+    on ``(xxhash64(key), key)``: for long text keys the sort-merge join then
+    compares 8-byte hashes first and the full text only on hash ties.
+    Unmatched target rows are kept unchanged; nothing is inserted.
     """
-    matches = (source.select(F.col(key).alias("_mk")).where(F.col("_mk").isNotNull()).distinct()
+    new_val = F.col(source_col) if source_col else (value if isinstance(value, Column) else F.lit(value))
+    matches = (source.where(F.col(key).isNotNull())
+               .select(F.col(key).alias("_mk"), new_val.alias("_mv"), F.lit(True).alias("_hit"))
                .withColumn("_mh", F.xxhash64("_mk")))
     t = target.withColumn("_th", F.xxhash64(key))
     j = t.join(matches, (F.col("_th") == F.col("_mh")) & (F.col(key) == F.col("_mk")), "left")
-    new = F.when(F.col("_mk").isNotNull(), value if isinstance(value, Column) else F.lit(value)).otherwise(F.col(set_col))
-    return j.withColumn(set_col, new).select(*target.columns)
+    return j.withColumn(set_col, F.when(F.col("_hit"), F.col("_mv")).otherwise(F.col(set_col))) \
+        .select(*target.columns)
 
 
 def exists(df: DataFrame) -> bool:

@@ -315,3 +315,85 @@ SELECT row_number() OVER (ORDER BY CAST(inv.o_orderdate AS DATE), inv.o_orderkey
                            o_orderpriority := inv.o_orderpriority, "IL" := ln.il))::VARCHAR AS confirmed_delivery_info
 FROM inv JOIN ln ON inv.o_orderkey = ln.l_orderkey
 """
+
+_MOVIES = """
+WITH g AS (
+  SELECT l_orderkey, list(struct_pack(id := l_partkey, name := p_name) ORDER BY l_partkey, p_name) AS genres
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey),
+m AS (
+  SELECT o.o_orderkey AS movie_id, 'Order ' || CAST(o.o_orderkey AS VARCHAR) AS title,
+         o.o_orderpriority AS overview, o.o_orderstatus AS tagline,
+         CAST(o.o_totalprice * 4 AS DECIMAL(18,2)) AS budget_d,
+         CAST(o.o_totalprice AS DECIMAL(18,2)) AS revenue_d,
+         'https://imdb.example/' || CAST(o.o_orderkey AS VARCHAR) AS imdb_url,
+         'https://tmdb.example/' || CAST(o.o_orderkey AS VARCHAR) AS tmdb_url,
+         '/poster/' || CAST(o.o_orderkey AS VARCHAR) || '.jpg' AS poster_url,
+         '/backdrop/' || CAST(o.o_orderkey AS VARCHAR) || '.jpg' AS backdrop_url,
+         CAST(o.o_orderdate AS DATE) AS release_date,
+         CAST(trunc(c.c_acctbal) AS INTEGER) AS runtime,
+         CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(18,2)) AS price_d,
+         o.o_orderdate AS created_time,
+         coalesce(g.genres, []) AS genres
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN g ON o.o_orderkey = g.l_orderkey),
+docs AS (
+  SELECT m.*, to_json(struct_pack(
+      "Id" := movie_id, "Title" := title, "Overview" := overview, "Tagline" := tagline,
+      "Budget" := budget_d, "Revenue" := revenue_d, "ImdbUrl" := imdb_url, "TmdbUrl" := tmdb_url,
+      "PosterUrl" := poster_url, "BackdropUrl" := backdrop_url, "OriginalLanguage" := 'en',
+      "ReleaseDate" := strftime(created_time, '%Y-%m-%d'), "RunTime" := runtime, "Price" := price_d,
+      "CreatedDate" := strftime(created_time, '%Y-%m-%dT%H:%M:%S'), "genres" := genres))::VARCHAR AS value
+  FROM m),
+silver AS (
+  SELECT value, movie_id, title, overview, tagline, CAST(budget_d AS DOUBLE) AS budget,
+         CAST(revenue_d AS DOUBLE) AS revenue, imdb_url, tmdb_url, poster_url, backdrop_url,
+         1 AS original_language_id, release_date, runtime, CAST(price_d AS DOUBLE) AS price,
+         created_time, list_transform(genres, lambda x: x.id) AS genre_id
+  FROM docs)
+"""
+
+_SILVER_COLS = ("movie_id, title, overview, tagline, budget, revenue, imdb_url, tmdb_url, poster_url, "
+                "backdrop_url, original_language_id, release_date, runtime, price, created_time, genre_id")
+
+ORACLE["bronze_ingest"] = _MOVIES + """
+SELECT 'testdata/orders' AS datasource, TIMESTAMP '2024-01-01 00:00:00' AS ingesttime, value,
+       'new' AS status, DATE '2024-01-01' AS p_ingestdate
+FROM docs
+"""
+
+ORACLE["silver_clean"] = _MOVIES + f"""
+SELECT {_SILVER_COLS} FROM silver WHERE runtime >= 0 AND budget >= 1000000
+"""
+
+ORACLE["silver_quarantine"] = _MOVIES + f"""
+SELECT {_SILVER_COLS} FROM silver WHERE runtime < 0 OR budget < 1000000
+"""
+
+ORACLE["silver_repaired"] = _MOVIES + """
+SELECT movie_id, title, overview, tagline,
+       CASE WHEN budget < 1000000 THEN 1000000.0 ELSE budget END AS budget,
+       revenue, imdb_url, tmdb_url, poster_url, backdrop_url, original_language_id, release_date,
+       abs(runtime) AS runtime, price, created_time, genre_id
+FROM silver
+WHERE (runtime >= 0 AND budget >= 1000000) OR (runtime < 0 OR budget < 1000000)
+"""
+
+ORACLE["status_write_back"] = _MOVIES + """
+SELECT 'testdata/orders' AS datasource, TIMESTAMP '2024-01-01 00:00:00' AS ingesttime, value,
+       CASE WHEN runtime >= 0 AND budget >= 1000000 THEN 'loaded'
+            WHEN runtime < 0 OR budget < 1000000 THEN 'quarantined'
+            ELSE 'unclassified' END AS status,
+       DATE '2024-01-01' AS p_ingestdate
+FROM silver
+"""
+
+ORACLE["genre_lookup"] = """
+SELECT DISTINCT l_partkey AS id, p_name AS name
+FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE p_name != ''
+ORDER BY id
+"""
+
+ORACLE["language_lookup"] = """
+SELECT CAST(row_number() OVER (ORDER BY lang) AS INTEGER) AS id, lang AS language
+FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL)
+"""

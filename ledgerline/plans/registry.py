@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.plans import documents, loads, reports
+from ledgerline.plans import documents, loads, medallion, reports
 from ledgerline.sources.tables import Tables
 
 PlanFn = Callable[[Tables], DataFrame]
@@ -40,6 +40,13 @@ PLANS: dict[str, PlanFn] = {
     "pivot_to_json": documents.pivot_to_json,
     "pivot_to_xml": documents.pivot_to_xml,
     "nested_invoice_json": documents.nested_invoice_json,
+    "bronze_ingest": medallion.bronze,
+    "silver_clean": medallion.silver_clean,
+    "silver_quarantine": medallion.silver_quarantine,
+    "silver_repaired": medallion.silver_repaired,
+    "status_write_back": medallion.status_write_back,
+    "genre_lookup": medallion.genre_lookup,
+    "language_lookup": medallion.language_lookup,
 }
 
 
