@@ -397,3 +397,148 @@ ORACLE["language_lookup"] = """
 SELECT CAST(row_number() OVER (ORDER BY lang) AS INTEGER) AS id, lang AS language
 FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL)
 """
+
+_OLTP_ORDERS = """
+SELECT o_orderkey AS OrderID, o_custkey AS CustomerID,
+       CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS SalespersonPersonID,
+       CASE WHEN o_orderstatus = 'F' THEN CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS PickedByPersonID,
+       CAST(NULL AS BIGINT) AS BackorderOrderID, CAST(o_orderdate AS DATE) AS OrderDate,
+       CAST(o_orderdate AS DATE) + 7 AS ExpectedDeliveryDate, o_orderpriority AS CustomerPurchaseOrderNumber,
+       o_orderstatus = 'P' AS IsUndersupplyBackordered, o_orderstatus AS Comments,
+       o_orderdate + INTERVAL 1 DAY AS PickingCompletedWhen, 1 AS LastEditedBy,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS LastEditedWhen
+FROM orders
+"""
+
+ORACLE["incremental_upsert"] = f"""
+WITH base AS ({_OLTP_ORDERS})
+SELECT OrderID, CustomerID, SalespersonPersonID, PickedByPersonID, BackorderOrderID, OrderDate,
+       ExpectedDeliveryDate, CustomerPurchaseOrderNumber, IsUndersupplyBackordered,
+       CASE WHEN OrderDate >= DATE '1997-12-01' AND OrderDate < DATE '1998-01-01' THEN 'edited' ELSE Comments END AS Comments,
+       PickingCompletedWhen, LastEditedBy,
+       CASE WHEN OrderDate >= DATE '1997-12-01' AND OrderDate < DATE '1998-01-01' THEN '1998-06-30 12:00:00'
+            ELSE LastEditedWhen END AS LastEditedWhen
+FROM base
+"""
+
+_FACT = f"""
+WITH o AS ({_OLTP_ORDERS}),
+ol AS (
+  SELECT l_orderkey AS OrderID, l_linenumber AS OrderLineID, l_partkey AS StockItemID,
+         CAST(l_quantity AS INTEGER) AS Quantity, CAST(l_extendedprice AS DECIMAL(18,2)) AS UnitPrice,
+         CAST(l_tax AS DECIMAL(18,3)) AS TaxRate, 'line ' || CAST(l_linenumber AS VARCHAR) AS Description
+  FROM lineitem),
+fact AS (
+  SELECT o.CustomerID AS CustomerKey, ol.StockItemID AS StockItemKey, o.OrderDate AS OrderDateKey,
+         CAST(o.PickingCompletedWhen AS DATE) AS PickedDateKey, o.SalespersonPersonID AS SalespersonKey,
+         o.PickedByPersonID AS PickerKey, o.OrderID AS WWIOrderID, o.BackorderOrderID AS WWIBackorderID,
+         ol.Description, ol.Quantity, ol.UnitPrice, ol.TaxRate,
+         CAST(ol.Quantity * ol.UnitPrice AS DECIMAL(18,2)) AS TotalExcludingTax,
+         CAST(ol.Quantity * ol.UnitPrice * ol.TaxRate AS DECIMAL(18,2)) AS TaxAmount,
+         CAST(ol.Quantity * ol.UnitPrice + ol.Quantity * ol.UnitPrice * ol.TaxRate AS DECIMAL(18,2)) AS TotalIncludingTax,
+         CAST(o.LastEditedWhen AS TIMESTAMP) AS CreatedAt
+  FROM o JOIN ol ON o.OrderID = ol.OrderID)
+"""
+
+ORACLE["fact_orders"] = _FACT + "SELECT * FROM fact"
+
+ORACLE["dim_customers"] = _FACT + """
+SELECT CustomerKey, CreatedAt AS ValidFrom,
+       LEAD(CreatedAt) OVER (PARTITION BY CustomerKey ORDER BY CreatedAt) AS ValidTo,
+       CASE WHEN LEAD(CreatedAt) OVER (PARTITION BY CustomerKey ORDER BY CreatedAt) IS NULL THEN 1 ELSE 0 END AS Active
+FROM fact
+"""
+
+ORACLE["scan_filter_project"] = """
+SELECT l_orderkey AS order_key, l_partkey AS item_key, CAST(l_quantity AS BIGINT) AS quantity,
+       CAST(l_extendedprice AS DECIMAL(18,2)) AS price
+FROM lineitem
+WHERE l_shipdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1996-12-31'
+  AND l_quantity >= 25 AND l_discount IS NOT NULL
+"""
+
+ORACLE["dedupe_first_by_key"] = """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+       l_returnflag, l_linestatus, l_shipdate
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                   ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                                            l_discount, l_tax, l_returnflag, l_linestatus) AS rn
+      FROM lineitem)
+WHERE rn = 1
+"""
+
+ORACLE["constraint_violations"] = """
+SELECT 'primary_key' AS check_name, 'lineitem' AS table_name,
+       CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) AS key_value, CAST(count(*) AS BIGINT) AS n_rows
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL
+UNION ALL
+SELECT 'primary_key', 'orders', CAST(o_orderkey AS VARCHAR), count(*)
+FROM orders GROUP BY o_orderkey HAVING count(*) > 1 OR o_orderkey IS NULL
+UNION ALL
+SELECT 'not_null:o_custkey', 'orders', CAST(o_orderkey AS VARCHAR), count(*) FROM orders WHERE o_custkey IS NULL GROUP BY o_orderkey
+UNION ALL
+SELECT 'not_null:o_orderdate', 'orders', CAST(o_orderkey AS VARCHAR), count(*) FROM orders WHERE o_orderdate IS NULL GROUP BY o_orderkey
+UNION ALL
+SELECT 'foreign_key:l_orderkey', 'lineitem', CAST(l_orderkey AS VARCHAR), count(*) FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL) GROUP BY l_orderkey
+UNION ALL
+SELECT 'foreign_key:l_partkey', 'lineitem', CAST(l_partkey AS VARCHAR), count(*) FROM lineitem
+WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey IS NOT NULL) GROUP BY l_partkey
+UNION ALL
+SELECT 'foreign_key:l_suppkey', 'lineitem', CAST(l_suppkey AS VARCHAR), count(*) FROM lineitem
+WHERE l_suppkey IS NOT NULL AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey IS NOT NULL) GROUP BY l_suppkey
+UNION ALL
+SELECT 'foreign_key:o_custkey', 'orders', CAST(o_custkey AS VARCHAR), count(*) FROM orders
+WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL) GROUP BY o_custkey
+"""
+
+ORACLE["sensor_tumbling_avg"] = """
+WITH r AS (
+  SELECT user_id AS id, ts, value,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS temperature,
+         CAST(floor(value) AS INTEGER) AS humidity,
+         CAST(floor(epoch_us(ts) / 5000000) AS BIGINT) AS bucket
+  FROM events),
+g AS (
+  SELECT id, bucket,
+         CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(value) / 100 AS average_uv,
+         CAST(sum(CAST(temperature AS BIGINT)) AS DOUBLE) / count(temperature) AS average_temperature,
+         CAST(sum(CAST(humidity AS BIGINT)) AS DOUBLE) / count(humidity) AS average_humidity,
+         make_timestamp(CAST((sum(CAST(floor(epoch_us(ts) / 1000000) AS BIGINT)) // count(ts)) * 1000000 AS BIGINT)) AS estimated_time
+  FROM r GROUP BY id, bucket)
+SELECT id, make_timestamp(bucket * 5000000) AS window_start, make_timestamp((bucket + 1) * 5000000) AS window_end,
+       average_uv, average_temperature, average_humidity,
+       CASE WHEN average_temperature > 85 AND average_humidity > 85 THEN 1 ELSE 0 END AS is_sweaty,
+       estimated_time
+FROM g
+"""
+
+_TITLE = ("array_to_string(list_transform(regexp_extract_all({s}, '(\\p{{L}}+|[^\\p{{L}}]+)'), "
+          "lambda r: upper(substr(r, 1, 1)) || lower(substr(r, 2))), '')")
+
+ORACLE["people_clean"] = """
+WITH c AS (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey),
+lines AS (
+  SELECT lower(c_mktsegment) AS t0, 'o''' || lower(n_name) AS t1, '-' AS t2,
+         lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS t3, CAST(c_custkey * 7919 AS VARCHAR) AS t4,
+         lower(n_name) AS t5, 'street' AS t6 FROM c
+  UNION ALL
+  SELECT upper(lower(c_mktsegment)), upper('o''' || lower(n_name)), '-', lpad(CAST(c_custkey AS VARCHAR), 10, '0'),
+         CAST(c_custkey * 7919 AS VARCHAR), lower(n_name), 'street' FROM c WHERE c_acctbal < 0
+  UNION ALL
+  SELECT 'supplier', lower(s_name), '-', CAST(s_suppkey * 7 AS VARCHAR), CAST(s_nationkey AS VARCHAR), 'mc-donald', 'street'
+  FROM supplier)
+SELECT DISTINCT """ + _TITLE.format(s="t0") + " || ',' || " + _TITLE.format(s="t1") + """ || ',' || t2 || ',' ||
+       CASE WHEN length(t3) = 10 THEN substr(t3, 1, 3) || '-' || substr(t3, 4, 3) || '-' || substr(t3, 7, 4) ELSE t3 END
+       || ',' || right(t4, 4) || ',' || t5 || ',' || t6 AS line
+FROM lines
+"""
+
+ORACLE["json_split"] = """
+WITH n AS (SELECT count(*) AS n FROM part),
+idx AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS i FROM part)
+SELECT CAST(CASE WHEN n.n // 8 = 0 THEN 7 ELSE least(i // (n.n // 8), 7) END + 1 AS INTEGER) AS split_id,
+       count(*) AS n_items
+FROM idx, n
+GROUP BY 1
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.plans import documents, loads, medallion, reports
+from ledgerline.plans import checks, documents, file_jobs, loads, medallion, reports, warehouse_load
 from ledgerline.sources.tables import Tables
 
 PlanFn = Callable[[Tables], DataFrame]
@@ -47,6 +47,15 @@ PLANS: dict[str, PlanFn] = {
     "status_write_back": medallion.status_write_back,
     "genre_lookup": medallion.genre_lookup,
     "language_lookup": medallion.language_lookup,
+    "incremental_upsert": warehouse_load.incremental_upsert,
+    "fact_orders": warehouse_load.fact_orders,
+    "dim_customers": warehouse_load.dim_customers,
+    "scan_filter_project": checks.scan_filter_project,
+    "dedupe_first_by_key": checks.dedupe_first_by_key,
+    "constraint_violations": checks.constraint_violations,
+    "sensor_tumbling_avg": checks.sensor_tumbling_avg,
+    "people_clean": file_jobs.people_clean,
+    "json_split": file_jobs.json_split,
 }
 
 
