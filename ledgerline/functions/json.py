@@ -74,3 +74,15 @@ def build_json(*cols, **named) -> Column:
     """JS10: JSON text from columns, with correct escaping (not string concatenation)."""
     parts = list(cols) + [_c(v).alias(k) for k, v in named.items()]
     return F.to_json(F.struct(*parts))
+
+
+def explode_rows(df, array_col, alias: str, *keep):
+    """``explode`` without the inferred pre-filter.
+
+    For an inner ``explode`` Catalyst infers ``size(arr) > 0 AND arr IS NOT
+    NULL`` and pushes it below the projection that computes ``arr``; when
+    ``arr`` comes from ``from_json`` the document is then parsed three times
+    per row.  ``explode_outer`` has no such filter, and dropping the NULL
+    element afterwards gives the same rows as ``explode``.
+    """
+    return df.select(*keep, F.explode_outer(_c(array_col)).alias(alias)).where(F.col(alias).isNotNull())

@@ -2,8 +2,8 @@
 
 ``row_number() OVER (ORDER BY k)`` with no PARTITION BY moves every row into
 one task.  Instead the frame is range-partitioned and sorted once, the
-result is checkpointed (so partition boundaries are fixed and survive
-executor loss), rows are counted per partition, and each row's index is
+result is checkpointed to the shared checkpoint directory (so partition
+boundaries are fixed and survive executor loss), rows are counted per partition, and each row's index is
 its partition's offset plus its position inside the partition.  The only
 global step works on one row per partition.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +30,11 @@ def with_row_index(df: DataFrame, order_cols: Sequence[str | Column], id_col: st
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    ordered = df.orderBy(*order_cols).checkpoint(eager=True)
+    # Persist first: the eager checkpoint counts the rows and then writes
+    # them in a second job, which would otherwise recompute the lineage.
+    sorted_df = df.orderBy(*order_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    ordered = sorted_df.checkpoint(eager=True)
+    sorted_df.unpersist()
     tagged = ordered.select(
         "*",
         F.spark_partition_id().alias("_pid"),

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from ledgerline.functions.json import explode_rows
+
 MIN_BUDGET = 1_000_000
 
 CLEAN = "loaded"
@@ -64,8 +66,9 @@ def lookup_genres(silver: DataFrame, genres_col: str = "genres") -> DataFrame:
 
     ``explode`` + ``distinct`` replaces ``collect_set`` into one array.
     """
-    g = silver.select(F.explode(genres_col).alias("g")).select(
-        F.col("g.id").alias("id"), F.col("g.name").alias("name")).distinct()
+    # explode_rows: a plain explode would re-parse the JSON behind ``genres``.
+    g = (explode_rows(silver, genres_col, "g")
+         .select(F.col("g.id").alias("id"), F.col("g.name").alias("name")).distinct())
     return g.where(F.col("name") != "").orderBy(F.col("id").asc_nulls_first())
 
 

@@ -186,7 +186,7 @@ def shred_purchase_orders(docs: DataFrame) -> DataFrame:
     Declared types are applied with ``try_cast``: a malformed value (the
     reference's ``2018-01-025``) becomes NULL instead of failing the load.
     """
-    parsed = docs.select("doc_id", F.explode(F.from_json("doc", PURCHASE_ORDER_SCHEMA)["PurchaseOrders"]).alias("po"))
+    parsed = J.explode_rows(docs, F.from_json("doc", PURCHASE_ORDER_SCHEMA)["PurchaseOrders"], "po", "doc_id")
     p = lambda f: F.col(f"po.{f}")
     return parsed.select(
         "doc_id",
