@@ -32,7 +32,10 @@ def with_row_index(df: DataFrame, order_cols: Sequence[str | Column], id_col: st
     checkpoint_dir(spark)
     # Persist first: the eager checkpoint counts the rows and then writes
     # them in a second job, which would otherwise recompute the lineage.
-    sorted_df = df.orderBy(*order_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    # The row hash as last sort key lets the range partitioner split a run of
+    # tied order keys (e.g. one hot value) across partitions.
+    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns])
+    sorted_df = df.orderBy(*order_cols, tiebreak).persist(StorageLevel.MEMORY_AND_DISK)
     ordered = sorted_df.checkpoint(eager=True)
     sorted_df.unpersist()
     tagged = ordered.select(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.keys import with_row_index
+from ledgerline.operators.windows import split_lead
 
 
 def build_fact_orders(orders: DataFrame, lines: DataFrame, with_key: bool = True) -> DataFrame:
@@ -52,8 +53,14 @@ def build_customer_dimension(fact: DataFrame, partition_col: str = "CustomerKey"
     default here is the customer, and ``partition_col="OrderKey"`` gives
     the faithful form.
     """
-    w = Window.partitionBy(partition_col).orderBy("CreatedAt")
-    nxt = F.lead("CreatedAt").over(w)
-    return fact.select(
-        F.col("CustomerKey"), F.col("CreatedAt").alias("ValidFrom"), nxt.alias("ValidTo"),
-        F.when(nxt.isNull(), 1).otherwise(0).alias("Active"))
+    base = fact.select("CustomerKey", partition_col, "CreatedAt") if partition_col != "CustomerKey" \
+        else fact.select("CustomerKey", "CreatedAt")
+    if partition_col == "OrderKey":
+        # Unique key: every window partition has one row, nothing can be hot.
+        led = base.withColumn("ValidTo", F.lead("CreatedAt").over(Window.partitionBy(partition_col).orderBy("CreatedAt")))
+    else:
+        # A customer may own a large share of the rows: split its history by day.
+        led = split_lead(base, partition_col, "CreatedAt", "ValidTo")
+    return led.select(
+        F.col("CustomerKey"), F.col("CreatedAt").alias("ValidFrom"), F.col("ValidTo"),
+        F.when(F.col("ValidTo").isNull(), 1).otherwise(0).alias("Active"))

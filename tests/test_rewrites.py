@@ -81,3 +81,21 @@ def test_broadcast_if_small_checks_size(spark):
     big = spark.range(100)
     assert JN.broadcast_if_small(small, 10) is not small
     assert JN.broadcast_if_small(big, 10) is big
+
+
+def test_split_lead_equals_window_lead(spark):
+    import datetime as dt
+    from ledgerline.operators.windows import split_lead
+    base = dt.datetime(2024, 1, 1)
+    data = [(1, base + dt.timedelta(hours=h)) for h in (0, 5, 5, 30, 49, 49, 100)] + \
+           [(2, base), (2, None), (2, None), (None, base), (None, base + dt.timedelta(days=3)), (3, None)]
+    df = spark.createDataFrame(data, "k int, ts timestamp_ntz")
+    naive = df.withColumn("nxt", F.lead("ts").over(Window.partitionBy("k").orderBy("ts")))
+    assert rows(split_lead(df, "k", "ts", "nxt")) == rows(naive)
+
+
+def test_with_row_index_ties_get_distinct_ids(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (0, "z")], "k int, v string")
+    out = with_row_index(df, ["k"], "rid").collect()
+    assert sorted(r.rid for r in out) == [1, 2, 3, 4]
+    assert [r.v for r in out if r.rid == 1] == ["z"]
