@@ -58,8 +58,8 @@ def not_in(left: DataFrame, left_key: str, sub: DataFrame, sub_key: str) -> Data
     subquery are uncorrelated scalar subqueries evaluated once.
     """
     k = F.col(sub_key)
-    n_rows = sub.select(F.count(F.lit(1))).scalar()
-    n_nulls = sub.select(F.count_if(k.isNull())).scalar()
+    stats = sub.select(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(k.isNull()).alias("nulls"))).scalar()
+    n_rows, n_nulls = stats["n"], stats["nulls"]
     matches = sub.where(k.isNotNull()).select(k.alias("_nin_key"))
     kept = left.join(matches, F.col(left_key) == F.col("_nin_key"), "left_anti")
     return kept.where((n_rows == 0) | ((n_nulls == 0) & F.col(left_key).isNotNull()))
