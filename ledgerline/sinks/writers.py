@@ -82,3 +82,11 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 def write_split_json(df: DataFrame, path: str, split_col: str = "split_id") -> None:
     """SNK11: one JSON output directory per split value."""
     df.write.mode("overwrite").partitionBy(split_col).json(path)
+
+
+def merge_files(spark: SparkSession, pattern: str, out_path: str, fmt: str = "json",
+                single_file: bool = False) -> None:
+    """SNK9 ``copyBehavior: MergeFiles``: many input files read as one dataset and
+    written once (one file only when asked, for small outputs)."""
+    df = spark.read.format(fmt).option("multiLine", fmt == "json").load(pattern)
+    (df.coalesce(1) if single_file else df).write.mode("overwrite").format(fmt).save(out_path)
