@@ -167,3 +167,11 @@ def language_lookup(t: Tables) -> DataFrame:
     """
     langs = t.documents.select(F.col("lang").alias("language")).where(F.col("language").isNotNull()).distinct()
     return with_row_index(langs, ["language"], "id").select(F.col("id").cast("int").alias("id"), "language")
+
+
+def silver_lake_form(silver: DataFrame) -> DataFrame:
+    """The data-flow (lake) schema of silver (S25): ``created_date`` DATE and
+    ``genre_id`` as list text, instead of a timestamp and an int array."""
+    return silver.select(*[c for c in silver.columns if c not in ("created_time", "genre_id")],
+                         F.col("created_time").cast("date").alias("created_date"),
+                         F.to_json("genre_id").alias("genre_id"))

@@ -1,0 +1,54 @@
+"""The reference notebooks' reusable functions (UDF4) under their familiar names.
+
+Each is a thin wrapper over the library, so notebook code can switch by
+changing its imports.  Table locations are parameters instead of globals.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ledgerline.operators import mutation as M
+from ledgerline.operators import quality as Q
+from ledgerline.plans import medallion as MD
+from ledgerline.sinks import writers as W
+from ledgerline.sources import files as S
+
+
+def read_batch_raw(spark: SparkSession, raw_path: str) -> DataFrame:
+    return S.read_multiline_json_array(spark, raw_path, "movie")
+
+
+def transform_raw(raw_df: DataFrame, raw_path: str) -> DataFrame:
+    return MD.transform_raw(raw_df, raw_path)
+
+
+def batch_writer(df: DataFrame, partition_column: str | None = None, exclude_columns=(), mode: str = "append"):
+    return W.batch_writer(df, partition_column, exclude_columns, mode)
+
+
+def read_batch_bronze(spark: SparkSession, table: str = "movie_bronze") -> DataFrame:
+    return S.read_table_with_status(spark, table, "new")
+
+
+def transform_bronze(bronze_df: DataFrame) -> DataFrame:
+    return MD.transform_bronze(bronze_df)
+
+
+def get_lookup_table(silver_df: DataFrame, table_type: str) -> DataFrame:
+    return Q.lookup_table(silver_df, table_type)
+
+
+def refactor_silver(silver_df: DataFrame) -> DataFrame:
+    return MD.refactor_silver(silver_df)
+
+
+def generate_clean_and_quarantine_dataframes(silver_df: DataFrame):
+    """(clean, quarantine); the third, unclassified split is in ``quality.split_clean_quarantine``."""
+    clean, quarantine, _ = Q.split_clean_quarantine(silver_df)
+    return clean, quarantine
+
+
+def update_bronze_table_status(bronze_df: DataFrame, df: DataFrame, status: str) -> DataFrame:
+    """Returns the updated bronze state (write it with ``sinks.writers.write_version``)."""
+    return M.update_matched(bronze_df, df, "value", "status", status)
