@@ -34,7 +34,7 @@ WHERE t.o_orderdate < TIMESTAMP '1999-01-01'
 """
 
 ORACLE["item_quantity_in_year"] = """
-SELECT p.p_name AS stock_item_name, SUM(CAST(l.l_quantity AS BIGINT)) AS total_quantity
+SELECT p.p_name AS stock_item_name, CAST(SUM(CAST(l.l_quantity AS BIGINT)) AS BIGINT) AS total_quantity
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 WHERE l.l_linestatus = 'O' AND year(l.l_shipdate) = 1996
 GROUP BY p.p_name
@@ -542,3 +542,32 @@ SELECT CAST(CASE WHEN n.n // 8 = 0 THEN 7 ELSE least(i // (n.n // 8), 7) END + 1
 FROM idx, n
 GROUP BY 1
 """
+
+# Output columns that leave the engines in a portable form: decimals as DOUBLE
+# (both engines convert a decimal to the same nearest double) and nested values
+# as JSON text.  Spark applies the same rule generically (``__spark_entry__``).
+PORTABLE = {
+    "json_value_group": {"total_value": "double"},
+    "invoice_with_total": {"order_total": "double"},
+    "guarded_daily_load": {"order_total": "double"},
+    "typed_migration": {"typical_weight_before_unit": "double"},
+    "rolling_reload": {"order_total": "double"},
+    "json_shred_load": {"tax_rate": "double", "unit_price": "double", "recommended_retail_price": "double",
+                        "typical_weight_per_unit": "double"},
+    "silver_clean": {"genre_id": "json"},
+    "silver_quarantine": {"genre_id": "json"},
+    "silver_repaired": {"genre_id": "json"},
+    "fact_orders": {"UnitPrice": "double", "TaxRate": "double", "TotalExcludingTax": "double",
+                    "TaxAmount": "double", "TotalIncludingTax": "double"},
+    "scan_filter_project": {"price": "double"},
+}
+
+
+def portable_sql(key: str) -> str:
+    sql = ORACLE[key]
+    cols = PORTABLE.get(key)
+    if not cols:
+        return sql
+    repl = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' if kind == "double" else f'to_json("{c}")::VARCHAR AS "{c}"'
+                     for c, kind in cols.items())
+    return f"SELECT * REPLACE ({repl}) FROM ({sql}) AS q"

@@ -34,8 +34,12 @@ class Tables:
         # is spread with a round-robin repartition so per-row work before the
         # first shuffle is parallel.  Tables with many row groups / files
         # (any real deployment) are left exactly as read.
-        self.min_scan_partitions = (min_scan_partitions if min_scan_partitions is not None
-                                    else spark.sparkContext.defaultParallelism)
+        if min_scan_partitions is None:
+            try:
+                min_scan_partitions = spark.sparkContext.defaultParallelism
+            except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
+                min_scan_partitions = 0
+        self.min_scan_partitions = min_scan_partitions
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}.parquet"
@@ -47,12 +51,19 @@ class Tables:
                 # A pinned schema skips footer inference across many files.
                 reader = reader.schema(self._schemas[name])
             df = reader.parquet(self.path(name))
-            if (name in FACT_TABLES and self.min_scan_partitions > 1
-                    and df.rdd.getNumPartitions() < self.min_scan_partitions):
+            if name in FACT_TABLES and self.min_scan_partitions > 1 and \
+                    self._scan_partitions(df) < self.min_scan_partitions:
                 df = df.repartition(self.min_scan_partitions)
             self._cache[name] = df
         return self._cache[name]
 
+    @staticmethod
+    def _scan_partitions(df: DataFrame) -> int:
+        try:
+            return df.rdd.getNumPartitions()
+        except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as read
+            return 1 << 30
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:
             return self.table(name)
