@@ -178,3 +178,27 @@ def run_all(spark: SparkSession, movie: MovieFlowConfig, sources: dict[str, Data
     summary = run_movie_flow(spark, movie)
     run_warehouse_flow(spark, sources, warehouse)
     return summary
+
+
+def people_files_to_csv(spark: SparkSession, paths: Sequence[str], out_path: str, single_file: bool = True) -> int:
+    """P7 end to end: whitespace text files -> cleaned, de-duplicated CSV (SRC9, SET4, SNK10).
+
+    Overwrites the output (the reference appends, so a re-run doubled it, S30).
+    """
+    from ledgerline.plans.file_jobs import HEADER, clean_people
+    lines = spark.read.text(list(paths))
+    cleaned = clean_people(lines, HEADER)
+    WR.write_csv(cleaned, out_path, single_file=single_file)
+    return spark.read.text(out_path).count()
+
+
+def split_json_file(spark: SparkSession, path: str, out_path: str, array_field: str = "movie",
+                    id_field: str = "Id", n_splits: int = 8) -> dict:
+    """P8 end to end: one JSON array document -> ``n_splits`` JSON outputs in id order (SNK11, S29)."""
+    from ledgerline.plans.file_jobs import assign_splits
+    items = spark.read.option("multiLine", True).json(path).select(F.explode(array_field).alias("item"))
+    items = items.select(F.col(f"item.{id_field}").alias("_order"), "item")
+    split = assign_splits(items, ["_order"], n_splits).select("split_id", "item.*")
+    WR.write_split_json(split, out_path)
+    back = spark.read.json(out_path)
+    return {r.split_id: r["count"] for r in back.groupBy("split_id").count().collect()}

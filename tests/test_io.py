@@ -71,3 +71,60 @@ def test_register_table(spark, tmp_dir):
     W.register_table(spark, "ll_registered", path)
     assert spark.table("ll_registered").count() == 3
     spark.sql("DROP TABLE IF EXISTS ll_registered")
+
+
+def test_json_lines_declared_schema_and_parquet_drift(spark, tmp_dir):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    p = os.path.join(tmp_dir, "lines.json")
+    with open(p, "w") as f:
+        f.write('{"a": 1, "b": "x", "extra": true}\n{"a": 2}\n')
+    schema = StructType([StructField("a", LongType()), StructField("b", StringType())])
+    assert sorted(tuple(r) for r in S.read_json_lines(spark, p, schema).collect()) == [(1, "x"), (2, None)]
+    d = os.path.join(tmp_dir, "drift")
+    spark.createDataFrame([(1,)], "a long").write.parquet(os.path.join(d, "k=1"))
+    spark.createDataFrame([(2, "y")], "a long, b string").write.parquet(os.path.join(d, "k=2"))
+    merged = S.read_parquet_declared(spark, d, merge_schema=True)
+    assert sorted(merged.columns) == ["a", "b", "k"]
+
+
+def test_status_scan_first_value_truncate_and_merge(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "bronze_tbl")
+    W.write_parquet_truncate(spark.createDataFrame([("v1", "new"), ("v2", "loaded")], "value string, status string"),
+                             path)
+    W.write_parquet_truncate(spark.createDataFrame([("v3", "new")], "value string, status string"), path)
+    W.register_table(spark, "ll_bronze", path)
+    assert [r.value for r in S.read_table_with_status(spark, "ll_bronze", "new").collect()] == ["v3"]
+    spark.sql("DROP TABLE IF EXISTS ll_bronze")
+    assert S.first_value(spark.range(5).agg(F.max("id").alias("m")), "m") == 4
+    src = os.path.join(tmp_dir, "many")
+    os.makedirs(src)
+    for i in range(3):
+        with open(os.path.join(src, f"part_{i}.json"), "w") as f:
+            json.dump([{"i": i}], f)
+    W.merge_files(spark, os.path.join(src, "part_*.json"), os.path.join(tmp_dir, "merged"), single_file=True)
+    assert sorted(r.i for r in spark.read.json(os.path.join(tmp_dir, "merged")).collect()) == [0, 1, 2]
+
+
+def test_union_by_name_fills_missing(spark):
+    a = spark.createDataFrame([(1, "x")], "k int, v string")
+    b = spark.createDataFrame([(2,)], "k int")
+    assert sorted(tuple(r) for r in a.unionByName(b, allowMissingColumns=True).collect()) == [(1, "x"), (2, None)]
+
+
+def test_people_and_split_file_jobs(spark, tmp_dir):
+    from ledgerline.plans import flows as FL
+    p1, p2 = os.path.join(tmp_dir, "people_1.txt"), os.path.join(tmp_dir, "people_2.txt")
+    header = "first last middle phone address_no address\n"
+    with open(p1, "w") as f:
+        f.write(header + "john o'neil x 1234567890 123456 main street\nann lee x 5551234 99 elm\n")
+    with open(p2, "w") as f:
+        f.write(header + "JOHN  O'NEIL\tx 1234567890 123456 main street\n")
+    out = os.path.join(tmp_dir, "people_csv")
+    assert FL.people_files_to_csv(spark, [p1, p2], out) == 2
+    assert FL.people_files_to_csv(spark, [p1, p2], out) == 2   # re-run does not double the output
+    movies = {"movie": [{"Id": i, "Title": f"m{i}"} for i in range(19)]}
+    mp = os.path.join(tmp_dir, "movie.json")
+    with open(mp, "w") as f:
+        json.dump(movies, f)
+    counts = FL.split_json_file(spark, mp, os.path.join(tmp_dir, "splits"))
+    assert counts == {1: 2, 2: 2, 3: 2, 4: 2, 5: 2, 6: 2, 7: 2, 8: 5}
