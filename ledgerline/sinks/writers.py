@@ -90,3 +90,18 @@ def merge_files(spark: SparkSession, pattern: str, out_path: str, fmt: str = "js
     written once (one file only when asked, for small outputs)."""
     df = spark.read.format(fmt).option("multiLine", fmt == "json").load(pattern)
     (df.coalesce(1) if single_file else df).write.mode("overwrite").format(fmt).save(out_path)
+
+
+def write_table(df: DataFrame, table: str, schema=None, mode: str = "append") -> None:
+    """SNK5/SNK7: insert into a catalog table, creating it when missing.
+
+    With ``schema`` the rows are first projected and cast onto the target's
+    declared columns (NOT NULL columns checked), as a typed INSERT does.
+    """
+    from ledgerline.operators.projection import cast_to_schema
+    spark = df.sparkSession
+    out = cast_to_schema(df, schema) if schema is not None else df
+    if spark.catalog.tableExists(table):
+        out.write.mode(mode).insertInto(table)
+    else:
+        out.write.mode(mode).saveAsTable(table)

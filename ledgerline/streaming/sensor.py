@@ -110,3 +110,10 @@ def start_sink(result: DataFrame, checkpoint: str, mode: str = "append", fmt: st
     if fmt in ("memory", "console"):
         return w.format(fmt).start()
     return w.format(fmt).start(path)
+
+
+def run_sensor_stream(spark: SparkSession, source: str, sink: str, checkpoint: str, delay: str = "10 seconds",
+                      available_now: bool = False) -> StreamingQuery:
+    """P6 as a running job: event files in ``source`` -> 5-second averages appended to ``sink``."""
+    return start_sink(streaming_averages(read_event_stream(spark, source), delay), checkpoint,
+                      mode="append", fmt="parquet", path=sink, available_now=available_now)

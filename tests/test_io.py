@@ -128,3 +128,14 @@ def test_people_and_split_file_jobs(spark, tmp_dir):
         json.dump(movies, f)
     counts = FL.split_json_file(spark, mp, os.path.join(tmp_dir, "splits"))
     assert counts == {1: 2, 2: 2, 3: 2, 4: 2, 5: 2, 6: 2, 7: 2, 8: 5}
+
+
+def test_write_table_typed(spark):
+    from pyspark.sql.types import DecimalType, IntegerType, StructField, StructType
+    schema = StructType([StructField("OrderID", IntegerType(), False), StructField("OrderTotal", DecimalType(19, 4))])
+    spark.sql("DROP TABLE IF EXISTS ll_ods_orders")
+    W.write_table(spark.createDataFrame([(1, 2.5)], "OrderID long, OrderTotal double"), "ll_ods_orders", schema)
+    W.write_table(spark.createDataFrame([(2, 1.0)], "OrderID long, OrderTotal double"), "ll_ods_orders", schema)
+    rows = sorted((r.OrderID, str(r.OrderTotal)) for r in spark.table("ll_ods_orders").collect())
+    assert rows == [(1, "2.5000"), (2, "1.0000")]
+    spark.sql("DROP TABLE IF EXISTS ll_ods_orders")
