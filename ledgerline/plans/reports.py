@@ -70,11 +70,17 @@ def lapsed_customers(t: Tables, cutoff: str = "1999-01-01") -> DataFrame:
 
 
 def item_quantity_in_year(t: Tables, year: int = YEARS[2013]) -> DataFrame:
-    """Q4 (flagship): purchased quantity per item name for lines received in ``year``."""
+    """Q4 (flagship): purchased quantity per item name for lines received in ``year``.
+
+    Lines are summed per item id before meeting ``part`` (eager aggregation):
+    the join then sees one row per item instead of one per line, and the
+    final grouping by name adds the per-item sums.
+    """
     lines = R.lines(t, R.PURCHASED).where(D.in_year("l_shipdate", year))
-    j = lines.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    per_item = lines.groupBy("l_partkey").agg(F.sum(R.quantity()).alias("_q"))
+    j = per_item.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     return (j.groupBy(F.col("p_name").alias("stock_item_name"))
-            .agg(F.sum(R.quantity()).alias("total_quantity"))
+            .agg(F.sum("_q").alias("total_quantity"))
             .orderBy(F.col("total_quantity").desc()))
 
 
@@ -83,16 +89,21 @@ def long_name_union(t: Tables, min_len: int = 10) -> DataFrame:
 
     Descriptions: purchase lines use the order priority, sold lines the
     brand padded with blanks (``LEN`` ignores trailing blanks), all lines
-    the item name.  ``UNION`` removes duplicates across the three.
+    the item name.  ``UNION`` removes duplicates across the three.  Each
+    source is reduced to its distinct item ids before the item table is
+    joined, so the joins see one row per item, not per line.
     """
     o, p = t.orders, t.part
-    purchased = (R.lines(t, R.PURCHASED).join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-                 .join(p, F.col("l_partkey") == F.col("p_partkey"))
-                 .where(D.tsql_len("o_orderpriority") > min_len - 1).select("p_name"))
-    sold = (R.lines(t, R.SOLD).join(p, F.col("l_partkey") == F.col("p_partkey"))
-            .where(D.tsql_len(F.concat(F.col("p_brand"), F.lit("   "))) > min_len - 1).select("p_name"))
-    ordered = (t.lineitem.join(p, F.col("l_partkey") == F.col("p_partkey"))
-               .where(D.tsql_len("p_name") > min_len - 1).select("p_name"))
+    purchased_items = (R.lines(t, R.PURCHASED)
+                       .join(o.where(D.tsql_len("o_orderpriority") > min_len - 1), F.col("l_orderkey") == F.col("o_orderkey"))
+                       .select("l_partkey").distinct())
+    purchased = purchased_items.join(p, F.col("l_partkey") == F.col("p_partkey")).select("p_name")
+    sold_items = R.lines(t, R.SOLD).select("l_partkey").distinct()
+    sold = (sold_items.join(p.where(D.tsql_len(F.concat(F.col("p_brand"), F.lit("   "))) > min_len - 1),
+                            F.col("l_partkey") == F.col("p_partkey")).select("p_name"))
+    ordered_items = t.lineitem.select("l_partkey").distinct()
+    ordered = (ordered_items.join(p.where(D.tsql_len("p_name") > min_len - 1), F.col("l_partkey") == F.col("p_partkey"))
+               .select("p_name"))
     return A.union_distinct(purchased, sold, ordered).select(F.col("p_name").alias("stock_item_name"))
 
 
@@ -107,9 +118,10 @@ def items_sold_outside(t: Tables, year: int = YEARS[2014],
            .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
            .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
            .select("o_orderkey", "o_orderdate", "r_name"))
-    j = (cte.join(R.lines(t, R.SOLD), F.col("o_orderkey") == F.col("l_orderkey"))
-         .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-         .where(D.in_year("o_orderdate", year) & ~F.col("r_name").isin(*excluded)))
+    items = (cte.where(D.in_year("o_orderdate", year) & ~F.col("r_name").isin(*excluded))
+             .join(R.lines(t, R.SOLD), F.col("o_orderkey") == F.col("l_orderkey"))
+             .select("l_partkey").distinct())
+    j = items.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     return j.select(F.col("p_name").alias("stock_item_name")).distinct()
 
 
@@ -319,11 +331,18 @@ def json_value_group(t: Tables, year: int = 2024) -> DataFrame:
 
 
 def _group_year_sales(t: Tables, first: int, last: int) -> DataFrame:
+    """Sold quantity per (stock group, year).
+
+    Lines are summed per (item, year) first; only those sums meet the item
+    table and the many-to-many group bridge.
+    """
     o = t.orders.where(D.in_years("o_orderdate", first, last))
-    j = (o.join(R.lines(t, R.SOLD), F.col("o_orderkey") == F.col("l_orderkey"))
-         .join(t.part.select("p_partkey"), F.col("l_partkey") == F.col("p_partkey"))
+    per_item = (o.join(R.lines(t, R.SOLD), F.col("o_orderkey") == F.col("l_orderkey"))
+                .groupBy("l_partkey", F.year("o_orderdate").alias("transaction_year"))
+                .agg(F.sum(R.quantity()).alias("qty")))
+    j = (per_item.join(t.part.select("p_partkey"), F.col("l_partkey") == F.col("p_partkey"))
          .join(R.stock_groups(t), F.col("p_partkey") == F.col("g_partkey")))
-    return j.select("group_name", F.year("o_orderdate").alias("transaction_year"), R.quantity().alias("qty"))
+    return j.select("group_name", "transaction_year", "qty")
 
 
 def pivot_group_by_year(t: Tables, first: int = YEARS[2013], last: int = YEARS[2017]) -> DataFrame:
