@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ledgerline.functions.json import explode_rows
 
@@ -89,7 +89,7 @@ def lookup_table(silver: DataFrame, table_type: str) -> DataFrame:
 
 VIOLATION_SCHEMA = StructType([
     StructField("check_name", StringType()), StructField("table_name", StringType()),
-    StructField("key_value", StringType()), StructField("n_rows", IntegerType()),
+    StructField("key_value", StringType()), StructField("n_rows", LongType()),
 ])
 
 
@@ -102,7 +102,7 @@ def primary_key_violations(df: DataFrame, table: str, keys: Sequence[str]) -> Da
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | any_null)
     return dup.select(F.lit("primary_key").alias("check_name"), F.lit(table).alias("table_name"),
-                      _key_text(keys).alias("key_value"), F.col("n").cast("int").alias("n_rows"))
+                      _key_text(keys).alias("key_value"), F.col("n").cast("bigint").alias("n_rows"))
 
 
 def not_null_violations(df: DataFrame, table: str, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -111,7 +111,7 @@ def not_null_violations(df: DataFrame, table: str, cols: Sequence[str], keys: Se
     for c in cols:
         parts.append(df.where(F.col(c).isNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
                      .select(F.lit(f"not_null:{c}").alias("check_name"), F.lit(table).alias("table_name"),
-                             _key_text(keys).alias("key_value"), F.col("n").cast("int").alias("n_rows")))
+                             _key_text(keys).alias("key_value"), F.col("n").cast("bigint").alias("n_rows")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -124,4 +124,4 @@ def foreign_key_violations(child: DataFrame, table: str, fk: str, parent: DataFr
                .join(parent.select(F.col(pk).alias("_pk")), F.col(fk) == F.col("_pk"), "left_anti"))
     return missing.groupBy(fk).agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(f"foreign_key:{fk}").alias("check_name"), F.lit(table).alias("table_name"),
-        F.col(fk).cast("string").alias("key_value"), F.col("n").cast("int").alias("n_rows"))
+        F.col(fk).cast("string").alias("key_value"), F.col("n").cast("bigint").alias("n_rows"))

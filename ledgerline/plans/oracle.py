@@ -84,7 +84,7 @@ ORDER BY avg_processing DESC
 """
 
 ORACLE["avg_processing_days_by_month"] = f"""
-SELECT month(o_orderdate) AS month_ordered, r_name AS state_name,
+SELECT CAST(month(o_orderdate) AS INTEGER) AS month_ordered, r_name AS state_name,
        CAST(CASE WHEN count(d) = 0 THEN NULL ELSE sum(d) // count(d) END AS BIGINT) AS avg_processing
 FROM ({_PROCESSING}) x
 GROUP BY month(o_orderdate), r_name
@@ -200,7 +200,7 @@ ORDER BY total_value DESC
 
 _GROUP_YEAR = """
 WITH src AS (
-  SELECT g.group_name, year(o.o_orderdate) AS transaction_year, CAST(l.l_quantity AS BIGINT) AS qty
+  SELECT g.group_name, CAST(year(o.o_orderdate) AS INTEGER) AS transaction_year, CAST(l.l_quantity AS BIGINT) AS qty
   FROM orders o
   JOIN lineitem l ON o.o_orderkey = l.l_orderkey
   JOIN part p ON l.l_partkey = p.p_partkey
