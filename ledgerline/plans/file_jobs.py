@@ -46,19 +46,22 @@ def people_lines(t: Tables) -> tuple[DataFrame, DataFrame]:
     return header.unionByName(cust), header.unionByName(supp).unionByName(again)
 
 
-def clean_people(lines: DataFrame, header: str = HEADER) -> DataFrame:
+def clean_people(lines: DataFrame, header: str = HEADER, join_rest: bool = False) -> DataFrame:
     """Title-case names, dash 10-digit phones, keep the last 4 address digits,
     join tokens with commas, and drop duplicate lines across all inputs (SET4).
 
     Faithful to the reference: trailing address words become extra CSV
-    fields (S30 keeps them as they are).
+    fields; ``join_rest=True`` keeps them as one blank-separated field (S30).
     """
     body = lines.where(F.trim("value") != header).where(F.length(F.trim("value")) > 0)
     tok = body.select(T.split_blanks("value").alias("t"))
     t = F.col("t")
+    rest = F.slice(t, 6, 1 << 20)
+    if join_rest:
+        rest = F.when(F.size(rest) > 0, F.array(F.array_join(rest, " "))).otherwise(F.array().cast("array<string>"))
     cleaned = F.concat(
         F.array(T.python_title(t[0]), T.python_title(t[1]), t[2], T.dash_phone(t[3]), T.last_chars(t[4], 4)),
-        F.slice(t, 6, 1 << 20))
+        rest)
     return tok.select(F.array_join(cleaned, ",").alias("line")).distinct()
 
 

@@ -369,20 +369,32 @@ def pivot_year_by_group(t: Tables, groups=tuple(PIVOT_GROUPS), first: int = YEAR
                        names=[group_column(g) for g in groups])
 
 
-def line_total() -> F.Column:
-    """``UnitPrice + UnitPrice * TaxRate`` in the reference's decimal types (no quantity, S11)."""
+def line_total(tax_is_percent: bool = False) -> F.Column:
+    """``UnitPrice + UnitPrice * TaxRate`` in the reference's decimal types (no quantity, S11).
+
+    The reference's sample tax rate ``"6"`` looks like a percentage but is
+    used as a fraction; ``tax_is_percent=True`` divides it by 100.
+    """
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     tax = F.col("l_tax").cast("decimal(18,3)")
+    if tax_is_percent:
+        tax = (tax / 100).cast("decimal(18,5)")
     return D.money(price + price * tax)
 
 
-def invoice_with_total(t: Tables) -> DataFrame:
+def invoice_with_total(t: Tables, mode: str = "last_line", tax_is_percent: bool = False) -> DataFrame:
     """Q20: every invoice with its order total from the scalar function (UDF1, JN12).
 
-    The function assigns from "some" line of the order; made deterministic
-    as the line with the highest line number (ties: highest total).
+    ``mode="last_line"`` (faithful, S11): the function assigns from "some"
+    line of the order, made deterministic as the line with the highest line
+    number (ties: highest total).  ``mode="sum_lines"`` sums all lines.
     """
-    lines = t.lineitem.select("l_orderkey", "l_linenumber", line_total().alias("line_total"))
-    pick = F.max(F.struct(F.col("l_linenumber"), F.col("line_total")))["line_total"]
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", line_total(tax_is_percent).alias("line_total"))
+    if mode == "last_line":
+        pick = F.max(F.struct(F.col("l_linenumber"), F.col("line_total")))["line_total"]
+    elif mode == "sum_lines":
+        pick = D.money(F.sum("line_total"))
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
     o = t.orders
     return JN.lateral_total(o, "o_orderkey", lines, "l_orderkey", pick, "order_total")

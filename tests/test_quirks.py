@@ -1,0 +1,116 @@
+"""Quirk decisions on hand-made tables written in the test-data layout."""
+
+import datetime as dt
+import os
+
+import pytest
+
+from ledgerline.operators import warehouse as W
+from ledgerline.plans import file_jobs, reports
+from ledgerline.sources.tables import Tables
+
+D = dt.datetime
+
+
+def write_tables(spark, base, **tables):
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(os.path.join(base, f"{name}.parquet"))
+    return Tables(spark, base)
+
+
+CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+LINEITEM = ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+            "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+            "l_shipdate timestamp_ntz")
+PART = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+NATION = "n_nationkey int, n_name string, n_regionkey int"
+REGION = "r_regionkey int, r_name string"
+SUPPLIER = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
+
+
+def test_s1_cutoff_day_and_null_subquery(spark, tmp_dir):
+    cust = [(1, "a", 0, 1.0, "x"), (2, "b", 0, 1.0, "x"), (3, "c", 0, 1.0, "x")]
+    orders = [(10, 1, "F", 1.0, D(1998, 5, 1), "1"), (11, 2, "F", 1.0, D(1998, 5, 1), "1"),
+              (12, 2, "F", 1.0, D(1999, 1, 1), "1"),   # on the cutoff: in neither set
+              (13, 3, "F", 1.0, D(1998, 1, 1), "1"), (14, 3, "F", 1.0, D(1999, 3, 1), "1")]
+    t = write_tables(spark, tmp_dir, customer=(cust, CUSTOMER), orders=(orders, ORDERS))
+    assert sorted(r.customer_name for r in reports.lapsed_customers(t).collect()) == ["a", "b"]
+    base2 = os.path.join(tmp_dir, "nulls")
+    t2 = write_tables(spark, base2, customer=(cust, CUSTOMER),
+                      orders=(orders + [(15, None, "F", 1.0, D(2000, 1, 1), "1")], ORDERS))
+    assert reports.lapsed_customers(t2).count() == 0   # NOT IN with a NULL in the subquery
+
+
+def _sales_fixture(spark, base):
+    part = [(1, "blue widget", "Brand#1", "SMALL", 1, 1.0), (2, "red plate", "Brand#2", "LARGE", 1, 1.0),
+            (3, "widget XL", "Brand#1", "SMALL", 1, 1.0)]
+    nation = [(0, "N0", 1), (1, "N1", 1), (2, "IDLE", 1)]
+    region = [(1, "AMERICA")]
+    cust = [(1, "c1", 0, 1.0, "s"), (2, "c2", 0, 1.0, "s"), (3, "c3", 1, 1.0, "s")]
+    supp = [(7, "s7", 1, 1.0)]
+    orders = [(10, 1, "F", 1.0, D(1999, 2, 1), "1"), (11, 2, "F", 1.0, D(1999, 3, 1), "1"),
+              (12, 3, "F", 1.0, D(1999, 4, 1), "1")]
+    li = [(10, 1, 7, 1, 4.0, 1.0, 0.0, 0.0, "N", "F", D(1999, 2, 2)),
+          (10, 2, 7, 2, 1.0, 1.0, 0.0, 0.0, "N", "F", D(1999, 2, 2)),
+          (11, 3, 7, 1, 20.0, 1.0, 0.0, 0.0, "N", "F", D(1999, 3, 2)),
+          (12, 1, 7, 1, 1.0, 1.0, 0.0, 0.0, "N", "F", D(1999, 4, 2)),
+          (12, 2, 7, 2, 1.0, 1.0, 0.0, 0.0, "N", "F", D(1999, 4, 2))]
+    return write_tables(spark, base, part=(part, PART), nation=(nation, NATION), region=(region, REGION),
+                        customer=(cust, CUSTOMER), supplier=(supp, SUPPLIER), orders=(orders, ORDERS),
+                        lineitem=(li, LINEITEM))
+
+
+def test_s7_zero_buyers_omitted(spark, tmp_dir):
+    t = _sales_fixture(spark, tmp_dir)
+    got = sorted(r.customer_name for r in reports.small_buyers_of_item(t).collect())
+    # c1 bought 4 widgets, c3 bought 1; c2 bought 20 (too many); nobody without widgets is listed.
+    assert got == ["c1", "c3"]
+
+
+def test_s8_s9_ties_kept_and_no_idle_city(spark, tmp_dir):
+    t = _sales_fixture(spark, tmp_dir)
+    rows = sorted((r.city, r.most_delivered) for r in reports.top_item_per_region(t).collect())
+    assert ("IDLE, AMERICA", "No Sales") not in rows
+    n0 = sorted(m for c, m in rows if c == "N0, AMERICA")
+    assert n0 == ["blue widget", "red plate", "widget XL"]   # three-way tie at rank 1, all kept
+
+
+def test_s11_total_modes(spark, tmp_dir):
+    orders = [(1, 1, "F", 1.0, D(1999, 1, 1), "1"), (2, 1, "F", 1.0, D(1999, 1, 1), "1")]
+    li = [(1, 1, 1, 1, 1.0, 10.0, 0.0, 0.06, "N", "F", D(1999, 1, 2)),
+          (1, 1, 1, 2, 1.0, 20.0, 0.0, 0.06, "N", "F", D(1999, 1, 2))]
+    t = write_tables(spark, tmp_dir, orders=(orders, ORDERS), lineitem=(li, LINEITEM))
+    last = {r.o_orderkey: r.order_total for r in reports.invoice_with_total(t).collect()}
+    total = {r.o_orderkey: r.order_total for r in reports.invoice_with_total(t, mode="sum_lines").collect()}
+    pct = {r.o_orderkey: r.order_total for r in reports.invoice_with_total(t, tax_is_percent=True).collect()}
+    assert str(last[1]) == "21.2000" and last[2] is None
+    assert str(total[1]) == "31.8000"
+    assert str(pct[1]) == "20.0120"
+
+
+def test_s19_rounding_per_column_and_s20_modes(spark):
+    orders = spark.createDataFrame(
+        [(1, 5, 1, None, None, dt.date(2020, 1, 1), None, "2020-01-01 00:00:00"),
+         (2, 5, 1, None, None, dt.date(2020, 1, 2), None, "2020-01-02 00:00:00")],
+        "OrderID long, CustomerID long, SalespersonPersonID int, PickedByPersonID int, BackorderOrderID long, "
+        "OrderDate date, PickingCompletedWhen timestamp_ntz, LastEditedWhen string")
+    from decimal import Decimal
+    lines = spark.createDataFrame(
+        [(1, 9, "d", 1, Decimal("0.05"), Decimal("0.150")), (2, 9, "d", 1, Decimal("0.05"), Decimal("0.150"))],
+        "OrderID long, StockItemID long, Description string, Quantity int, UnitPrice decimal(18,2), TaxRate decimal(18,3)")
+    fact = W.build_fact_orders(orders, lines)
+    r = fact.where("WWIOrderID = 1").first()
+    # 0.05 excl + 0.0075 tax: each column rounds on its own, so total != excl + tax.
+    assert (str(r.TotalExcludingTax), str(r.TaxAmount), str(r.TotalIncludingTax)) == ("0.05", "0.01", "0.06")
+    by_customer = sorted((str(x.ValidFrom), x.Active) for x in W.build_customer_dimension(fact).collect())
+    assert by_customer == [("2020-01-01 00:00:00", 0), ("2020-01-02 00:00:00", 1)]
+    faithful = W.build_customer_dimension(fact, partition_col="OrderKey").collect()
+    assert all(x.Active == 1 and x.ValidTo is None for x in faithful)
+
+
+@pytest.mark.parametrize("join_rest,want", [(False, "Ann,Lee,-,555,1234,elm,street"),
+                                            (True, "Ann,Lee,-,555,1234,elm street")])
+def test_s30_rest_field(spark, join_rest, want):
+    lines = spark.createDataFrame([("ann lee - 555 991234 elm street",)], "value string")
+    assert [r.line for r in file_jobs.clean_people(lines, join_rest=join_rest).collect()] == [want]
