@@ -10,7 +10,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, DateType, DecimalType, IntegerType, LongType, StringType, StructField,
+from pyspark.sql.types import (ArrayType, DateType, DecimalType, LongType, StringType, StructField,
                                StructType)
 
 from ledgerline.functions import dialect as D
