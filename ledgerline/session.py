@@ -65,7 +65,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory named by the cluster.
 
     Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local runs and tests) a private directory is created and registered.
+    *and* the master is local (tests, single-machine runs) a private
+    directory is created; on a cluster an unset directory is an error,
+    because a machine-local folder is not visible to every executor.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -76,6 +78,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared filesystem path (e.g. on HDFS or object storage)")
     local = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
