@@ -156,15 +156,29 @@ def silver_repaired(t: Tables) -> DataFrame:
 
 
 def status_write_back(t: Tables) -> DataFrame:
-    """P2/P3 status lifecycle on bronze (DML3, QA4, S22).
+    """P2/P3 status lifecycle on bronze (QA4, S22).
 
     Clean rows become ``loaded``, quarantined ``quarantined``; rows that fit
     neither split are marked ``unclassified`` instead of vanishing.  The
-    update is a keyed merge on the raw value; no bronze row is lost.
+    reference merges silver's classification back onto bronze by raw value
+    (DML3).  Every silver row is derived from its own bronze value, so the
+    same status follows from classifying each new bronze row directly: a
+    map-only plan with no shuffle or join, whatever the table size.  The
+    keyed merge (:func:`ledgerline.operators.mutation.update_matched`) is used
+    where updates come from another table (``plans.flows``).
     """
-    b = bronze(t)
-    classified = Q.classify(silver_all(t), "new_status").select("value", "new_status")
-    return M.update_matched(b, classified, "value", "status", source_col="new_status")
+    return classify_bronze(bronze(t))
+
+
+def classify_bronze(bronze_df: DataFrame) -> DataFrame:
+    """Bronze rows with ``status`` set from their own parsed value (new rows only)."""
+    parsed = bronze_df.select("*", F.inline_outer(F.array(F.from_json("value", MOVIE_SCHEMA))))
+    runtime, budget = F.col("RunTime"), F.col("Budget")
+    label = (F.when((runtime >= 0) & (budget >= Q.MIN_BUDGET), F.lit(Q.CLEAN))
+             .when((runtime < 0) | (budget < Q.MIN_BUDGET), F.lit(Q.QUARANTINED))
+             .otherwise(F.lit(Q.UNCLASSIFIED)))
+    out = parsed.withColumn("status", F.when(F.col("status") == "new", label).otherwise(F.col("status")))
+    return out.select(*bronze_df.columns)
 
 
 def genre_lookup(t: Tables) -> DataFrame:
