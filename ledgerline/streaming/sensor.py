@@ -117,3 +117,27 @@ def run_sensor_stream(spark: SparkSession, source: str, sink: str, checkpoint: s
     """P6 as a running job: event files in ``source`` -> 5-second averages appended to ``sink``."""
     return start_sink(streaming_averages(read_event_stream(spark, source), delay), checkpoint,
                       mode="append", fmt="parquet", path=sink, available_now=available_now)
+
+
+# Payload of one sensor message (FIXTURES 1.8).
+MESSAGE_SCHEMA = StructType([
+    StructField("id", StringType()), StructField("timestamp", StringType()),
+    StructField("uv", DoubleType()), StructField("temperature", LongType()), StructField("humidity", LongType()),
+])
+
+
+def sensor_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
+    """ST1 for raw message bodies (e.g. a text/Kafka ``value`` column): parse the JSON
+    payload and use its ``timestamp`` field as event time (``TIMESTAMP BY``)."""
+    m = F.from_json(F.col(value_col).cast("string"), MESSAGE_SCHEMA)
+    return messages.select(F.inline_outer(F.array(m))).select(
+        F.col("id"),
+        F.to_timestamp("timestamp").cast("timestamp_ntz").alias("timestamp"),
+        F.col("uv"), F.col("temperature"), F.col("humidity"))
+
+
+def streaming_message_averages(messages: DataFrame, value_col: str = "value",
+                               delay: str = "10 seconds") -> DataFrame:
+    """P6 over a message stream: parse, bound lateness, 5-second windows."""
+    r = sensor_messages(messages, value_col).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    return five_second_averages(r.withWatermark("timestamp", delay))

@@ -62,3 +62,24 @@ def test_append_mode_watermark_drops_late(spark, tmp_dir):
     assert len(first) == 1 and first[0].average_temperature == 89.0
     # Windows whose end is past the final watermark stay open (not emitted) in append mode.
     assert not [r for r in res.collect() if r.id == 3]
+
+
+def test_json_message_stream(spark, tmp_dir):
+    import json
+    src = os.path.join(tmp_dir, "msgs")
+    os.makedirs(src)
+    msgs = [{"id": "dev1", "timestamp": "2024-01-01T00:00:01", "uv": 0.5, "temperature": 90, "humidity": 88},
+            {"id": "dev1", "timestamp": "2024-01-01T00:00:03", "uv": 0.25, "temperature": 86, "humidity": 86},
+            {"id": "dev2", "timestamp": "2024-01-01T00:00:02", "uv": 0.1, "temperature": 85, "humidity": 99}]
+    with open(os.path.join(src, "m1.txt"), "w") as f:
+        f.write("\n".join(json.dumps(m) for m in msgs) + "\n")
+    stream = spark.readStream.format("text").load(src)
+    q = S.start_sink(S.five_second_averages(S.sensor_messages(stream)), os.path.join(tmp_dir, "ck"),
+                     mode="complete", fmt="memory", query_name="sensor_msgs", available_now=True)
+    q.awaitTermination(120)
+    got = {r.id: (r.average_uv, r.average_temperature, r.is_sweaty, r.estimated_time)
+           for r in spark.table("sensor_msgs").collect()}
+    assert got["dev1"] == (0.375, 88.0, 1, BASE + dt.timedelta(seconds=2))
+    assert got["dev2"][2] == 0                # temperature average exactly 85 is not sweaty
+    streaming = S.streaming_message_averages(spark.readStream.format("text").load(src))
+    assert streaming.isStreaming
