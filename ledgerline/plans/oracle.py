@@ -7,8 +7,6 @@ rewritten Spark plans rather than repeat them.
 
 from __future__ import annotations
 
-SOLD_O = "l.l_linestatus = 'O'"
-
 ORACLE: dict[str, str] = {}
 
 ORACLE["contact_or_join"] = """
