@@ -12,6 +12,7 @@ from ledgerline.llm.exact_dedup import dedup_groups
 from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.sharding import byte_shards
 from ledgerline.llm.url_filter import judge_urls
+from ledgerline.llm.word_bpe import digests, encode_documents
 
 #: (host, path, verdict) of the rules that the URL query judges by.  Fixed values.
 URL_RULES = [
@@ -39,13 +40,17 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(encode_documents(documents(spark, sf_dir)))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op4_byte_shards, op5_url_rules, op7_exact_dedup, op10_best_fit_packing,
+        op4_byte_shards, op5_url_rules, op7_exact_dedup, op9_word_bpe, op10_best_fit_packing,
     )
 }
 
