@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import documents
 from ledgerline.llm.exact_dedup import dedup_groups
+from ledgerline.llm.kmeans_tree import nearest
 from ledgerline.llm.packing import pack_documents
+from ledgerline.llm.quality_rules import score_quality, train
 from ledgerline.llm.sharding import byte_shards
 from ledgerline.llm.url_filter import judge_urls
 from ledgerline.llm.word_bpe import digests, encode_documents
@@ -23,6 +25,22 @@ URL_RULES = [
 ]
 
 
+def op1_kmeans_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=20, k=20)
+
+
+def _remainder(n: int):
+    """crc32 of the id as text, modulo n."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(n))
+
+
+def op2_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    model = train(docs, labels.where(_remainder(5) != 0))
+    return score_quality(docs, model).select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op4_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = byte_shards(documents(spark, sf_dir), shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -50,7 +68,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op4_byte_shards, op5_url_rules, op7_exact_dedup, op9_word_bpe, op10_best_fit_packing,
+        op1_kmeans_tree_search, op2_rule_quality, op4_byte_shards, op5_url_rules, op7_exact_dedup, op9_word_bpe, op10_best_fit_packing,
     )
 }
 
