@@ -13,6 +13,7 @@ from ledgerline.llm.kmeans_tree import nearest
 from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.quality_rules import score_quality, train
 from ledgerline.llm.sharding import byte_shards
+from ledgerline.llm.substring_dedup import remove_repeats
 from ledgerline.llm.url_filter import judge_urls
 from ledgerline.llm.word_bpe import digests, encode_documents
 
@@ -58,6 +59,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir), length=35).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_documents(documents(spark, sf_dir)))
 
@@ -68,7 +74,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_kmeans_tree_search, op2_rule_quality, op4_byte_shards, op5_url_rules, op7_exact_dedup, op9_word_bpe, op10_best_fit_packing,
+        op1_kmeans_tree_search, op2_rule_quality, op4_byte_shards, op5_url_rules, op7_exact_dedup, op8_substring_dedup, op9_word_bpe, op10_best_fit_packing,
     )
 }
 
@@ -89,6 +95,24 @@ ORACLE: dict[str, str] = {
             FROM u LEFT JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
         SELECT page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict FROM m WHERE k = 1
     """,
+    "op8_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\v\f\r]+'), lambda x: x <> '') AS w
+            FROM documents),
+        k AS (
+            SELECT doc_id, s, md5(array_to_string(w[s : s + 34], ' ')) AS h
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS s FROM d)),
+        r AS (SELECT doc_id, s FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY h) AS c FROM k) WHERE c > 1),
+        g AS (SELECT DISTINCT doc_id, s + unnest(range(0, 35)) AS p FROM r),
+        gone AS (SELECT doc_id, list(p) AS ps FROM g GROUP BY doc_id),
+        kept AS (
+            SELECT d.doc_id, len(w) AS n_words, coalesce(len(ps), 0) AS n_removed, w, ps FROM d LEFT JOIN gone USING (doc_id)),
+        flat AS (
+            SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM kept),
+        stay AS (
+            SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM flat ANTI JOIN g USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, n_words, n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM kept LEFT JOIN stay USING (doc_id)
+    """,
     "op7_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, coalesce(text, '') AS t,
