@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import documents
 from ledgerline.llm.exact_dedup import dedup_groups
+from ledgerline.llm.jaccard_join import linked_groups
 from ledgerline.llm.kmeans_tree import nearest
 from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.quality_rules import score_quality, train
@@ -54,6 +55,10 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_groups(documents(spark, sf_dir), size=5, percent=80)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return dedup_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -74,7 +79,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_kmeans_tree_search, op2_rule_quality, op4_byte_shards, op5_url_rules, op7_exact_dedup, op8_substring_dedup, op9_word_bpe, op10_best_fit_packing,
+        op1_kmeans_tree_search, op2_rule_quality, op4_byte_shards, op5_url_rules, op6_jaccard_join, op7_exact_dedup, op8_substring_dedup, op9_word_bpe, op10_best_fit_packing,
     )
 }
 
@@ -95,6 +100,25 @@ ORACLE: dict[str, str] = {
             FROM u LEFT JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
         SELECT page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict FROM m WHERE k = 1
     """,
+    "op6_jaccard_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\v\f\r]+'), lambda x: x <> '') AS w
+            FROM documents),
+        s AS MATERIALIZED (
+            SELECT DISTINCT doc_id, md5_number(array_to_string(w[i : i + 4], ' ')) AS h
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        o AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+        l AS MATERIALIZED (
+            SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+        e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        r(doc_id, c) AS (
+            SELECT doc_id, doc_id FROM d UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+        SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id
+        FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id
+    """,
     "op8_substring_dedup": r"""
         WITH d AS (
             SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\v\f\r]+'), lambda x: x <> '') AS w

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.common import stored
+from ledgerline.llm.rows import numbered
 from ledgerline.llm.words import prefix_hashes, range_hashes, shingle_hashes, split_words, word_hashes
 
 ANCHOR_WORDS = 8
@@ -146,7 +147,7 @@ def remove_repeats(docs: DataFrame, length: int = 35, id_col: str = "doc_id", te
     ignored.
     """
     spark = docs.sparkSession
-    rows = _with_rows(docs, id_col, text_col)
+    rows = numbered(docs, id_col, text_col)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,16 +204,6 @@ def remove_repeats(docs: DataFrame, length: int = 35, id_col: str = "doc_id", te
     return rows.join(removed, "_row", "left").select("_id", "_text", "_spans").mapInArrow(_without(schema), schema)
 
 
-def _with_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_row, _id, _text); _row is the id where ids are whole numbers and unique, else a number written with the row."""
-    slim = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    if isinstance(docs.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType)):
-        twice = slim.groupBy("_id").count().where((F.col("count") > 1) | F.col("_id").isNull()).limit(1).count()
-        if not twice:
-            return slim.withColumn("_row", F.col("_id").cast("long"))
-    return stored(slim.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-
-
 def _fetch(length: int):
     """For mapInArrow on (_text, _wanted): the words of each wanted segment, or of its windows if the anchor is crowded."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
