@@ -11,6 +11,7 @@ from ledgerline.llm.common import documents
 from ledgerline.llm.exact_dedup import dedup_groups
 from ledgerline.llm.jaccard_join import linked_groups
 from ledgerline.llm.kmeans_tree import nearest
+from ledgerline.llm.ngram_lm import score_documents
 from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.quality_rules import score_quality, train
 from ledgerline.llm.sharding import byte_shards
@@ -43,6 +44,12 @@ def op2_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, model).select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op3_ngram_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = score_documents(docs, _remainder(7) != 2)
+    return scored.select("doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = byte_shards(documents(spark, sf_dir), shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -79,7 +86,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_kmeans_tree_search, op2_rule_quality, op4_byte_shards, op5_url_rules, op6_jaccard_join, op7_exact_dedup, op8_substring_dedup, op9_word_bpe, op10_best_fit_packing,
+        op1_kmeans_tree_search, op2_rule_quality, op3_ngram_trie_scores, op4_byte_shards, op5_url_rules, op6_jaccard_join,
+        op7_exact_dedup, op8_substring_dedup, op9_word_bpe, op10_best_fit_packing,
     )
 }
 
