@@ -135,19 +135,20 @@ def spans_of(starts: list[int], length: int) -> list[int]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = 35, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_words, n_removed, kept_text.
+def remove_repeats(docs: DataFrame, length: int = 35, id_col: str = "doc_id", text_col: str = "text",
+                   keep: list[str] | None = None) -> DataFrame:
+    """One row per input row: id, n_words, n_removed, kept_text, and the columns ``keep``.
 
     Words are runs of characters other than [\\x20\\x09-\\x0D].  Every word that a
     repeated window of ``length`` words covers goes, in all places where the
     window occurs, the first included; kept words are joined by one space.  A
     null text is empty.  Texts shorter than a window stay whole.  Repeated rows
     and rows with equal or null ids are documents of their own, so their windows
-    repeat each other.  An empty table gives an empty result; other columns are
-    ignored.
+    repeat each other.  An empty table gives an empty result; columns not in
+    ``keep`` are ignored, and kept ones must not be named like a result.
     """
-    spark = docs.sparkSession
-    rows = numbered(docs, id_col, text_col)
+    keep = list(keep or [])
+    rows = numbered(docs, id_col, text_col, keep)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,8 +201,9 @@ def remove_repeats(docs: DataFrame, length: int = 35, id_col: str = "doc_id", te
 
     id_type = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, id_type), T.StructField("n_words", T.LongType()),
-                           T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
-    return rows.join(removed, "_row", "left").select("_id", "_text", "_spans").mapInArrow(_without(schema), schema)
+                           T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType()),
+                           *[docs.schema[c] for c in keep]])
+    return rows.join(removed, "_row", "left").select("_id", "_text", "_spans", *keep).mapInArrow(_without(schema), schema)
 
 
 def _fetch(length: int):
@@ -252,5 +254,6 @@ def _without(schema: T.StructType):
                 removed.append(len(words) - len(stay))
                 kept.append(b" ".join(stay).decode())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=schema.names)
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()), *batch.columns[3:]],
+                names=schema.names)
     return run
