@@ -23,16 +23,17 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def latest_per_key(batch: DataFrame, keys: Sequence[str], latest_col: str) -> DataFrame:
-    """DML2: one source row per key, the one with the greatest ``latest_col``.
+def latest_per_key(batch: DataFrame, keys: Sequence[str], latest: str | Column) -> DataFrame:
+    """DML2: one source row per key, the one with the greatest ``latest`` (a column or an
+    expression, e.g. text cast to a timestamp); ties go to the greatest remaining columns.
 
     ``MERGE`` fails when two source rows match one target row; the batch is
     made unique first.  ``max(struct)`` is a partial aggregate (skew-safe).
     """
-    rest = [c for c in batch.columns if c not in keys and c != latest_col]
-    packed = F.max(F.struct(F.col(latest_col), *[F.col(c) for c in rest])).alias("_latest")
+    rest = [c for c in batch.columns if c not in keys]
+    packed = F.max(F.struct(_c(latest).alias("_latest_by"), *[F.col(c) for c in rest])).alias("_latest")
     out = batch.groupBy(*keys).agg(packed)
-    return out.select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in [latest_col] + rest]).select(*batch.columns)
+    return out.select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in rest]).select(*batch.columns)
 
 
 def duplicate_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -49,7 +50,7 @@ def merge_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Da
     """
     batch = batch.select(*target.columns)
     kept = target.join(batch.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(batch)
+    return kept.select(*target.columns).unionByName(batch)
 
 
 def delete_where(target: DataFrame, predicate: Column) -> DataFrame:

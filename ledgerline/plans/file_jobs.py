@@ -46,21 +46,36 @@ def people_lines(t: Tables) -> tuple[DataFrame, DataFrame]:
     return header.unionByName(cust), header.unionByName(supp).unionByName(again)
 
 
-def clean_people(lines: DataFrame, header: str = HEADER, join_rest: bool = False) -> DataFrame:
+MIN_FIELDS = 5
+
+
+def _fields(lines: DataFrame) -> DataFrame:
+    return lines.where(F.length(F.trim("value")) > 0).select("value", T.split_blanks("value").alias("t"))
+
+
+def short_lines(lines: DataFrame) -> DataFrame:
+    """Lines with too few fields to clean (P7's rejects)."""
+    return _fields(lines).where(F.size("t") < MIN_FIELDS).select("value")
+
+
+def clean_people(lines: DataFrame, header: str | None = HEADER, join_rest: bool = False) -> DataFrame:
     """Title-case names, dash 10-digit phones, keep the last 4 address digits,
     join tokens with commas, and drop duplicate lines across all inputs (SET4).
 
     Faithful to the reference: trailing address words become extra CSV
     fields; ``join_rest=True`` keeps them as one blank-separated field (S30).
+    ``header`` drops lines by their text, for lines that no file reader has
+    skipped.  Lines of fewer than five fields are left to :func:`short_lines`.
     """
-    body = lines.where(F.trim("value") != header).where(F.length(F.trim("value")) > 0)
-    tok = body.select(T.split_blanks("value").alias("t"))
+    body = lines if header is None else lines.where(F.trim("value") != header)
+    tok = _fields(body).where(F.size("t") >= MIN_FIELDS).select("t")
     t = F.col("t")
     rest = F.slice(t, 6, 1 << 20)
     if join_rest:
         rest = F.when(F.size(rest) > 0, F.array(F.array_join(rest, " "))).otherwise(F.array().cast("array<string>"))
     cleaned = F.concat(
-        F.array(T.python_title(t[0]), T.python_title(t[1]), t[2], T.dash_phone(t[3]), T.last_chars(t[4], 4)),
+        F.array(*[f(F.get(t, F.lit(i))) for i, f in enumerate(
+            (T.python_title, T.python_title, lambda x: x, T.dash_phone, lambda x: T.last_chars(x, 4)))]),
         rest)
     return tok.select(F.array_join(cleaned, ",").alias("line")).distinct()
 
@@ -84,6 +99,8 @@ def assign_splits(items: DataFrame, order_cols, n_splits: int = NUM_SPLITS) -> D
 
 
 def json_split(t: Tables) -> DataFrame:
-    """P8 summary: number of items per split (the files themselves via ``write_split_json``)."""
-    s = assign_splits(t.part, ["p_partkey"])
-    return s.groupBy("split_id").agg(F.count(F.lit(1)).alias("n_items"))
+    """P8 summary: items of each split and which they are (the files themselves via ``write_split_json``)."""
+    s = assign_splits(t.part.select("p_partkey"), ["p_partkey"])
+    key = F.col("p_partkey").cast("bigint")
+    return s.groupBy("split_id").agg(F.count(F.lit(1)).alias("n_items"), F.min(key).alias("first_key"),
+                                     F.max(key).alias("last_key"), F.sum(key).alias("key_sum"))

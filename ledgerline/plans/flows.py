@@ -1,10 +1,11 @@
 """File-backed flows: the movie lake (P1-P3), the warehouse load (P4, P5, INC7) and
 their sequencing (P9).
 
-Every step is a DataFrame job that reads the current version of its input
-tables and commits a new version of its output (``sinks.writers.write_version``),
-so a failure part-way leaves the previous versions current and a re-run is
-safe.  Configuration is plain dataclasses (UDF5).
+Every step can run again at any point.  Bronze, silver, lookups, ODS tables and
+watermarks only grow by appends of rows that are not there yet; the one change in
+place is a bronze row's status, which rewrites the ingest dates it touches.  A
+step that fails between two of its commits finds on the next run what it has
+already written.  Configuration is plain dataclasses (UDF5).
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,54 +45,76 @@ class MovieFlowConfig:
         return f"{self.base}/lookups/{name}"
 
 
-def _current_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    return WR.read_current(spark, path) if WR.current_version(spark, path) is not None else None
+VALUE_KEY = "value_sha256"
 
 
-def raw_to_bronze(spark: SparkSession, cfg: MovieFlowConfig) -> int:
-    """Raw documents -> bronze rows with status ``new``.
+def _with_key(df: DataFrame) -> DataFrame:
+    """A short key of the raw text, so that joins don't carry the text itself."""
+    return df.withColumn(VALUE_KEY, F.sha2(F.col("value").cast("binary"), 256))
+
+
+def _absent(df: DataFrame, present: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose keys (NULL equal to NULL) are not in ``present``."""
+    if present is None:
+        return df
+    old = present.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    return df.join(old, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_anti")
+
+
+def read_silver(spark: SparkSession, cfg: MovieFlowConfig) -> DataFrame:
+    return spark.read.parquet(cfg.silver).select(*MD.SILVER_COLUMNS)
+
+
+def raw_to_bronze(spark: SparkSession, cfg: MovieFlowConfig) -> None:
+    """Raw documents -> bronze rows with status ``new``, appended by ingest date.
 
     Values already present in bronze are not ingested again, so re-running
     the same raw files leaves bronze unchanged (the reference appends them
     a second time).  Duplicates inside one batch are kept; silver dedupes.
     """
     raw = S.read_multiline_json_array(spark, cfg.raw_path, "movie")
-    fresh = MD.transform_raw(raw, cfg.datasource, cfg.as_of)
-    current = _current_or_none(spark, cfg.bronze)
-    if current is not None:
-        fresh = fresh.join(current.select("value").distinct(), "value", "left_anti").select(*current.columns)
-        fresh = current.unionByName(fresh)
-    return WR.write_version(fresh, cfg.bronze, partition_column="p_ingestdate")
+    fresh = _with_key(MD.transform_raw(raw, cfg.datasource, cfg.as_of))
+    current = WR.read_or_none(spark, cfg.bronze)
+    WR.append_rows(_absent(fresh, current, [VALUE_KEY]), cfg.bronze, "p_ingestdate")
+
+
+def _merge_lookup(df: DataFrame, path: str, name: str) -> None:
+    """QA5: add the rows that the lookup does not hold yet."""
+    spark = df.sparkSession
+    WR.append_rows(_absent(df, WR.read_or_none(spark, path), df.columns), path)
+    spark.read.parquet(path).createOrReplaceTempView(name)
+
+
+def _append_silver(rows: DataFrame, cfg: MovieFlowConfig) -> None:
+    """One silver row per raw value, also when the step runs again after a failure."""
+    keyed = _with_key(rows).select(VALUE_KEY, *MD.SILVER_COLUMNS)
+    WR.append_rows(_absent(keyed, WR.read_or_none(rows.sparkSession, cfg.silver), [VALUE_KEY]), cfg.silver)
+
+
+def _write_status(bronze: DataFrame, labels: DataFrame, status: str, cfg: MovieFlowConfig) -> None:
+    """DML3/JN14: set the status of the matched rows, in the ingest dates that hold rows of ``status``."""
+    touched = bronze.where(F.col("status") == status).select("p_ingestdate").distinct()
+    rows = bronze.join(touched, "p_ingestdate", "left_semi")
+    out = M.update_matched(rows, labels, "value", "status", source_col="new_status")
+    WR.replace_partitions(out.select(*bronze.columns), cfg.bronze, "p_ingestdate")
 
 
 def bronze_to_silver(spark: SparkSession, cfg: MovieFlowConfig) -> None:
     """New bronze rows -> lookups, clean silver rows, bronze statuses (SNK4 multi-sink).
 
-    The shredded rows are persisted once and feed every sink (lookups,
-    silver, status write-back) instead of being recomputed per sink.
+    The statuses come last: until they are written the rows count as new, and
+    a repeated run adds to lookups and silver only what is missing there.
     """
-    bronze = WR.read_current(spark, cfg.bronze)
-    new = bronze.where(F.col("status") == "new")
-    shredded = MD.transform_bronze(new).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        genres = Q.lookup_genres(shredded)
-        languages = Q.lookup_languages_constant(shredded)
-        WR.write_parquet_truncate(genres, cfg.lookup("genres"))
-        WR.write_parquet_truncate(languages, cfg.lookup("original_languages"))
-        spark.read.parquet(cfg.lookup("genres")).createOrReplaceTempView("genres")
-        spark.read.parquet(cfg.lookup("original_languages")).createOrReplaceTempView("original_languages")
-
-        silver_rows = MD.refactor_silver(shredded)
-        clean, _, _ = Q.split_clean_quarantine(silver_rows)
-        clean = clean.select(*MD.SILVER_COLUMNS)
-        current = _current_or_none(spark, cfg.silver)
-        WR.write_version(current.unionByName(clean) if current is not None else clean, cfg.silver)
-
-        labels = Q.classify(silver_rows, "new_status").select("value", "new_status")
-        WR.write_version(M.update_matched(bronze, labels, "value", "status", source_col="new_status"), cfg.bronze,
-                         partition_column="p_ingestdate")
-    finally:
-        shredded.unpersist()
+    bronze = spark.read.parquet(cfg.bronze)
+    new = bronze.where(F.col("status") == "new").dropDuplicates([VALUE_KEY])
+    shredded = MD.transform_bronze(new)
+    _merge_lookup(Q.lookup_genres(new.select(F.inline_outer(F.array(F.from_json("value", MD.GENRES_ONLY))))),
+                  cfg.lookup("genres"), "genres")
+    _merge_lookup(Q.lookup_languages_constant(shredded), cfg.lookup("original_languages"), "original_languages")
+    silver_rows = MD.refactor_silver(shredded, dedupe=False)
+    clean, _, _ = Q.split_clean_quarantine(silver_rows)
+    _append_silver(clean, cfg)
+    _write_status(bronze, Q.classify(silver_rows, "new_status").select("value", "new_status"), "new", cfg)
 
 
 def silver_update(spark: SparkSession, cfg: MovieFlowConfig) -> None:
@@ -101,18 +123,11 @@ def silver_update(spark: SparkSession, cfg: MovieFlowConfig) -> None:
     Only rows that are actually written are marked loaded (S27); a row that
     is still defective after repair (NULL budget) becomes ``unclassified``.
     """
-    bronze = WR.read_current(spark, cfg.bronze)
-    quarantined = MD.refactor_silver(MD.transform_bronze(bronze.where(F.col("status") == Q.QUARANTINED)))
-    repaired = Q.classify(Q.repair(quarantined), "new_status").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fixed = repaired.where(F.col("new_status") == Q.CLEAN)
-        current = WR.read_current(spark, cfg.silver)
-        WR.write_version(current.unionByName(fixed.select(*MD.SILVER_COLUMNS)).distinct(), cfg.silver)
-        labels = repaired.select("value", "new_status")
-        WR.write_version(M.update_matched(bronze, labels, "value", "status", source_col="new_status"), cfg.bronze,
-                         partition_column="p_ingestdate")
-    finally:
-        repaired.unpersist()
+    bronze = spark.read.parquet(cfg.bronze)
+    quarantined = bronze.where(F.col("status") == Q.QUARANTINED).dropDuplicates([VALUE_KEY])
+    repaired = Q.classify(Q.repair(MD.refactor_silver(MD.transform_bronze(quarantined), dedupe=False)), "new_status")
+    _append_silver(repaired.where(F.col("new_status") == Q.CLEAN), cfg)
+    _write_status(bronze, repaired.select("value", "new_status"), Q.QUARANTINED, cfg)
 
 
 def run_movie_flow(spark: SparkSession, cfg: MovieFlowConfig) -> dict:
@@ -120,8 +135,8 @@ def run_movie_flow(spark: SparkSession, cfg: MovieFlowConfig) -> dict:
     raw_to_bronze(spark, cfg)
     bronze_to_silver(spark, cfg)
     silver_update(spark, cfg)
-    b = WR.read_current(spark, cfg.bronze)
-    return {"bronze": b.count(), "silver": WR.read_current(spark, cfg.silver).count(),
+    b = spark.read.parquet(cfg.bronze)
+    return {"bronze": b.count(), "silver": read_silver(spark, cfg).count(),
             "status": {r.status: r["count"] for r in b.groupBy("status").count().collect()}}
 
 
@@ -135,23 +150,31 @@ class WarehouseConfig:
         return f"{self.base}/{layer}/{name}"
 
 
-def load_table(spark: SparkSession, source: DataFrame, spec: INC.TableSpec, cfg: WarehouseConfig) -> None:
+def read_ods(spark: SparkSession, spec: INC.TableSpec, cfg: WarehouseConfig) -> DataFrame | None:
+    """The ODS table: of every key the latest of the loaded versions."""
+    loaded = WR.read_or_none(spark, cfg.path("ods", spec.name))
+    return None if loaded is None else M.latest_per_key(loaded, spec.keys, INC.as_timestamp(spec.watermark_col))
+
+
+def load_table(spark: SparkSession, source: DataFrame, spec: INC.TableSpec, cfg: WarehouseConfig) -> INC.LoadRound:
     """P4 for one table: watermark round into ODS, then the integration copy (INC5).
 
-    The control table is committed only after the ODS version is written
-    (INC4), so a failed load is retried from the same watermark.
+    The batch is appended, then the watermark (INC4); after a failure between
+    the two the batch is loaded again, which leaves the latest version of
+    every key as it was.  Rows without a usable watermark are written to
+    ``rejected`` for inspection (S34).
     """
     ctl_path = cfg.path("control", "watermarks")
-    control = _current_or_none(spark, ctl_path)
-    if control is None:
-        control = INC.control_table(spark, {s.name: cfg.seed for s in cfg.tables})
-    target = _current_or_none(spark, cfg.path("ods", spec.name))
-    if target is None:
-        target = source.limit(0)
-    new_target, new_control = INC.incremental_upsert(target, source, control, spec)
-    WR.write_version(new_target, cfg.path("ods", spec.name))
-    WR.write_version(new_control, ctl_path)
-    WR.write_parquet_truncate(WR.read_current(spark, cfg.path("ods", spec.name)), cfg.path("integration", spec.name))
+    control = WR.read_or_none(spark, ctl_path)
+    seeds = INC.control_table(spark, {s.name: cfg.seed for s in cfg.tables})
+    control = seeds if control is None else seeds.unionByName(control)
+    ods = cfg.path("ods", spec.name)
+    round_ = INC.incremental_upsert(source.limit(0), source, control, spec)
+    WR.append_rows(round_.batch, ods)
+    WR.append_rows(INC.control_table(spark, {spec.name: round_.new}), ctl_path)
+    WR.write_parquet_truncate(round_.rejected, cfg.path("rejected", spec.name))
+    WR.write_parquet_truncate(read_ods(spark, spec, cfg), cfg.path("integration", spec.name))
+    return round_
 
 
 def build_olap(spark: SparkSession, cfg: WarehouseConfig, orders: str = "orders_table",
@@ -180,15 +203,18 @@ def run_all(spark: SparkSession, movie: MovieFlowConfig, sources: dict[str, Data
     return summary
 
 
-def people_files_to_csv(spark: SparkSession, paths: Sequence[str], out_path: str, single_file: bool = True) -> int:
-    """P7 end to end: whitespace text files -> cleaned, de-duplicated CSV (SRC9, SET4, SNK10).
+def people_files_to_csv(spark: SparkSession, paths: Sequence[str], out_path: str, rejected_path: str | None = None,
+                        single_file: bool = False) -> int:
+    """P7 end to end: whitespace text files -> cleaned, de-duplicated comma lines (SRC9, SET4, SNK10).
 
     Overwrites the output (the reference appends, so a re-run doubled it, S30).
+    Lines with too few fields go to ``rejected_path``, if it is given.
     """
-    from ledgerline.plans.file_jobs import HEADER, clean_people
-    lines = spark.read.text(list(paths))
-    cleaned = clean_people(lines, HEADER)
-    WR.write_csv(cleaned, out_path, single_file=single_file)
+    from ledgerline.plans.file_jobs import clean_people, short_lines
+    lines = S.read_lines_after_header(spark, paths)
+    WR.write_lines(clean_people(lines, header=None), out_path, single_file=single_file)
+    if rejected_path:
+        WR.write_lines(short_lines(lines), rejected_path)
     return spark.read.text(out_path).count()
 
 
@@ -199,6 +225,6 @@ def split_json_file(spark: SparkSession, path: str, out_path: str, array_field:
     items = spark.read.option("multiLine", True).json(path).select(F.explode(array_field).alias("item"))
     items = items.select(F.col(f"item.{id_field}").alias("_order"), "item")
     split = assign_splits(items, ["_order"], n_splits).select("split_id", "item.*")
-    WR.write_split_json(split, out_path)
+    WR.write_split_json(split, out_path, array_field=array_field)
     back = spark.read.json(out_path)
     return {r.split_id: r["count"] for r in back.groupBy("split_id").count().collect()}

@@ -1,18 +1,16 @@
-"""Sinks (SNK1-SNK15): batch writers, staged overwrite of a table that is also
-the input, CSV / split-JSON outputs, table registration.
-
-A table that is read and rewritten in one job cannot be overwritten in
-place (Spark deletes the files it is about to read).  :func:`write_version`
-writes every new state to a fresh ``v=<n>`` directory under the table path
-and records the current version in a small ``_versions`` Parquet table, so
-readers always see a complete version and a failed write leaves the
-previous one current.
+"""Sinks (SNK1-SNK15): batch writers, replaced partitions of a table that is also
+the input, text / split-JSON outputs, table registration.
+
+New rows are appended.  Rows that change are written with Spark's dynamic
+partition overwrite, which stages the new files and replaces only the partitions
+that the rows lie in, so it may read the table that it writes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,39 +30,24 @@ def write_parquet_truncate(df: DataFrame, path: str, compression: str = "snappy"
     df.write.mode("overwrite").option("compression", compression).parquet(path)
 
 
-def _versions_path(base: str) -> str:
-    return base.rstrip("/") + "/_versions"
-
-
-def current_version(spark: SparkSession, base: str) -> int | None:
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, None if there is none yet; any other failure is raised."""
     try:
-        row = spark.read.parquet(_versions_path(base)).agg(F.max("version")).first()
-    except Exception:  # noqa: BLE001 - no version written yet
-        return None
-    return row[0]
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
-def read_current(spark: SparkSession, base: str) -> DataFrame:
-    v = current_version(spark, base)
-    if v is None:
-        raise FileNotFoundError(f"no committed version under {base}")
-    return spark.read.parquet(f"{base.rstrip('/')}/v={v}")
+def append_rows(df: DataFrame, path: str, partition_column: str | None = None) -> None:
+    """SNK1/SNK4: one append, which becomes visible when the whole job has succeeded."""
+    batch_writer(df, partition_column).save(path)
 
 
-def write_version(df: DataFrame, base: str, partition_column: str | None = None) -> int:
-    """SNK3/SNK15: write ``df`` as the next version of the table at ``base``.
-
-    The data lands in ``v=<n+1>`` first; only then is the version recorded
-    (an append of one row), which is the commit point.
-    """
-    spark = df.sparkSession
-    v = (current_version(spark, base) or 0) + 1
-    w = df.write.mode("overwrite")
-    if partition_column:
-        w = w.partitionBy(partition_column)
-    w.parquet(f"{base.rstrip('/')}/v={v}")
-    spark.createDataFrame([(v,)], "version int").write.mode("append").parquet(_versions_path(base))
-    return v
+def replace_partitions(df: DataFrame, path: str, partition_column: str) -> None:
+    """SNK3/SNK15: write ``df`` in place of the partitions that its rows lie in; the others stay untouched."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_column).parquet(path)
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
@@ -73,14 +56,21 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
     spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """SNK10: CSV output; ``single_file`` coalesces to one file (small outputs only)."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", False).csv(path)
+def write_lines(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """SNK10: a one-column frame as plain lines (no quoting); ``single_file`` for small outputs only."""
+    (df.coalesce(1) if single_file else df).write.mode("overwrite").text(path)
 
 
-def write_split_json(df: DataFrame, path: str, split_col: str = "split_id") -> None:
-    """SNK11: one JSON output directory per split value."""
+def write_split_json(df: DataFrame, path: str, split_col: str = "split_id", array_field: str | None = None) -> None:
+    """SNK11: one JSON output directory per split value.
+
+    With ``array_field`` every line is a document ``{array_field: [item]}``, which
+    the array reader takes like one document with all items, while no split has
+    to fit into one row.
+    """
+    if array_field:
+        item = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != split_col])
+        df = df.select(split_col, F.array(item).alias(array_field))
     df.write.mode("overwrite").partitionBy(split_col).json(path)
 
 
@@ -102,6 +92,7 @@ def write_table(df: DataFrame, table: str, schema=None, mode: str = "append") ->
     spark = df.sparkSession
     out = cast_to_schema(df, schema) if schema is not None else df
     if spark.catalog.tableExists(table):
-        out.write.mode(mode).insertInto(table)
+        # insertInto goes by position; the target's names decide the order.
+        out.select(*[F.col(f"`{c}`") for c in spark.table(table).columns]).write.mode(mode).insertInto(table)
     else:
         out.write.mode(mode).saveAsTable(table)

@@ -50,12 +50,22 @@ def read_table_with_status(spark: SparkSession, table: str, status: str) -> Data
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str | None = None, query: str | None = None,
-              properties: dict | None = None) -> DataFrame:
-    """SRC6/SRC7: database table or pushed-down query through Spark's JDBC source."""
+              properties: dict | None = None, split: tuple[str, object, object, int] | None = None) -> DataFrame:
+    """SRC6/SRC7: database table or pushed-down query through Spark's JDBC source.
+
+    ``split`` = (column, lower, upper, partitions) reads in parallel ranges; a
+    query is then passed as a derived table.  Without it one task reads all.
+    """
     reader = spark.read.format("jdbc").option("url", url)
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
-    if query is not None:
+    if split is not None:
+        column, lower, upper, n = split
+        reader = reader.option("partitionColumn", column).option("lowerBound", str(lower)) \
+            .option("upperBound", str(upper)).option("numPartitions", n)
+    if query is not None and split is not None:
+        reader = reader.option("dbtable", f"({query}) q")
+    elif query is not None:
         reader = reader.option("query", query)
     else:
         reader = reader.option("dbtable", table)
@@ -68,18 +78,24 @@ def first_value(df: DataFrame, col: str | Column):
     return row[0][0] if row else None
 
 
-def read_people_text(spark: SparkSession, paths: Sequence[str], header_prefix: str | None = None) -> DataFrame:
-    """SRC9: whitespace-delimited text lines; the header line of each file is dropped.
+def read_lines_after_header(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """SRC9: the lines of text files as ``value``, without the first line of each file, whatever it says.
+
+    The CSV reader skips headers by position in every file; a separator that
+    text doesn't hold and no quoting leave each line in one column.
+    """
+    return (spark.read.schema("value string").option("header", True).option("sep", "\u0001")
+            .option("quote", "").option("escape", "").option("mode", "PERMISSIVE").csv(list(paths)))
+
+
+def read_people_text(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """SRC9: ``line`` and its blank-separated ``tokens``; headers and blank lines are dropped.
 
-    Files are read in parallel, so line order is not kept; headers are
-    recognised by content (``header_prefix``) instead of by position.
+    Files are read in parallel, so line order is not kept.
     """
-    lines = spark.read.text(list(paths))
+    lines = read_lines_after_header(spark, paths)
     tokens = lines.select(F.col("value").alias("line"), split_blanks("value").alias("tokens"))
-    tokens = tokens.where(F.length(F.trim("line")) > 0)
-    if header_prefix is not None:
-        tokens = tokens.where(~F.col("line").startswith(header_prefix))
-    return tokens
+    return tokens.where(F.length(F.trim("line")) > 0)
 
 
 def inline_json(spark: SparkSession, text: str) -> DataFrame:

@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ledgerline.sinks import writers as W
@@ -26,14 +28,32 @@ def test_multiline_json_wildcard(spark, tmp_dir):
     assert all(v.startswith("{") for v in vals)
 
 
-def test_staged_overwrite_of_own_input(spark, tmp_dir):
+def test_replaced_partitions_of_own_input(spark, tmp_dir):
     base = os.path.join(tmp_dir, "bronze")
-    W.write_version(spark.createDataFrame([(1, "new"), (2, "new")], "k int, status string"), base)
-    current = W.read_current(spark, base)
-    updated = current.withColumn("status", F.when(F.col("k") == 1, "loaded").otherwise(F.col("status")))
-    v = W.write_version(updated, base)
-    assert v == 2
-    assert sorted(tuple(r) for r in W.read_current(spark, base).collect()) == [(1, "loaded"), (2, "new")]
+    W.append_rows(spark.createDataFrame([(1, "new", "a"), (2, "new", "a"), (3, "new", "b")], "k int, status string, d string"), base, "d")
+    before = sorted(os.listdir(os.path.join(base, "d=b")))
+    rows = spark.read.parquet(base).where("d = 'a'")
+    W.replace_partitions(rows.withColumn("status", F.when(F.col("k") == 1, "loaded").otherwise(F.col("status"))), base, "d")
+    assert sorted((r.k, r.status) for r in spark.read.parquet(base).collect()) == [(1, "loaded"), (2, "new"), (3, "new")]
+    assert sorted(os.listdir(os.path.join(base, "d=b"))) == before
+
+
+def test_only_a_missing_path_counts_as_no_table(spark, tmp_dir):
+    assert W.read_or_none(spark, os.path.join(tmp_dir, "nothing")) is None
+    broken = os.path.join(tmp_dir, "broken")
+    os.makedirs(broken)
+    with open(os.path.join(broken, "part-0.parquet"), "w") as f:
+        f.write("this is no table")
+    with pytest.raises(Exception):
+        W.read_or_none(spark, broken).count()
+
+
+def test_inserts_go_by_name(spark):
+    spark.sql("DROP TABLE IF EXISTS ll_by_name")
+    spark.sql("CREATE TABLE ll_by_name (a STRING, b STRING) USING parquet")
+    W.write_table(spark.createDataFrame([("B", "A")], "b string, a string"), "ll_by_name")
+    assert tuple(spark.table("ll_by_name").select("a", "b").first()) == ("A", "B")
+    spark.sql("DROP TABLE ll_by_name")
 
 
 def test_batch_writer_partitions_and_excludes(spark, tmp_dir):
@@ -45,21 +65,34 @@ def test_batch_writer_partitions_and_excludes(spark, tmp_dir):
     assert sorted(p for p in os.listdir(path) if p.startswith("d=")) == ["d=2024-01-01", "d=2024-01-02"]
 
 
-def test_people_text_read_skips_header(spark, tmp_dir):
-    p1 = os.path.join(tmp_dir, "people_1.txt")
+def test_people_files_with_any_header(spark, tmp_dir):
+    from ledgerline.plans import flows as FL
+    p1, p2 = (os.path.join(tmp_dir, f"people_{i}.txt") for i in (1, 2))
     with open(p1, "w") as f:
         f.write("first last middle phone address_no address\n")
-        f.write("john  o'neil\tx 1234567890 123456 main street\n")
-    df = S.read_people_text(spark, [p1], header_prefix="first last")
-    r = df.collect()
-    assert len(r) == 1 and r[0].tokens == ["john", "o'neil", "x", "1234567890", "123456", "main", "street"]
+        f.write("john  o'neil\tx 1234567890 123456 main street\n\ntoo short\n")
+    with open(p2, "w") as f:
+        f.write("Vorname,Name \"x\n")
+        f.write("first last middle phone address_no address\n")
+        f.write('ann "lee" y 0987654321 77 "side, road\nJOHN O\'NEIL x 1234567890 123456 main street\n')
+    tokens = [r.tokens for r in S.read_people_text(spark, [p1]).collect()]
+    assert ["john", "o'neil", "x", "1234567890", "123456", "main", "street"] in tokens and len(tokens) == 2
+    out, bad = os.path.join(tmp_dir, "csv"), os.path.join(tmp_dir, "bad")
+    assert FL.people_files_to_csv(spark, [p1, p2], out, bad) == 3
+    lines = sorted(x for name in os.listdir(out) if name.startswith("part-") for x in open(os.path.join(out, name)).read().splitlines())
+    assert lines == ['Ann,"Lee",y,098-765-4321,77,"side,,road', "First,Last,middle,phone,s_no,address", "John,O'Neil,x,123-456-7890,3456,main,street"]
+    assert [r.value for r in spark.read.text(bad).collect()] == ["too short"]
 
 
 def test_csv_and_split_json_sinks(spark, tmp_dir):
     df = spark.createDataFrame([(i, i % 3 + 1) for i in range(9)], "k int, split_id int")
-    W.write_csv(df.select("k"), os.path.join(tmp_dir, "csv"), single_file=True)
-    parts = [p for p in os.listdir(os.path.join(tmp_dir, "csv")) if p.endswith(".csv")]
+    W.write_lines(df.select(F.concat_ws(",", "k", "split_id").alias("line")), os.path.join(tmp_dir, "csv"), single_file=True)
+    parts = [p for p in os.listdir(os.path.join(tmp_dir, "csv")) if p.endswith(".txt")]
     assert len(parts) == 1
+    assert open(os.path.join(tmp_dir, "csv", parts[0])).read().splitlines()[0] == "0,1"
+    W.write_split_json(df, os.path.join(tmp_dir, "wrapped"), array_field="movie")
+    lines = spark.read.json(os.path.join(tmp_dir, "wrapped")).select(F.explode("movie").alias("m"), "split_id")
+    assert sorted((r.m.k, r.split_id) for r in lines.collect()) == [(i, i % 3 + 1) for i in range(9)]
     W.write_split_json(df, os.path.join(tmp_dir, "split"))
     assert sorted(p for p in os.listdir(os.path.join(tmp_dir, "split")) if p.startswith("split_id=")) == \
         ["split_id=1", "split_id=2", "split_id=3"]
