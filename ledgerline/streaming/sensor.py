@@ -4,9 +4,8 @@ The same column logic serves the batch query and the Structured Streaming
 job; the stream adds an event-time watermark so window state is bounded
 and evicted.
 
-Averages are computed as exact integer sums divided once in double
-precision (``sum(cents) / n / 100``), so the result does not depend on
-the order in which partial sums are combined.
+Whole-number averages are exact sums divided once; ``average_uv`` is a plain
+double average, whose last bits depend on the order of the sum.
 """
 
 from __future__ import annotations
@@ -35,19 +34,15 @@ def sensor_readings(events: DataFrame) -> DataFrame:
         F.col("user_id").alias("id"),
         F.col("ts").alias("timestamp"),
         F.col("value").alias("uv"),
-        J.json_path_text("props", "$.k").cast("int").alias("temperature"),
+        J.json_path_text("props", "$.k").try_cast("int").alias("temperature"),
         F.floor("value").cast("int").alias("humidity"),
     )
 
 
-def _exact_avg(col, scale: int = 1):
-    """Average of a column holding integers (or fixed-point with ``scale``), order-independent."""
+def _exact_avg(col):
+    """Average of a column of whole numbers, the same in whatever order they are summed."""
     n = F.count(col)
-    if scale == 1:
-        s = F.sum(F.col(col).cast("long"))
-        return F.when(n > 0, s.cast("double") / n)
-    s = F.sum(F.round(F.col(col) * scale).cast("long"))
-    return F.when(n > 0, s.cast("double") / n / scale)
+    return F.when(n > 0, F.sum(F.col(col).cast("long")).cast("double") / n)
 
 
 def five_second_averages(readings: DataFrame, window: str = WINDOW) -> DataFrame:
@@ -58,7 +53,7 @@ def five_second_averages(readings: DataFrame, window: str = WINDOW) -> DataFrame
     """
     w = F.window("timestamp", window)
     g = readings.groupBy(F.col("id"), w.alias("w")).agg(
-        _exact_avg("uv", 100).alias("average_uv"),
+        F.avg("uv").alias("average_uv"),
         _exact_avg("temperature").alias("average_temperature"),
         _exact_avg("humidity").alias("average_humidity"),
         D.mean_instant("timestamp").alias("estimated_time"),
@@ -128,12 +123,24 @@ MESSAGE_SCHEMA = StructType([
 
 def sensor_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """ST1 for raw message bodies (e.g. a text/Kafka ``value`` column): parse the JSON
-    payload and use its ``timestamp`` field as event time (``TIMESTAMP BY``)."""
-    m = F.from_json(F.col(value_col).cast("string"), MESSAGE_SCHEMA)
-    return messages.select(F.inline_outer(F.array(m))).select(
-        F.col("id"),
-        F.to_timestamp("timestamp").cast("timestamp_ntz").alias("timestamp"),
-        F.col("uv"), F.col("temperature"), F.col("humidity"))
+    payload and use its ``timestamp`` field as event time (``TIMESTAMP BY``).
+
+    Messages without a readable event time belong to no window; they are left
+    to :func:`rejected_messages`.
+    """
+    return _parsed(messages, value_col).where(F.col("timestamp").isNotNull()).drop("value")
+
+
+def _parsed(messages: DataFrame, value_col: str) -> DataFrame:
+    text = F.col(value_col).cast("string")
+    return messages.select(text.alias("value"), F.inline_outer(F.array(F.from_json(text, MESSAGE_SCHEMA)))).select(
+        "value", "id", F.try_to_timestamp("timestamp").cast("timestamp_ntz").alias("timestamp"),
+        "uv", "temperature", "humidity")
+
+
+def rejected_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
+    """Bodies that are no sensor message or carry no readable event time, as given."""
+    return _parsed(messages, value_col).where(F.col("timestamp").isNull()).select("value")
 
 
 def streaming_message_averages(messages: DataFrame, value_col: str = "value",

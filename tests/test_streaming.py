@@ -83,3 +83,16 @@ def test_json_message_stream(spark, tmp_dir):
     assert got["dev2"][2] == 0                # temperature average exactly 85 is not sweaty
     streaming = S.streaming_message_averages(spark.readStream.format("text").load(src))
     assert streaming.isStreaming
+
+
+def test_many_digits_and_malformed_messages(spark):
+    day = "2024-01-01 00:00:0"
+    body = lambda i, t, uv: f'{{"id": "d{i}", "timestamp": "{t}", "uv": {uv}, "temperature": 90, "humidity": 90}}'
+    messages = spark.createDataFrame([(x,) for x in (
+        body(1, day + "1", 0.123456), body(1, day + "2", 0.004), body(2, "tomorrow", 0.5), "no json at all", '{"id": "d3"}', None)],
+        "value string")
+    out = S.five_second_averages(S.sensor_messages(messages)).collect()
+    assert [(r.id, round(r.average_uv, 9), r.is_sweaty) for r in out] == [("d1", 0.063728, 1)]
+    assert S.rejected_messages(messages).count() == 4
+    odd = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), 1, "x", 2.5, '{"k": "warm"}')], S.EVENT_SCHEMA)
+    assert S.sensor_readings(odd).first().temperature is None
