@@ -18,18 +18,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint ``df`` only after checking that it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the frame
-    is returned unchanged and the planner falls back to a shuffled join (AQE
-    may still demote it to a broadcast once the runtime size is known).
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def or_join(left: DataFrame, right: DataFrame, left_key: str | Column,
             right_keys: Sequence[str], how: str = "left",
             key_name: str = "_or_key") -> DataFrame:

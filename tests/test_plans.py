@@ -50,3 +50,22 @@ def test_status_write_back_is_map_only(spark):
     # The classification itself adds no join; the only joins build the raw documents.
     docs = executed(E.queries()["bronze_ingest"](spark, SF_SMALL))
     assert text.count("Join") == docs.count("Join")
+
+
+def test_no_key_deals_rows_out_round_robin(spark):
+    from ledgerline.plans import registry
+    for key in registry.PLANS:
+        plan = registry.run(spark, SF_SMALL, key)._jdf.queryExecution().executedPlan().toString()
+        assert "RoundRobin" not in plan, key
+
+
+def test_facts_are_read_once_per_use(spark):
+    from ledgerline.plans import registry
+    uses = {"constraint_violations": {"lineitem": 2, "orders": 4}, "lapsed_customers": {"orders": 2}, "bronze_ingest": {"lineitem": 0, "orders": 1},
+            "dim_customers": {"lineitem": 2, "orders": 2}}
+    for key, tables in uses.items():
+        plan = registry.run(spark, SF_SMALL, key)._jdf.queryExecution().optimizedPlan().toString()
+        for table, most in tables.items():
+            column = {"lineitem": "l_", "orders": "o_"}[table]
+            scans = [x for x in plan.splitlines() if "Relation" in x and column in x]
+            assert len(scans) <= most, (key, table, len(scans))

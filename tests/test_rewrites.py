@@ -76,13 +76,6 @@ def test_pivot_drops_values_outside_list(spark):
     assert rows(out.select("grp", "a", "b")) == [("g", 3, None), ("h", None, 3)]
 
 
-def test_broadcast_if_small_checks_size(spark):
-    small = spark.range(3)
-    big = spark.range(100)
-    assert JN.broadcast_if_small(small, 10) is not small
-    assert JN.broadcast_if_small(big, 10) is big
-
-
 def test_split_lead_equals_window_lead(spark):
     import datetime as dt
     from ledgerline.operators.windows import split_lead
