@@ -1,7 +1,7 @@
 """Raw -> bronze -> silver movie flow with quarantine and repair.
 
 Movies are derived from the test tables: one movie document per order,
-with the order's lines (item id and name) as its nested ``genres`` array.
+with its priority, customer segment and status as its nested ``genres`` array.
 Negative runtimes come from negative customer balances, budgets below the
 quality floor from small order totals.
 """
@@ -16,11 +16,12 @@ from pyspark.sql.types import (ArrayType, DateType, DoubleType, IntegerType, Lon
                                StructType, TimestampNTZType)
 
 from ledgerline.operators import mutation as M
+from ledgerline.operators import projection as P
 from ledgerline.operators import quality as Q
 from ledgerline.operators.keys import with_row_index
 from ledgerline.sources.tables import Tables
 
-# Parse schema of a movie document (FIXTURES 1.2).  Ids are widened to
+# Parse schema of a movie document (FIXTURES 1.2).  Ids are widened to
 # bigint: at large scale the document ids derived from order keys exceed int.
 MOVIE_SCHEMA = StructType([
     StructField("BackdropUrl", StringType()), StructField("Budget", DoubleType()),
@@ -44,12 +45,14 @@ AS_OF = dt.datetime(2024, 1, 1, 0, 0, 0)
 
 def movie_documents(t: Tables) -> DataFrame:
     """Raw movie JSON text, one document per order (what SRC1 yields per array element)."""
-    genres = (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-              .groupBy(F.col("l_orderkey").alias("g_orderkey"))
-              .agg(F.sort_array(F.collect_list(F.struct(F.col("l_partkey").alias("id"),
-                                                        F.col("p_name").alias("name")))).alias("genres")))
-    o = (t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-         .join(genres, F.col("o_orderkey") == F.col("g_orderkey"), "left"))
+    # Bounded by the schema: two or three genres from the order's own columns, none for every seventh order.
+    group = F.pmod("o_custkey", F.lit(50))
+    genre = lambda i, n: F.struct(i.cast("bigint").alias("id"), n.alias("name"))
+    genres = F.when(F.col("o_orderkey") % 7 == 0, F.array().cast("array<struct<id:bigint,name:string>>")).otherwise(F.array(
+        genre(F.substring("o_orderpriority", 1, 1), F.col("o_orderpriority")),
+        genre(100 + group, F.concat(F.lit("Segment "), group.cast("string"))),
+        genre(200 + F.ascii("o_orderstatus"), F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.col("o_orderstatus")))))
+    o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
     key = F.col("o_orderkey").cast("string")
     doc = F.struct(
         F.col("o_orderkey").alias("Id"),
@@ -68,8 +71,7 @@ def movie_documents(t: Tables) -> DataFrame:
         (F.col("o_totalprice").cast("decimal(18,2)") * F.lit("0.001").cast("decimal(4,3)"))
         .cast("decimal(18,2)").alias("Price"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("CreatedDate"),
-        F.coalesce(F.col("genres"), F.array().cast(
-            "array<struct<id:bigint,name:string>>")).alias("genres"),
+        genres.alias("genres"),
     )
     return o.select(F.to_json(doc).alias("value"))
 
@@ -170,6 +172,31 @@ def status_write_back(t: Tables) -> DataFrame:
     return classify_bronze(bronze(t))
 
 
+def status_merge(t: Tables) -> DataFrame:
+    """DML3/JN14: the same write-back as the keyed merge of silver's labels onto bronze."""
+    labels = Q.classify(silver_all(t), "new_status").select("value", "new_status")
+    return M.update_matched(bronze(t), labels, "value", "status", source_col="new_status")
+
+
+def defect_counts(t: Tables) -> DataFrame:
+    """QA2 over all silver rows."""
+    return Q.defect_counts(silver_all(t))
+
+
+def genre_lookup_merge(t: Tables, before: str = "1997-01-01") -> DataFrame:
+    """QA5 over two batches: the lookup of the earlier documents plus what the later ones add to it."""
+    docs = bronze(t).select("value", F.from_json("value", "ReleaseDate DATE").ReleaseDate.alias("day"))
+    parsed = lambda d: Q.lookup_genres(d.select(F.inline_outer(F.array(F.from_json("value", GENRES_ONLY)))))
+    early = parsed(docs.where(F.col("day") < F.lit(before).cast("date")))
+    late = parsed(docs.where(~F.coalesce(F.col("day") < F.lit(before).cast("date"), F.lit(False))))
+    return early.unionByName(late.join(early, ["id", "name"], "left_anti"))
+
+
+def genre_texts(t: Tables) -> DataFrame:
+    """FN21: the genre ids of clean silver rows as list text."""
+    return silver_clean(t).select("movie_id", P.array_text("genre_id").alias("genre_ids"))
+
+
 def classify_bronze(bronze_df: DataFrame) -> DataFrame:
     """Bronze rows with ``status`` set from their own parsed value (new rows only)."""
     parsed = bronze_df.select("*", F.inline_outer(F.array(F.from_json("value", MOVIE_SCHEMA))))

@@ -46,20 +46,8 @@ def test_dedupe_by_value_in_silver(spark):
     assert len(rows) == 1 and rows[0].genre_id == [1] and rows[0].original_language_id == 1
 
 
-def test_notebook_names_and_lake_form(spark, tmp_dir):
-    import json
-    import os
-    from ledgerline.plans import notebook as NB
-    path = os.path.join(tmp_dir, "movie.json")
-    with open(path, "w") as f:
-        json.dump({"movie": [{"Id": 1, "RunTime": -1, "Budget": 5.0, "CreatedDate": "2020-01-01T00:00:00",
-                              "genres": [{"id": 2, "name": "x"}]}]}, f)
-    bronze = NB.transform_raw(NB.read_batch_raw(spark, path), path)
-    silver = NB.refactor_silver(NB.transform_bronze(bronze))
-    clean, quar = NB.generate_clean_and_quarantine_dataframes(silver)
-    assert clean.count() == 0 and quar.count() == 1
-    assert [tuple(r) for r in NB.get_lookup_table(NB.transform_bronze(bronze), "genres").collect()] == [(2, "x")]
-    updated = NB.update_bronze_table_status(bronze, quar, "quarantined")
-    assert [r.status for r in updated.collect()] == ["quarantined"]
-    lake = MD.silver_lake_form(silver.drop("value")).first()
+def test_lake_form(spark):
+    rows = [(1, dt.datetime(2020, 1, 1, 5), [2])]
+    silver = spark.createDataFrame(rows, "movie_id long, created_time timestamp_ntz, genre_id array<long>")
+    lake = MD.silver_lake_form(silver).first()
     assert lake.genre_id == "[2]" and lake.created_date == dt.date(2020, 1, 1)

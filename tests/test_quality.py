@@ -48,7 +48,7 @@ def test_constraints(spark):
     parent = spark.createDataFrame([(10,), (11,)], "pk int")
     pk = {(r.key_value, r.n_rows) for r in Q.primary_key_violations(child, "c", ["k"]).collect()}
     assert pk == {("1", 2), ("", 1)} or pk == {("1", 2), (None, 1)}
-    fk = [(r.key_value, r.n_rows) for r in Q.foreign_key_violations(child, "c", "fk", parent, "pk").collect()]
+    fk = [(r.key_value, r.n_rows) for r in Q.foreign_key_violations(child, "c", {"fk": (parent, "pk")}).collect()]
     assert fk == [("99", 1)]
     nn = [r.key_value for r in Q.not_null_violations(child, "c", ["k"], ["fk"]).collect()]
     assert nn == ["10"]
