@@ -116,9 +116,10 @@ def plus_concat(*cols) -> Column:
     return F.concat(*[_c(c) for c in cols])
 
 
-def pseudo_random_key(col, modulus: int, seed: int = 42) -> Column:
-    """Deterministic stand-in for ``ABS(CHECKSUM(NEWID()) % n) + 1`` (FN14)."""
-    return F.pmod(F.xxhash64(_c(col), F.lit(seed)), F.lit(modulus)) + 1
+def pseudo_random_key(col, n: int, seed: int = 0) -> Column:
+    """FN14 ``ABS(CHECKSUM(NEWID()) % n) + 1`` made repeatable: 1..n from an MD5 of the row's own key."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), _c(col).cast("string")).cast("binary"))
+    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % n + 1).cast("int")
 
 
 def money(col) -> Column:

@@ -51,10 +51,11 @@ def build_customer_dimension(fact: DataFrame, partition_col: str = "CustomerKey"
     ``Active = 1`` when there is no later change.  The reference partitions
     by the unique ``OrderKey`` (S20), which makes every row active; the
     default here is the customer, and ``partition_col="OrderKey"`` gives
-    the faithful form.
+    the faithful form.  By customer, lines of one change time are one change,
+    so there is no interval of length zero.
     """
     base = fact.select("CustomerKey", partition_col, "CreatedAt") if partition_col != "CustomerKey" \
-        else fact.select("CustomerKey", "CreatedAt")
+        else fact.select("CustomerKey", "CreatedAt").distinct()
     if partition_col == "OrderKey":
         # Unique key: every window partition has one row, nothing can be hot.
         led = base.withColumn("ValidTo", F.lead("CreatedAt").over(Window.partitionBy(partition_col).orderBy("CreatedAt")))

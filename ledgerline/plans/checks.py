@@ -3,11 +3,15 @@ AGG12-AGG13, QA1, JN15) and the batch form of the sensor window (P6)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType
 
 from ledgerline.functions import dialect as D
+from ledgerline.functions import json as J
 from ledgerline.operators import aggregates as A
+from ledgerline.operators import mutation as M
+from ledgerline.operators import projection as P
 from ledgerline.operators import quality as Q
 from ledgerline.sources.tables import Tables
 from ledgerline.streaming import sensor as S
@@ -36,10 +40,9 @@ def constraint_violations(t: Tables) -> DataFrame:
         Q.primary_key_violations(li, "lineitem", ["l_orderkey", "l_linenumber"]),
         Q.primary_key_violations(o, "orders", ["o_orderkey"]),
         Q.not_null_violations(o, "orders", ["o_custkey", "o_orderdate"], ["o_orderkey"]),
-        Q.foreign_key_violations(li, "lineitem", "l_orderkey", o, "o_orderkey"),
-        Q.foreign_key_violations(li, "lineitem", "l_partkey", t.part, "p_partkey"),
-        Q.foreign_key_violations(li, "lineitem", "l_suppkey", t.supplier, "s_suppkey"),
-        Q.foreign_key_violations(o, "orders", "o_custkey", t.customer, "c_custkey"),
+        Q.foreign_key_violations(li, "lineitem", {
+            "l_orderkey": (o, "o_orderkey"), "l_partkey": (t.part, "p_partkey"), "l_suppkey": (t.supplier, "s_suppkey")}),
+        Q.foreign_key_violations(o, "orders", {"o_custkey": (t.customer, "c_custkey")}),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -48,5 +51,54 @@ def constraint_violations(t: Tables) -> DataFrame:
 
 
 def sensor_tumbling_avg(t: Tables) -> DataFrame:
-    """P6 over the whole events table as a batch (complete-mode result of the stream)."""
-    return S.five_second_averages(S.sensor_readings(t.events))
+    """P6 over the whole events table as a batch (complete-mode result of the stream).
+
+    The uv average is rounded in the result, as sums of doubles depend on their order.
+    """
+    out = S.five_second_averages(S.sensor_readings(t.events))
+    return out.withColumn("average_uv", F.round("average_uv", 6))
+
+
+def renamed_columns(t: Tables) -> DataFrame:
+    """PRJ2: a rename map with a repeated input and a repeated output; the first mapping of each counts."""
+    return P.rename_map(t.customer, [("c_custkey", "customer_id"), ("c_custkey", "again"), ("c_name", "title"),
+                                     ("c_mktsegment", "title"), ("c_mktsegment", "segment")])
+
+
+def trimmed_columns(t: Tables) -> DataFrame:
+    """PRJ8: one rule for every column but the key."""
+    df = t.part.select("p_partkey", "p_name", "p_brand", "p_type")
+    return df.select("p_partkey", *P.each_column(df, ["p_partkey"], lambda c: F.upper(F.trim(c))))
+
+
+def row_hashes(t: Tables) -> DataFrame:
+    """FN22: the hash of the whole row."""
+    return t.nation.select("n_nationkey", P.row_sha256("n_nationkey", "n_name", "n_regionkey").alias("row_hash"))
+
+
+def json_objects(t: Tables) -> DataFrame:
+    """FN16: JSON_QUERY gives the object, and NULL for the scalar in it."""
+    return t.events.select("event_id", J.json_query("props", "$").alias("whole"), J.json_query("props", "$.k").alias("scalar"))
+
+
+TYPED_TARGET = StructType([
+    StructField("o_orderkey", LongType(), False), StructField("o_totalprice", DecimalType(18, 2), False),
+    StructField("o_comment", StringType()), StructField("o_orderpriority", StringType(), False)])
+
+
+def typed_target(t: Tables) -> DataFrame:
+    """DML8: rows projected onto a target's typed columns; a missing nullable column is NULL."""
+    return P.cast_to_schema(t.orders, TYPED_TARGET)
+
+
+def days_with_orders(t: Tables, days=("1997-01-15", "1997-07-01", "2099-01-01")) -> DataFrame:
+    """JN10: of each day, is there an order."""
+    found = [(d, M.exists(t.orders.where(F.col("o_orderdate") == D.ntz(d)))) for d in days]
+    return t.spark.createDataFrame(found, "day string, found boolean")
+
+
+def top_orders_in_order(t: Tables, n: int = 50) -> DataFrame:
+    """SRT1-SRT3: the sorted result with the place of each row; a top-``n`` report."""
+    top = t.orders.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(n)
+    return top.select(F.row_number().over(Window.orderBy(F.desc("o_totalprice"), "o_orderkey")).alias("place"),
+                      "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))

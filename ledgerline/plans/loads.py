@@ -125,15 +125,32 @@ def typed_migration(t: Tables) -> DataFrame:
     Items = events; custom fields = ``props``; valid-from = ``ts`` and
     valid-to = ``ts`` plus ``floor(value)`` days.  ``Range`` counts day
     boundaries and ``Shelflife`` month boundaries between them (S14), and
-    the weight column is filled from ``value`` as in the reference.
+    the weight column is filled from ``value`` as in the reference.  All 21
+    columns of the target are filled; what events have no role for comes from
+    their id, user and time.
     """
     e = t.events
+    money = F.col("value").cast("decimal(18,2)")
     valid_to = F.col("ts") + F.make_dt_interval(F.floor("value").cast("int"))
     return e.select(
         F.col("event_id").alias("stock_item_id"),
         F.col("event_type").alias("stock_item_name"),
         F.col("user_id").alias("supplier_id"),
+        F.when(F.col("user_id") % 3 != 0, F.col("user_id") % 36).cast("int").alias("color_id"),
+        (F.col("event_id") % 14 + 1).cast("int").alias("unit_package_id"),
+        (F.col("event_id") % 7 + 1).cast("int").alias("outer_package_id"),
+        F.upper("event_type").alias("brand"),
+        F.when(F.col("event_id") % 5 == 0, F.lit("L")).alias("size"),
+        F.hour("ts").alias("lead_time_days"),
+        F.minute("ts").alias("quantity_per_outer"),
+        (F.col("event_id") % 10 == 0).alias("is_chiller_stock"),
+        F.col("event_id").cast("string").alias("barcode"),
+        F.lit("15").cast("decimal(18,3)").alias("tax_rate"),
+        money.alias("unit_price"),
+        (money * F.lit("1.25").cast("decimal(3,2)")).cast("decimal(18,2)").alias("recommended_retail_price"),
         F.col("value").cast("decimal(18,3)").alias("typical_weight_before_unit"),
+        F.lit(None).cast("string").alias("marketing_comments"),
+        F.lit(None).cast("string").alias("internal_comments"),
         J.json_value("props", '$."k"').alias("country_of_manufacture"),
         D.datediff_days(F.col("ts"), valid_to).alias("range_days"),
         D.datediff_months(F.col("ts"), valid_to).alias("shelf_life_months"),
@@ -148,6 +165,13 @@ PURCHASE_ORDER_FIELDS = [
     "SupplierReference",
 ]
 
+# Declared types of the fields that aren't text.
+TYPED_FIELDS = {
+    "Supplier": "bigint", "UnitPackageId": "int", "OuterPackageId": "int", "LeadTimeDays": "int", "QuantityPerOuter": "int",
+    "TaxRate": "decimal(18,3)", "UnitPrice": "decimal(18,2)", "RecommendedRetailPrice": "decimal(18,2)",
+    "TypicalWeightPerUnit": "decimal(18,3)", "OrderDate": "date", "ExpectedDeliveryDate": "date",
+}
+
 PURCHASE_ORDER_SCHEMA = StructType([StructField(
     "PurchaseOrders", ArrayType(StructType([StructField(f, StringType()) for f in PURCHASE_ORDER_FIELDS])))])
 
@@ -171,7 +195,9 @@ def purchase_order_documents(t: Tables) -> DataFrame:
         F.lit("0.5").alias("TypicalWeightPerUnit"),
         F.col("o_orderstatus").alias("CountryOfManufacture"),
         F.lit("Adult").alias("Range"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("OrderDate"),
+        # Every fiftieth document has a malformed day.
+        F.when(F.col("o_orderkey") % 50 == 0, F.date_format("o_orderdate", "yyyy-MM-0dd"))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("OrderDate"),
         F.lit("Post").alias("DeliveryMethod"),
         F.date_format(F.date_add(F.col("o_orderdate").cast("date"), 32), "yyyy-MM-dd").alias("ExpectedDeliveryDate"),
         F.concat(F.lit("WWI"), s(F.col("o_orderkey"))).alias("SupplierReference"),
@@ -183,9 +209,12 @@ def purchase_order_documents(t: Tables) -> DataFrame:
 def shred_purchase_orders(docs: DataFrame) -> DataFrame:
     """JS6 / SRC10: parse string-typed documents, unroll the array, type each field.
 
-    Declared types are applied with ``try_cast``: a malformed value (the
-    reference's ``2018-01-025``) becomes NULL instead of failing the load.
+    Declared types are applied with ``try_cast``; the names of fields whose text
+    doesn't fit its type (a day such as ``01-025``) are listed in
+    ``bad_fields``.  Loads take :func:`good_rows`, the others are quarantined.
     """
+    bad = F.filter(F.array(*[F.when(F.col(f"po.{f}").isNotNull() & F.col(f"po.{f}").try_cast(t).isNull(), F.lit(f))
+                             for f, t in TYPED_FIELDS.items()]), lambda x: x.isNotNull())
     parsed = J.explode_rows(docs, F.from_json("doc", PURCHASE_ORDER_SCHEMA)["PurchaseOrders"], "po", "doc_id")
     p = lambda f: F.col(f"po.{f}")
     return parsed.select(
@@ -205,9 +234,21 @@ def shred_purchase_orders(docs: DataFrame) -> DataFrame:
         p("OrderDate").try_cast("date").alias("order_date"),
         p("ExpectedDeliveryDate").try_cast("date").alias("expected_delivery_date"),
         p("SupplierReference").alias("supplier_reference"),
+        bad.alias("bad_fields"),
     )
 
 
+def good_rows(rows: DataFrame) -> DataFrame:
+    return rows.where(F.size("bad_fields") == 0).drop("bad_fields")
+
+
+def json_shred_quarantine(t: Tables) -> DataFrame:
+    """Purchase orders that don't fit their declared types, with the fields that don't."""
+    rows = shred_purchase_orders(purchase_order_documents(t))
+    return rows.where(F.size("bad_fields") > 0).select(
+        "doc_id", "supplier_reference", F.array_join("bad_fields", ",").alias("bad_fields"))
+
+
 # Defaults the reference inserts for new stock items.
 VALID_FROM = "2016-05-31 23:00:00"
 VALID_TO = "9999-12-31 23:59:59.999999"
@@ -220,33 +261,35 @@ def json_shred_load(t: Tables) -> DataFrame:
     corrected to ``+n`` so consecutive rows do not collide, S15).  Custom
     fields are built as JSON with escaping (JS10) instead of concatenation.
     """
-    rows = shred_purchase_orders(purchase_order_documents(t))
+    rows = good_rows(shred_purchase_orders(purchase_order_documents(t)))
     base = t.part.select(F.max("p_partkey")).scalar()
     rows = with_row_index(rows, ["doc_id"], "stock_item_id", base=base)
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
     return rows.select(
-        "stock_item_id", "stock_item_name", "supplier_id", "unit_package_id", "outer_package_id", "brand",
-        "lead_time_days", "quantity_per_outer", "tax_rate", "unit_price", "recommended_retail_price",
-        "typical_weight_per_unit",
+        "stock_item_id", "stock_item_name", "supplier_id", none("int", "color_id"), "unit_package_id", "outer_package_id",
+        "brand", none("string", "size"), "lead_time_days", "quantity_per_outer", F.lit(False).alias("is_chiller_stock"),
+        none("string", "barcode"), "tax_rate", "unit_price", "recommended_retail_price", "typical_weight_per_unit",
+        none("string", "marketing_comments"), none("string", "internal_comments"), none("string", "photo"),
         J.build_json(CountryOfManufacture=F.col("country_of_manufacture")).alias("custom_fields"),
+        F.lit("[]").alias("tags"), F.lit("None").alias("search_details"), F.lit(1).alias("last_edited_by"),
         D.ntz(VALID_FROM).alias("valid_from"), D.ntz(VALID_TO).alias("valid_to"),
     )
 
 
-def json_shred_purchase_orders(t: Tables, with_random_ids: bool = False) -> DataFrame:
-    """Q24 (purchase orders): one order per document with typed dates.
+def json_shred_purchase_orders(t: Tables) -> DataFrame:
+    """Q24 (purchase orders): one order per document, all 12 target columns.
 
     ``LastEditedWhen = DATEADD(DAY, 1, OrderDate)`` (FN5).  The reference's
-    random supplier/contact ids (FN14) are available as deterministic
-    hashes with ``with_random_ids``.
+    random supplier and editor ids (FN14) are hashes of the document id, so
+    that a repeated load gives the same rows; constants are FN27's defaults.
     """
-    rows = shred_purchase_orders(purchase_order_documents(t))
+    rows = good_rows(shred_purchase_orders(purchase_order_documents(t)))
     base = t.orders.select(F.max("o_orderkey")).scalar()
     rows = with_row_index(rows, ["doc_id"], "purchase_order_id", base=base)
-    cols = [
-        "purchase_order_id", "order_date", "expected_delivery_date", "supplier_reference",
-        F.date_add("order_date", 1).alias("last_edited_when"),
-    ]
-    if with_random_ids:
-        cols += [D.pseudo_random_key(F.col("doc_id"), 13).alias("supplier_id"),
-                 D.pseudo_random_key(F.col("doc_id"), 20, seed=7).alias("contact_person_id")]
-    return rows.select(*cols)
+    return rows.select(
+        "purchase_order_id", D.pseudo_random_key(F.col("doc_id"), 13).alias("supplier_id"), "order_date",
+        F.lit(1).alias("delivery_method_id"), F.lit(2).alias("contact_person_id"), "expected_delivery_date",
+        "supplier_reference", F.lit(True).alias("is_order_finalized"), F.lit(None).cast("string").alias("comments"),
+        F.lit(None).cast("string").alias("internal_comments"),
+        D.pseudo_random_key(F.col("doc_id"), 20, seed=7).alias("last_edited_by"),
+        F.date_add("order_date", 1).alias("last_edited_when"))

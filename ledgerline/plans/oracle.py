@@ -179,7 +179,7 @@ ORACLE["repeated_event_in_json"] = """
 SELECT o.*
 FROM orders o
 JOIN (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey
-      HAVING count(*) FILTER (WHERE l_returnflag = 'R') > 1) i
+      HAVING sum(CASE WHEN l_quantity > 30 THEN 2 WHEN l_quantity > 10 THEN 1 ELSE 0 END) > 1) i
   ON i.l_orderkey = o.o_orderkey
 """
 
@@ -253,7 +253,15 @@ ORACLE["rolling_reload"] = _ODS.format(first="1996-01-03", last="1996-01-10")
 
 ORACLE["typed_migration"] = """
 SELECT event_id AS stock_item_id, event_type AS stock_item_name, user_id AS supplier_id,
+       CAST(CASE WHEN user_id % 3 <> 0 THEN user_id % 36 END AS INTEGER) AS color_id,
+       CAST(event_id % 14 + 1 AS INTEGER) AS unit_package_id, CAST(event_id % 7 + 1 AS INTEGER) AS outer_package_id,
+       upper(event_type) AS brand, CASE WHEN event_id % 5 = 0 THEN 'L' END AS size,
+       CAST(hour(ts) AS INTEGER) AS lead_time_days, CAST(minute(ts) AS INTEGER) AS quantity_per_outer,
+       event_id % 10 = 0 AS is_chiller_stock, CAST(event_id AS VARCHAR) AS barcode,
+       CAST(15 AS DECIMAL(18,3)) AS tax_rate, CAST(value AS DECIMAL(18,2)) AS unit_price,
+       CAST(CAST(value AS DECIMAL(18,2)) * CAST(1.25 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS recommended_retail_price,
        CAST(value AS DECIMAL(18,3)) AS typical_weight_before_unit,
+       CAST(NULL AS VARCHAR) AS marketing_comments, CAST(NULL AS VARCHAR) AS internal_comments,
        json_extract_string(props, '$.k') AS country_of_manufacture,
        CAST(date_diff('day', CAST(ts AS DATE), CAST(ts + to_days(CAST(floor(value) AS INTEGER)) AS DATE)) AS INTEGER) AS range_days,
        CAST((year(ts + to_days(CAST(floor(value) AS INTEGER))) - year(ts)) * 12
@@ -263,23 +271,35 @@ FROM events
 
 ORACLE["json_shred_load"] = """
 SELECT (SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY o_orderkey) AS stock_item_id,
-       o_orderpriority AS stock_item_name, o_custkey AS supplier_id, 1 AS unit_package_id,
+       o_orderpriority AS stock_item_name, o_custkey AS supplier_id, CAST(NULL AS INTEGER) AS color_id, 1 AS unit_package_id,
        CAST(length(o_orderpriority) AS INTEGER) AS outer_package_id, o_orderstatus AS brand,
-       5 AS lead_time_days, 1 AS quantity_per_outer, CAST(6 AS DECIMAL(18,3)) AS tax_rate,
+       CAST(NULL AS VARCHAR) AS size, 5 AS lead_time_days, 1 AS quantity_per_outer, false AS is_chiller_stock,
+       CAST(NULL AS VARCHAR) AS barcode, CAST(6 AS DECIMAL(18,3)) AS tax_rate,
        CAST(o_totalprice AS DECIMAL(18,2)) AS unit_price,
        CAST(CAST(o_totalprice AS DECIMAL(18,2)) * CAST(1.25 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS recommended_retail_price,
        CAST(0.5 AS DECIMAL(18,3)) AS typical_weight_per_unit,
+       CAST(NULL AS VARCHAR) AS marketing_comments, CAST(NULL AS VARCHAR) AS internal_comments, CAST(NULL AS VARCHAR) AS photo,
+       '[]' AS tags, 'None' AS search_details, 1 AS last_edited_by,
        to_json(struct_pack("CountryOfManufacture" := o_orderstatus))::VARCHAR AS custom_fields,
        TIMESTAMP '2016-05-31 23:00:00' AS valid_from, TIMESTAMP '9999-12-31 23:59:59.999999' AS valid_to
-FROM orders
+FROM orders WHERE o_orderkey % 50 <> 0
 """
 
 ORACLE["json_shred_purchase_orders"] = """
 SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY o_orderkey) AS purchase_order_id,
-       CAST(o_orderdate AS DATE) AS order_date, CAST(o_orderdate AS DATE) + 32 AS expected_delivery_date,
-       'WWI' || CAST(o_orderkey AS VARCHAR) AS supplier_reference,
+       CAST(CAST('0x' || substr(md5('0:' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 13 + 1 AS INTEGER) AS supplier_id,
+       CAST(o_orderdate AS DATE) AS order_date, 1 AS delivery_method_id, 2 AS contact_person_id,
+       CAST(o_orderdate AS DATE) + 32 AS expected_delivery_date,
+       'WWI' || CAST(o_orderkey AS VARCHAR) AS supplier_reference, true AS is_order_finalized,
+       CAST(NULL AS VARCHAR) AS comments, CAST(NULL AS VARCHAR) AS internal_comments,
+       CAST(CAST('0x' || substr(md5('7:' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 20 + 1 AS INTEGER) AS last_edited_by,
        CAST(o_orderdate AS DATE) + 1 AS last_edited_when
-FROM orders
+FROM orders WHERE o_orderkey % 50 <> 0
+"""
+
+ORACLE["json_shred_quarantine"] = """
+SELECT o_orderkey AS doc_id, 'WWI' || CAST(o_orderkey AS VARCHAR) AS supplier_reference, 'OrderDate' AS bad_fields
+FROM orders WHERE o_orderkey % 50 = 0
 """
 
 ORACLE["pivot_to_json"] = "WITH pv AS (" + _YEAR_BY_GROUP + ") SELECT to_json(list(struct_pack(transaction_year := transaction_year, " + ", ".join(
@@ -315,10 +335,7 @@ FROM inv JOIN ln ON inv.o_orderkey = ln.l_orderkey
 """
 
 _MOVIES = """
-WITH g AS (
-  SELECT l_orderkey, list(struct_pack(id := l_partkey, name := p_name) ORDER BY l_partkey, p_name) AS genres
-  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey),
-m AS (
+WITH m AS (
   SELECT o.o_orderkey AS movie_id, 'Order ' || CAST(o.o_orderkey AS VARCHAR) AS title,
          o.o_orderpriority AS overview, o.o_orderstatus AS tagline,
          CAST(o.o_totalprice * 4 AS DECIMAL(18,2)) AS budget_d,
@@ -331,8 +348,12 @@ m AS (
          CAST(trunc(c.c_acctbal) AS INTEGER) AS runtime,
          CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(18,2)) AS price_d,
          o.o_orderdate AS created_time,
-         coalesce(g.genres, []) AS genres
-  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN g ON o.o_orderkey = g.l_orderkey),
+         CASE WHEN o.o_orderkey % 7 = 0 THEN [] ELSE [
+           struct_pack(id := CAST(substr(o.o_orderpriority, 1, 1) AS BIGINT), name := o.o_orderpriority),
+           struct_pack(id := 100 + o.o_custkey % 50, name := 'Segment ' || CAST(o.o_custkey % 50 AS VARCHAR)),
+           struct_pack(id := CAST(200 + ascii(o.o_orderstatus) AS BIGINT),
+                       name := CASE WHEN o.o_orderstatus = 'P' THEN '' ELSE o.o_orderstatus END)] END AS genres
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey),
 docs AS (
   SELECT m.*, to_json(struct_pack(
       "Id" := movie_id, "Title" := title, "Overview" := overview, "Tagline" := tagline,
@@ -384,11 +405,21 @@ SELECT 'testdata/orders' AS datasource, TIMESTAMP '2024-01-01 00:00:00' AS inges
 FROM silver
 """
 
-ORACLE["genre_lookup"] = """
-SELECT DISTINCT l_partkey AS id, p_name AS name
-FROM lineitem JOIN part ON l_partkey = p_partkey
-WHERE p_name != ''
-ORDER BY id
+ORACLE["status_merge"] = ORACLE["status_write_back"]
+
+ORACLE["defect_counts"] = _MOVIES + """
+SELECT count(*) FILTER (WHERE runtime < 0) AS negative_runtime, count(*) FILTER (WHERE budget < 1000000) AS low_budget
+FROM (SELECT DISTINCT value, runtime, budget FROM silver)
+"""
+
+ORACLE["genre_lookup"] = _MOVIES + """
+SELECT DISTINCT g.id AS id, g.name AS name FROM (SELECT unnest(genres) AS g FROM m) WHERE g.name != ''
+"""
+
+ORACLE["genre_lookup_merge"] = ORACLE["genre_lookup"]
+
+ORACLE["genre_texts"] = _MOVIES + """
+SELECT movie_id, to_json(genre_id)::VARCHAR AS genre_ids FROM silver WHERE runtime >= 0 AND budget >= 1000000
 """
 
 ORACLE["language_lookup"] = """
@@ -400,7 +431,9 @@ _OLTP_ORDERS = """
 SELECT o_orderkey AS OrderID, o_custkey AS CustomerID,
        CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS SalespersonPersonID,
        CASE WHEN o_orderstatus = 'F' THEN CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS PickedByPersonID,
+       CAST(o_custkey % 100 AS INTEGER) AS ContactPersonID,
        CAST(NULL AS BIGINT) AS BackorderOrderID, CAST(o_orderdate AS DATE) AS OrderDate,
+       CAST(NULL AS VARCHAR) AS DeliveryInstructions, CAST(NULL AS VARCHAR) AS InternalComments,
        CAST(o_orderdate AS DATE) + 7 AS ExpectedDeliveryDate, o_orderpriority AS CustomerPurchaseOrderNumber,
        o_orderstatus = 'P' AS IsUndersupplyBackordered, o_orderstatus AS Comments,
        o_orderdate + INTERVAL 1 DAY AS PickingCompletedWhen, 1 AS LastEditedBy,
@@ -410,8 +443,8 @@ FROM orders
 
 ORACLE["incremental_upsert"] = f"""
 WITH base AS ({_OLTP_ORDERS})
-SELECT OrderID, CustomerID, SalespersonPersonID, PickedByPersonID, BackorderOrderID, OrderDate,
-       ExpectedDeliveryDate, CustomerPurchaseOrderNumber, IsUndersupplyBackordered,
+SELECT OrderID, CustomerID, SalespersonPersonID, PickedByPersonID, ContactPersonID, BackorderOrderID, OrderDate,
+       DeliveryInstructions, InternalComments, ExpectedDeliveryDate, CustomerPurchaseOrderNumber, IsUndersupplyBackordered,
        CASE WHEN OrderDate >= DATE '1997-12-01' AND OrderDate < DATE '1998-01-01' THEN 'edited' ELSE Comments END AS Comments,
        PickingCompletedWhen, LastEditedBy,
        CASE WHEN OrderDate >= DATE '1997-12-01' AND OrderDate < DATE '1998-01-01' THEN '1998-06-30 12:00:00'
@@ -419,6 +452,55 @@ SELECT OrderID, CustomerID, SalespersonPersonID, PickedByPersonID, BackorderOrde
 FROM base
 """
 
+ORACLE["incremental_upsert_lines"] = """
+WITH l AS (
+  SELECT l_linenumber AS OrderLineID, l_orderkey AS OrderID, l_partkey AS StockItemID,
+         'line ' || CAST(l_linenumber AS VARCHAR) AS Description, CAST(l_partkey % 14 + 1 AS INTEGER) AS PackageTypeID,
+         CAST(l_quantity AS INTEGER) AS Quantity, CAST(l_extendedprice AS DECIMAL(18,2)) AS UnitPrice,
+         CAST(l_tax AS DECIMAL(18,3)) AS TaxRate, CAST(l_quantity AS INTEGER) AS PickedQuantity,
+         l_shipdate AS PickingCompletedWhen, 1 AS LastEditedBy, l_shipdate AS LastEditedWhen
+  FROM lineitem WHERE l_shipdate > TIMESTAMP '1990-01-01')
+SELECT * EXCLUDE (k) FROM (
+  SELECT *, row_number() OVER (PARTITION BY OrderID, OrderLineID, StockItemID
+                               ORDER BY LastEditedWhen DESC, Quantity DESC, UnitPrice DESC, TaxRate DESC) AS k FROM l)
+WHERE k = 1
+"""
+
+ORACLE["null_watermark_report"] = """
+SELECT o_orderkey AS OrderID, CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE 'not yet' END AS LastEditedWhen
+FROM orders WHERE o_orderkey % 97 = 0 OR o_orderkey % 101 = 0
+"""
+
+ORACLE["renamed_columns"] = "SELECT c_custkey AS customer_id, c_name AS title, c_mktsegment AS segment FROM customer"
+
+ORACLE["trimmed_columns"] = """
+SELECT p_partkey, upper(trim(p_name)) AS p_name, upper(trim(p_brand)) AS p_brand, upper(trim(p_type)) AS p_type FROM part
+"""
+
+ORACLE["row_hashes"] = """
+SELECT n_nationkey, sha256('{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '","n_regionkey":' || n_regionkey || '}') AS row_hash
+FROM nation
+"""
+
+ORACLE["json_objects"] = """
+SELECT event_id, json(props)::VARCHAR AS whole, CAST(NULL AS VARCHAR) AS scalar FROM events
+"""
+
+ORACLE["typed_target"] = """
+SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice, CAST(NULL AS VARCHAR) AS o_comment, o_orderpriority
+FROM orders
+"""
+
+ORACLE["days_with_orders"] = """
+SELECT d AS day, EXISTS (SELECT 1 FROM orders WHERE o_orderdate = CAST(d AS TIMESTAMP)) AS found
+FROM (VALUES ('1997-01-15'), ('1997-07-01'), ('2099-01-01')) v(d)
+"""
+
+ORACLE["top_orders_in_order"] = """
+SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place, o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS price
+FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50
+"""
+
 _FACT = f"""
 WITH o AS ({_OLTP_ORDERS}),
 ol AS (
@@ -440,11 +522,11 @@ fact AS (
 
 ORACLE["fact_orders"] = _FACT + "SELECT * FROM fact"
 
-ORACLE["dim_customers"] = _FACT + """
+ORACLE["dim_customers"] = _FACT + """, changes AS (SELECT DISTINCT CustomerKey, CreatedAt FROM fact)
 SELECT CustomerKey, CreatedAt AS ValidFrom,
        LEAD(CreatedAt) OVER (PARTITION BY CustomerKey ORDER BY CreatedAt) AS ValidTo,
        CASE WHEN LEAD(CreatedAt) OVER (PARTITION BY CustomerKey ORDER BY CreatedAt) IS NULL THEN 1 ELSE 0 END AS Active
-FROM fact
+FROM changes
 """
 
 ORACLE["scan_filter_project"] = """
@@ -493,13 +575,13 @@ WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer
 ORACLE["sensor_tumbling_avg"] = """
 WITH r AS (
   SELECT user_id AS id, ts, value,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) AS temperature,
+         TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS temperature,
          CAST(floor(value) AS INTEGER) AS humidity,
          CAST(floor(epoch_us(ts) / 5000000) AS BIGINT) AS bucket
   FROM events),
 g AS (
   SELECT id, bucket,
-         CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(value) / 100 AS average_uv,
+         round(avg(value), 6) AS average_uv,
          CAST(sum(CAST(temperature AS BIGINT)) AS DOUBLE) / count(temperature) AS average_temperature,
          CAST(sum(CAST(humidity AS BIGINT)) AS DOUBLE) / count(humidity) AS average_humidity,
          make_timestamp(CAST((sum(CAST(floor(epoch_us(ts) / 1000000) AS BIGINT)) // count(ts)) * 1000000 AS BIGINT)) AS estimated_time
@@ -534,9 +616,9 @@ FROM lines
 
 ORACLE["json_split"] = """
 WITH n AS (SELECT count(*) AS n FROM part),
-idx AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS i FROM part)
+idx AS (SELECT p_partkey AS k, row_number() OVER (ORDER BY p_partkey) - 1 AS i FROM part)
 SELECT CAST(CASE WHEN n.n // 8 = 0 THEN 7 ELSE least(i // (n.n // 8), 7) END + 1 AS INTEGER) AS split_id,
-       count(*) AS n_items
+       count(*) AS n_items, min(k) AS first_key, max(k) AS last_key, CAST(sum(k) AS BIGINT) AS key_sum
 FROM idx, n
 GROUP BY 1
 """
@@ -548,7 +630,11 @@ PORTABLE = {
     "json_value_group": {"total_value": "double"},
     "invoice_with_total": {"order_total": "double"},
     "guarded_daily_load": {"order_total": "double"},
-    "typed_migration": {"typical_weight_before_unit": "double"},
+    "typed_migration": {"typical_weight_before_unit": "double", "tax_rate": "double", "unit_price": "double",
+                        "recommended_retail_price": "double"},
+    "incremental_upsert_lines": {"UnitPrice": "double", "TaxRate": "double"},
+    "typed_target": {"o_totalprice": "double"},
+    "top_orders_in_order": {"price": "double"},
     "rolling_reload": {"order_total": "double"},
     "json_shred_load": {"tax_rate": "double", "unit_price": "double", "recommended_retail_price": "double",
                         "typical_weight_per_unit": "double"},

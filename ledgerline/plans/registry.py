@@ -37,6 +37,7 @@ PLANS: dict[str, PlanFn] = {
     "rolling_reload": loads.rolling_reload,
     "json_shred_load": loads.json_shred_load,
     "json_shred_purchase_orders": loads.json_shred_purchase_orders,
+    "json_shred_quarantine": loads.json_shred_quarantine,
     "pivot_to_json": documents.pivot_to_json,
     "pivot_to_xml": documents.pivot_to_xml,
     "nested_invoice_json": documents.nested_invoice_json,
@@ -45,15 +46,28 @@ PLANS: dict[str, PlanFn] = {
     "silver_quarantine": medallion.silver_quarantine,
     "silver_repaired": medallion.silver_repaired,
     "status_write_back": medallion.status_write_back,
+    "status_merge": medallion.status_merge,
+    "defect_counts": medallion.defect_counts,
     "genre_lookup": medallion.genre_lookup,
+    "genre_lookup_merge": medallion.genre_lookup_merge,
+    "genre_texts": medallion.genre_texts,
     "language_lookup": medallion.language_lookup,
     "incremental_upsert": warehouse_load.incremental_upsert,
+    "incremental_upsert_lines": warehouse_load.incremental_upsert_lines,
+    "null_watermark_report": warehouse_load.null_watermark_report,
     "fact_orders": warehouse_load.fact_orders,
     "dim_customers": warehouse_load.dim_customers,
     "scan_filter_project": checks.scan_filter_project,
     "dedupe_first_by_key": checks.dedupe_first_by_key,
     "constraint_violations": checks.constraint_violations,
     "sensor_tumbling_avg": checks.sensor_tumbling_avg,
+    "renamed_columns": checks.renamed_columns,
+    "trimmed_columns": checks.trimmed_columns,
+    "row_hashes": checks.row_hashes,
+    "json_objects": checks.json_objects,
+    "typed_target": checks.typed_target,
+    "days_with_orders": checks.days_with_orders,
+    "top_orders_in_order": checks.top_orders_in_order,
     "people_clean": file_jobs.people_clean,
     "json_split": file_jobs.json_split,
 }

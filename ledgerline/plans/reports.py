@@ -56,17 +56,25 @@ def composite_key_join(t: Tables) -> DataFrame:
         .select(c.c_name.alias("customer_name"))
 
 
-def lapsed_customers(t: Tables, cutoff: str = "1999-01-01") -> DataFrame:
+def lapsed_customers(t: Tables, cutoff: str = "1999-01-01", on_cutoff: str | None = None) -> DataFrame:
     """Q3: customers with a sale before ``cutoff`` and none after it (NOT IN subquery).
 
-    Faithful to the reference (S1): sales *on* the cutoff day count in neither set.
+    Orders are first reduced to two flags per customer.  Faithful to the
+    reference (S1): sales *on* the cutoff day count in neither set, and one
+    later sale without a customer leaves no row at all.  Corrected: ``on_cutoff``
+    ``"before"`` or ``"after"`` counts that day in one of the sets, and sales
+    without a customer are ignored.
     """
-    o = t.orders
-    before = o.where(F.col("o_orderdate") < D.ntz(cutoff))
-    after = o.where(F.col("o_orderdate") > D.ntz(cutoff)).select(F.col("o_custkey").alias("later_custkey"))
-    base = t.customer.join(before, F.col("c_custkey") == F.col("o_custkey")).select("c_name", "o_custkey")
-    kept = JN.not_in(base, "o_custkey", after, "later_custkey")
-    return kept.select(F.col("c_name").alias("customer_name")).distinct()
+    day = F.col("o_orderdate")
+    before = day <= D.ntz(cutoff) if on_cutoff == "before" else day < D.ntz(cutoff)
+    after = day >= D.ntz(cutoff) if on_cutoff == "after" else day > D.ntz(cutoff)
+    flags = t.orders.groupBy("o_custkey").agg(F.max(before).alias("_before"), F.max(after).alias("_after"))
+    kept = flags.where(F.col("_before") & ~F.coalesce(F.col("_after"), F.lit(False)))
+    if on_cutoff is None:
+        nobody = flags.where(F.col("o_custkey").isNull() & F.col("_after")).select(F.count(F.lit(1))).scalar()
+        kept = kept.where(nobody == 0)
+    return t.customer.join(kept, F.col("c_custkey") == F.col("o_custkey")) \
+        .select(F.col("c_name").alias("customer_name")).distinct()
 
 
 def item_quantity_in_year(t: Tables, year: int = YEARS[2013]) -> DataFrame:
@@ -108,19 +116,24 @@ def long_name_union(t: Tables, min_len: int = 10) -> DataFrame:
 
 
 def items_sold_outside(t: Tables, year: int = YEARS[2014],
-                       excluded=("AFRICA", "ASIA")) -> DataFrame:
+                       excluded=("AFRICA", "ASIA"), never_inside: bool = False) -> DataFrame:
     """Q6: items with some sale in ``year`` to a state outside ``excluded``.
 
     Faithful (S3): existential, and the WHERE on the outer-joined state
-    makes the left joins inner.
+    makes the left joins inner.  Corrected (``never_inside``): items sold in
+    ``year`` and never to a state in ``excluded``.
     """
     cte = (t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
            .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
            .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
            .select("o_orderkey", "o_orderdate", "r_name"))
-    items = (cte.where(D.in_year("o_orderdate", year) & ~F.col("r_name").isin(*excluded))
-             .join(R.lines(t, R.SOLD), F.col("o_orderkey") == F.col("l_orderkey"))
-             .select("l_partkey").distinct())
+    outside = ~F.col("r_name").isin(*excluded)
+    sold = cte.where(D.in_year("o_orderdate", year) & (F.lit(True) if never_inside else outside)) \
+        .join(R.lines(t, R.SOLD), F.col("o_orderkey") == F.col("l_orderkey"))
+    if never_inside:
+        items = sold.groupBy("l_partkey").agg(F.bool_and(F.coalesce(outside, F.lit(True))).alias("_never")).where("_never").select("l_partkey")
+    else:
+        items = sold.select("l_partkey").distinct()
     j = items.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     return j.select(F.col("p_name").alias("stock_item_name")).distinct()
 
@@ -175,15 +188,25 @@ def _purchased_sold(t: Tables, year: int | None):
     return side(R.PURCHASED), side(R.SOLD)
 
 
-def purchased_more_than_sold(t: Tables, year: int = YEARS[2015]) -> DataFrame:
+def _plain_pair_sums(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Per item the sum of either side by itself; 0 where a side has no rows."""
+    both = a.select("item", F.col("qty").alias("a"), F.lit(0).alias("b")).unionByName(
+        b.select("item", F.lit(0).alias("a"), F.col("qty").alias("b")))
+    sums = both.groupBy("item").agg(F.sum("a").alias("a_total"), F.sum("b").alias("b_total"))
+    return sums.withColumn("diff_total", F.col("a_total") - F.col("b_total"))
+
+
+def purchased_more_than_sold(t: Tables, year: int = YEARS[2015], fan_out: bool = True) -> DataFrame:
     """Q9: item names whose purchased quantity exceeds the sold quantity in ``year``.
 
     Faithful to the reference's fan-out join (S6): the compared sums are
     the ones over ``purchases JOIN sales USING (item)``, computed from
-    per-item aggregates instead of the m*n joined rows.
+    per-item aggregates instead of the m*n joined rows.  Corrected
+    (``fan_out=False``): either side is summed by itself, items bought and
+    never sold included.
     """
     purchased, sold = _purchased_sold(t, year)
-    pairs = A.fanout_pair_sums(purchased, sold, "item", "qty", "qty")
+    pairs = A.fanout_pair_sums(purchased, sold, "item", "qty", "qty") if fan_out else _plain_pair_sums(purchased, sold)
     j = pairs.join(t.part, F.col("item") == F.col("p_partkey"))
     return (j.groupBy(F.col("p_name").alias("stock_item_name"))
             .agg(F.sum("a_total").alias("_p"), F.sum("b_total").alias("_s"))
@@ -191,18 +214,20 @@ def purchased_more_than_sold(t: Tables, year: int = YEARS[2015]) -> DataFrame:
 
 
 def small_buyers_of_item(t: Tables, year: int = YEARS[2016], pattern: str = "%widget%",
-                         max_quantity: int = 10) -> DataFrame:
+                         max_quantity: int = 10, with_none: bool = False) -> DataFrame:
     """Q10: customers who bought at most ``max_quantity`` matching items in ``year``.
 
-    Faithful (S7): customers who bought none are not listed.  ``LIKE`` under
+    Faithful (S7): customers who bought none are not listed; corrected
+    (``with_none``): they are.  ``LIKE`` under
     the reference's default collation is case-insensitive (``ilike``).
     """
     sales = (t.orders.where(D.in_year("o_orderdate", year))
              .join(R.lines(t, R.SOLD), F.col("o_orderkey") == F.col("l_orderkey"))
              .join(t.part.where(F.col("p_name").ilike(pattern)), F.col("l_partkey") == F.col("p_partkey")))
     relevant = (sales.groupBy(F.col("o_custkey").alias("buyer"))
-                .agg(F.sum(R.quantity()).alias("_q")).where(F.col("_q") < max_quantity + 1))
-    j = (relevant.join(t.customer, F.col("buyer") == F.col("c_custkey"))
+                .agg(F.sum(R.quantity()).alias("_q")))
+    bought = relevant.join(t.customer, F.col("buyer") == F.col("c_custkey"), "right" if with_none else "inner")
+    j = (bought.where(F.coalesce("_q", F.lit(0)) < max_quantity + 1)
          .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")))
     return j.select(F.col("c_name").alias("customer_name"), F.col("c_mktsegment").alias("phone_number"),
                     F.col("n_name").alias("primary_contact"))
@@ -239,10 +264,10 @@ def order_detail_for_day(t: Tables, day: str = "1997-07-01") -> DataFrame:
                     "delivery_state", "customer_name", "phone_number", R.quantity().alias("quantity"))
 
 
-def purchased_sold_by_group(t: Tables) -> DataFrame:
-    """Q13: purchased / sold / remaining per stock group over the fan-out join."""
+def purchased_sold_by_group(t: Tables, fan_out: bool = True) -> DataFrame:
+    """Q13: purchased / sold / remaining per stock group over the fan-out join (S6; ``fan_out=False``: plain sums)."""
     purchased, sold = _purchased_sold(t, None)
-    pairs = A.fanout_pair_sums(purchased, sold, "item", "qty", "qty")
+    pairs = A.fanout_pair_sums(purchased, sold, "item", "qty", "qty") if fan_out else _plain_pair_sums(purchased, sold)
     pairs = pairs.join(t.part.select("p_partkey"), F.col("item") == F.col("p_partkey"))
     j = pairs.join(R.stock_groups(t), F.col("item") == F.col("g_partkey"))
     return j.groupBy(F.col("group_name")).agg(
@@ -252,11 +277,13 @@ def purchased_sold_by_group(t: Tables) -> DataFrame:
     )
 
 
-def top_item_per_region(t: Tables, year: int = YEARS[2016], country: str = "AMERICA") -> DataFrame:
+def top_item_per_region(t: Tables, year: int = YEARS[2016], country: str = "AMERICA", corrected: bool = False) -> DataFrame:
     """Q14: per city, the item(s) delivered most often in ``year`` (ties kept, S8/S9).
 
     Customer deliveries and supplier deliveries are counted separately and
-    combined with ``UNION`` (distinct), as in the reference.
+    combined with ``UNION`` (distinct), as in the reference.  ``corrected``:
+    the two counts of an item are added, and cities without deliveries are
+    listed with "No Sales".
     """
     tx = t.lineitem.where(D.in_year("l_shipdate", year))
     city = D.plus_concat(F.col("n_name"), F.lit(", "), F.col("r_name"))
@@ -273,32 +300,31 @@ def top_item_per_region(t: Tables, year: int = YEARS[2016], country: str = "AMER
                    .select("l_partkey", "l_shipdate", F.col("c_nationkey").alias("party_nation")))
     by_supplier = (tx.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
                    .select("l_partkey", "l_shipdate", F.col("s_nationkey").alias("party_nation")))
-    ranked = A.top_per_group(A.union_distinct(counted(by_customer), counted(by_supplier)), ["city"], "item_count")
+    if corrected:
+        counts = counted(by_customer).unionByName(counted(by_supplier)).groupBy("city", "item").agg(F.sum("item_count").alias("item_count"))
+        cities = t.nation.join(t.region.where(F.col("r_name") == country), F.col("n_regionkey") == F.col("r_regionkey")).select(city.alias("city"))
+        ranked = cities.join(A.top_per_group(counts, ["city"], "item_count"), "city", "left")
+    else:
+        ranked = A.top_per_group(A.union_distinct(counted(by_customer), counted(by_supplier)), ["city"], "item_count")
     j = ranked.join(t.part, F.col("item") == F.col("p_partkey"), "left")
     return j.select("city", F.coalesce(F.col("p_name"), F.lit("No Sales")).alias("most_delivered"))
 
 
-def _delivery_event() -> F.Column:
-    return F.struct(
-        F.when(F.col("l_returnflag") == "R", F.lit("DeliveryAttempt")).otherwise(F.lit("Delivered")).alias("Event"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("EventTime"))
-
-
 def delivery_fragments(t: Tables) -> DataFrame:
-    """Delivery-events JSON per order line: ``{"Events":[{"Event":..,"EventTime":..}]}``.
+    """Delivery-events JSON per order line: ``{"Events":[{"Event":..,"EventTime":..}, ..]}``.
 
-    A returned line (``l_returnflag = 'R'``) is a ``DeliveryAttempt``, any
-    other a ``Delivered`` event.  An order's delivery document is the
-    concatenation of its lines' event arrays.
+    A line has an attempt for every started 20 units beyond the first 10 (at most
+    two) and, if it is not a return (``l_returnflag = 'R'``), a delivery: 0 to 3
+    events.  An order's delivery document is the concatenation of its lines'
+    event arrays.
     """
+    day = F.date_format("l_shipdate", "yyyy-MM-dd").alias("EventTime")
+    attempt = F.struct(F.lit("DeliveryAttempt").alias("Event"), day)
+    done = F.struct(F.lit("Delivered").alias("Event"), day)
+    events = F.array(F.when(F.col("l_quantity") > 10, attempt), F.when(F.col("l_quantity") > 30, attempt),
+                     F.when(F.col("l_returnflag") != "R", done))
     return t.lineitem.select(F.col("l_orderkey").alias("invoice_order"),
-                             F.to_json(F.struct(F.array(_delivery_event()).alias("Events"))).alias("fragment"))
-
-
-def delivery_documents(t: Tables) -> DataFrame:
-    """Whole delivery documents, one per order (the shape the reference stores)."""
-    return t.lineitem.groupBy(F.col("l_orderkey").alias("invoice_order")).agg(
-        F.to_json(F.struct(F.collect_list(_delivery_event()).alias("Events"))).alias("returned_delivery_data"))
+                             F.to_json(F.struct(F.filter(events, lambda e: e.isNotNull()).alias("Events"))).alias("fragment"))
 
 
 def repeated_event_in_json(t: Tables, event: str = "DeliveryAttempt") -> DataFrame:

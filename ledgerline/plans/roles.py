@@ -62,5 +62,4 @@ def order_lines_typed(t: Tables) -> DataFrame:
         F.col("l_extendedprice").cast("decimal(18,2)").alias("UnitPrice"),
         F.col("l_tax").cast("decimal(18,3)").alias("TaxRate"),
         F.col("l_shipdate").alias("PickingCompletedWhen"),
-        F.col("l_suppkey").alias("SupplierID"),
     )

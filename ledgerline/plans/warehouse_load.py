@@ -26,6 +26,8 @@ EDIT_FROM = "1997-12-01"
 EDITED_AT = "1998-06-30 12:00:00"
 
 ORDERS_SPEC = INC.TableSpec("orders_table", ["OrderID"], "LastEditedWhen")
+# Line numbers start anew in every order, so the key has all three parts.
+LINES_SPEC = INC.TableSpec("order_lines_table", ["OrderID", "OrderLineID", "StockItemID"], "LastEditedWhen")
 
 
 def orders_table(t: Tables) -> DataFrame:
@@ -37,12 +39,15 @@ def orders_table(t: Tables) -> DataFrame:
         F.col("o_custkey").alias("CustomerID"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("SalespersonPersonID"),
         F.when(F.col("o_orderstatus") == "F", F.substring("o_orderpriority", 1, 1).cast("int")).alias("PickedByPersonID"),
+        (F.col("o_custkey") % 100).cast("int").alias("ContactPersonID"),
         F.lit(None).cast("bigint").alias("BackorderOrderID"),
         day.alias("OrderDate"),
         F.date_add(day, 7).alias("ExpectedDeliveryDate"),
         F.col("o_orderpriority").alias("CustomerPurchaseOrderNumber"),
         (F.col("o_orderstatus") == "P").alias("IsUndersupplyBackordered"),
         F.col("o_orderstatus").alias("Comments"),
+        F.lit(None).cast("string").alias("DeliveryInstructions"),
+        F.lit(None).cast("string").alias("InternalComments"),
         (F.col("o_orderdate") + F.make_dt_interval(F.lit(1))).alias("PickingCompletedWhen"),
         F.lit(1).alias("LastEditedBy"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("LastEditedWhen"),
@@ -50,8 +55,14 @@ def orders_table(t: Tables) -> DataFrame:
 
 
 def order_lines_table(t: Tables) -> DataFrame:
+    """Typed order lines, all 12 columns; a line was last edited when its picking was completed."""
     lines = R.order_lines_typed(t)
-    return lines.withColumn("Description", F.concat_ws(" ", F.lit("line"), F.col("OrderLineID").cast("string")))
+    return lines.select(
+        "OrderLineID", "OrderID", "StockItemID",
+        F.concat_ws(" ", F.lit("line"), F.col("OrderLineID").cast("string")).alias("Description"),
+        (F.col("StockItemID") % 14 + 1).cast("int").alias("PackageTypeID"), "Quantity", "UnitPrice", "TaxRate",
+        F.col("Quantity").alias("PickedQuantity"), "PickingCompletedWhen", F.lit(1).alias("LastEditedBy"),
+        F.col("PickingCompletedWhen").alias("LastEditedWhen"))
 
 
 def source_snapshot(t: Tables, phase: int) -> DataFrame:
@@ -64,6 +75,13 @@ def source_snapshot(t: Tables, phase: int) -> DataFrame:
             .withColumn("LastEditedWhen", F.when(edited, F.lit(EDITED_AT)).otherwise(F.col("LastEditedWhen"))))
 
 
+def _two_rounds(t: Tables, spec: INC.TableSpec, first: DataFrame, second: DataFrame) -> DataFrame:
+    control = INC.control_table(t.spark, {ORDERS_SPEC.name: WATERMARK_SEED, LINES_SPEC.name: WATERMARK_SEED})
+    target, control = INC.incremental_upsert(first.limit(0), first, control, spec)
+    target, control = INC.incremental_upsert(target, second, control, spec)
+    return target
+
+
 def incremental_upsert(t: Tables) -> DataFrame:
     """Two watermark-bounded rounds of extract -> upsert (INC1-INC5, DML1, DML2).
 
@@ -71,12 +89,20 @@ def incremental_upsert(t: Tables) -> DataFrame:
     ``(old, new]``: orders after the cut-off plus the re-edited ones, which
     replace their earlier versions by key.
     """
-    control = INC.control_table(t.spark, {"orders_table": WATERMARK_SEED, "order_lines_table": WATERMARK_SEED})
-    s1 = source_snapshot(t, 1)
-    target = s1.limit(0)
-    target, control = INC.incremental_upsert(target, s1, control, ORDERS_SPEC)
-    target, control = INC.incremental_upsert(target, source_snapshot(t, 2), control, ORDERS_SPEC)
-    return target
+    return _two_rounds(t, ORDERS_SPEC, source_snapshot(t, 1), source_snapshot(t, 2))
+
+
+def incremental_upsert_lines(t: Tables) -> DataFrame:
+    """P4 for the second configured table (INC6): lines completed before the cut-off, then all."""
+    lines = order_lines_table(t)
+    return _two_rounds(t, LINES_SPEC, lines.where(F.col("LastEditedWhen") < D.ntz(CUTOFF)), lines)
+
+
+def null_watermark_report(t: Tables) -> DataFrame:
+    """Orders whose watermark text is missing or no timestamp; no load would ever pick them up."""
+    damaged = orders_table(t).withColumn("LastEditedWhen", F.when(F.col("OrderID") % 97 == 0, F.lit(None).cast("string"))
+                                         .when(F.col("OrderID") % 101 == 0, F.lit("not yet")).otherwise(F.col("LastEditedWhen")))
+    return INC.null_watermarks(damaged, "LastEditedWhen").select("OrderID", "LastEditedWhen")
 
 
 def fact_orders(t: Tables) -> DataFrame:
