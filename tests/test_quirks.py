@@ -42,6 +42,17 @@ def test_s1_cutoff_day_and_null_subquery(spark, tmp_dir):
     assert reports.lapsed_customers(t2).count() == 0   # NOT IN with a NULL in the subquery
 
 
+def test_s1_corrected_forms(spark, tmp_dir):
+    cust = [(i, n, 0, 1.0, "x") for i, n in ((1, "a"), (2, "b"), (3, "c"))]
+    orders = [(10, 1, "F", 1.0, D(1998, 5, 1), "1"), (11, 1, "F", 1.0, D(1999, 1, 1), "1"), (12, 2, "F", 1.0, D(1999, 1, 1), "1"),
+              (13, 3, "F", 1.0, D(1999, 3, 1), "1"), (14, None, "F", 1.0, D(2000, 1, 1), "1")]
+    t = write_tables(spark, tmp_dir, customer=(cust, CUSTOMER), orders=(orders, ORDERS))
+    names = lambda **kw: sorted(r.customer_name for r in reports.lapsed_customers(t, **kw).collect())
+    assert names() == []
+    assert names(on_cutoff="before") == ["a", "b"]
+    assert names(on_cutoff="after") == []
+
+
 def _sales_fixture(spark, base):
     part = [(1, "blue widget", "Brand#1", "SMALL", 1, 1.0), (2, "red plate", "Brand#2", "LARGE", 1, 1.0),
             (3, "widget XL", "Brand#1", "SMALL", 1, 1.0)]
@@ -68,6 +79,48 @@ def test_s7_zero_buyers_omitted(spark, tmp_dir):
     assert got == ["c1", "c3"]
 
 
+def test_s7_corrected_lists_customers_without_purchases(spark, tmp_dir):
+    t = _sales_fixture(spark, tmp_dir)
+    spark.createDataFrame([(4, "c4", 1, 1.0, "s")], CUSTOMER).write.mode("append").parquet(os.path.join(tmp_dir, "customer.parquet"))
+    t = Tables(spark, tmp_dir)
+    assert sorted(r.customer_name for r in reports.small_buyers_of_item(t, with_none=True).collect()) == ["c1", "c3", "c4"]
+
+
+def test_s3_corrected_never_sold_inside(spark, tmp_dir):
+    region, nation = [(1, "AFRICA"), (2, "EUROPE")], [(0, "N0", 1), (1, "N1", 2)]
+    part = [(1, "both", "b", "t", 1, 1.0), (2, "outside", "b", "t", 1, 1.0), (3, "inside", "b", "t", 1, 1.0)]
+    cust = [(1, "c1", 0, 1.0, "s"), (2, "c2", 1, 1.0, "s")]
+    orders = [(10, 1, "F", 1.0, D(1997, 2, 1), "1"), (11, 2, "F", 1.0, D(1997, 3, 1), "1")]
+    line = lambda o, p: (o, p, 7, 1, 1.0, 1.0, 0.0, 0.0, "N", "F", D(1997, 4, 2))
+    t = write_tables(spark, tmp_dir, part=(part, PART), nation=(nation, NATION), region=(region, REGION), customer=(cust, CUSTOMER),
+                     orders=(orders, ORDERS), lineitem=([line(10, 1), line(11, 1), line(11, 2), line(10, 3)], LINEITEM))
+    names = lambda **kw: sorted(r.stock_item_name for r in reports.items_sold_outside(t, year=1997, **kw).collect())
+    assert names() == ["both", "outside"]
+    assert names(never_inside=True) == ["outside"]
+
+
+def test_s6_plain_sums(spark, tmp_dir):
+    part = [(1, "one", "Brand#1", "SMALL", 1, 1.0), (2, "two", "Brand#1", "SMALL", 1, 1.0)]
+    orders = [(10, 1, "F", 1.0, D(1998, 2, 1), "1")]
+    line = lambda n, p, q, status: (10, p, 7, n, q, 1.0, 0.0, 0.0, "N", status, D(1998, 4, 2))
+    # Item 1: bought 10 once, sold 4 three times; item 2 is bought only.
+    t = write_tables(spark, tmp_dir, part=(part, PART), orders=(orders, ORDERS), lineitem=(
+        [line(1, 1, 10.0, "O"), line(2, 1, 4.0, "F"), line(3, 1, 4.0, "F"), line(4, 1, 4.0, "F"), line(5, 2, 1.0, "O")], LINEITEM))
+    names = lambda **kw: sorted(r.stock_item_name for r in reports.purchased_more_than_sold(t, year=1998, **kw).collect())
+    assert names() == ["one"]
+    assert names(fan_out=False) == ["two"]
+    sums = {r.group_name: (r.total_purchased, r.total_sold, r.remaining) for r in reports.purchased_sold_by_group(t, fan_out=False).collect()}
+    assert set(sums.values()) == {(11, 12, -1)}
+
+
+def test_s8_corrected_adds_counts_and_lists_idle_cities(spark, tmp_dir):
+    t = _sales_fixture(spark, tmp_dir)
+    rows = sorted((r.city, r.most_delivered) for r in reports.top_item_per_region(t, corrected=True).collect())
+    # Customer 3 took items 1 and 2 once, its supplier delivered 1 and 2 twice and 3 once.
+    assert ("IDLE, AMERICA", "No Sales") in rows
+    assert [m for c, m in rows if c == "N1, AMERICA"] == ["blue widget", "red plate"]
+
+
 def test_s8_s9_ties_kept_and_no_idle_city(spark, tmp_dir):
     t = _sales_fixture(spark, tmp_dir)
     rows = sorted((r.city, r.most_delivered) for r in reports.top_item_per_region(t).collect())
