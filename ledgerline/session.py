@@ -8,7 +8,6 @@ directory, broadcast threshold) win.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -23,11 +22,10 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # Static broadcast only for relations whose *measured* size is small;
-    # everything else is shuffled and AQE may still demote to broadcast at
-    # runtime once the real size of a shuffle stage is known.
+    # Broadcast only relations of a small *measured* size.  The threshold for
+    # AQE's own demotions stays unset, so that it follows this one (or the
+    # cluster's): a laxer one would let the driver collect more than it can hold.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -84,9 +82,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table under the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{os.getpid()}-{id(spark)}"
