@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import stored
 from ledgerline.llm.exact_dedup import dedup_groups
-from ledgerline.llm.jaccard_join import linked_groups
+from ledgerline.llm.jaccard_join import SENT_IDS, linked_groups
 from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.quality_rules import score_quality, train
 from ledgerline.llm.substring_dedup import remove_repeats
@@ -35,16 +35,18 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links of Jaccard similarity 0.8 on five-word shingles connect: the smallest id."""
-    stay = linked_groups(docs).where("doc_id <=> component_id").select(F.col("component_id").alias("_stay")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi").select(docs.columns)
+    groups = linked_groups(docs)
+    ids = groups.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays"))
+    gone = stored(ids.where(~F.col("stays")).select(F.col("doc_id").alias("_gone")), "near-copies")
+    if gone.count() <= SENT_IDS:
+        gone = F.broadcast(gone)  # so that the texts stay where they are
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti").select(docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without their windows of 35 words that occur twice; untouched texts stay as they are."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    left = remove_repeats(docs.withColumn("_original", F.col("text")), length=35, keep=[*others, "_original"])
-    text = F.when(F.col("n_removed") == 0, F.col("_original")).otherwise(F.col("kept_text"))
-    out = left.withColumn("text", text)
+    out = remove_repeats(docs, length=35, keep=others, untouched_as_is=True).withColumnRenamed("kept_text", "text")
     if "n_chars" in others:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.char_length("text")))
     return out.select(docs.columns)

@@ -136,13 +136,13 @@ def spans_of(starts: list[int], length: int) -> list[int]:
 
 
 def remove_repeats(docs: DataFrame, length: int = 35, id_col: str = "doc_id", text_col: str = "text",
-                   keep: list[str] | None = None) -> DataFrame:
+                   keep: list[str] | None = None, untouched_as_is: bool = False) -> DataFrame:
     """One row per input row: id, n_words, n_removed, kept_text, and the columns ``keep``.
 
     Words are runs of characters other than [\\x20\\x09-\\x0D].  Every word that a
     repeated window of ``length`` words covers goes, in all places where the
-    window occurs, the first included; kept words are joined by one space.  A
-    null text is empty.  Texts shorter than a window stay whole.  Repeated rows
+    window occurs, the first included; kept words are joined by one space, with
+    ``untouched_as_is`` only in texts that lose words.  A null text is empty.  Texts shorter than a window stay whole.  Repeated rows
     and rows with equal or null ids are documents of their own, so their windows
     repeat each other.  An empty table gives an empty result; columns not in
     ``keep`` are ignored, and kept ones must not be named like a result.
@@ -203,7 +203,7 @@ def remove_repeats(docs: DataFrame, length: int = 35, id_col: str = "doc_id", te
     schema = T.StructType([T.StructField(id_col, id_type), T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType()),
                            *[docs.schema[c] for c in keep]])
-    return rows.join(removed, "_row", "left").select("_id", "_text", "_spans", *keep).mapInArrow(_without(schema), schema)
+    return rows.join(removed, "_row", "left").select("_id", "_text", "_spans", *keep).mapInArrow(_without(schema, untouched_as_is), schema)
 
 
 def _fetch(length: int):
@@ -236,7 +236,7 @@ def _fetch(length: int):
     return run
 
 
-def _without(schema: T.StructType):
+def _without(schema: T.StructType, as_is: bool):
     """For mapInArrow on (_id, _text, _spans): what is left of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,7 +252,7 @@ def _without(schema: T.StructType):
                     stay = [w for w, c in zip(words, np.cumsum(ends)) if not c]
                 n.append(len(words))
                 removed.append(len(words) - len(stay))
-                kept.append(b" ".join(stay).decode())
+                kept.append(text.as_py() if as_is and stay is words else b" ".join(stay).decode())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()), *batch.columns[3:]],
                 names=schema.names)
