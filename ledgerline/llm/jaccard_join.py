@@ -11,9 +11,9 @@ the same links.
    into the regions within the allowed distance and no others.  Two linked sets
    meet in the region of the first shingle they share.
 2. In each region the document with the smallest number is the pivot of the next
-   level.  All others' distances to it are bounded by 64 class counts of the
-   shingles, and computed exactly where the bound allows a link.  Linked points
-   fall into components.
+   level.  All others' distances to it are bounded by counts of the shingles in
+   hash classes, and computed exactly where the bound allows a link.  Linked
+   points fall into components.
 3. Points of one region in different components are compared only if their
    distances to the pivot differ by no more than the allowed distance (triangle
    inequality) and the class counts allow a link; then exactly.
@@ -39,9 +39,10 @@ from ledgerline.llm.words import FACTOR, mixed, shingle_hashes, split_words, wor
 
 #: Cells of the sketch that tells common shingles from rare ones; its size never grows.
 SKETCH_BITS, SKETCH_PARTS = 20, 64
-CLASSES = 64
+#: Least and most classes that a set's shingles are counted in; about a quarter of its size between these.
+CLASSES = (64, 4096)
 #: Documents whose ids may be sent to all tasks; more of them are joined by shuffling.
-SENT_IDS = 2_000_000
+SENT_IDS = 500_000
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -117,7 +118,7 @@ def linked_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
         .withColumn("component", F.coalesce("component", "_row"))
     open_ = placed.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("s")
     left = placed.join(open_, "s").join(known, ["p", "_row"], "left").join(vectors, "_row") \
-        .select("s", "_row", "component", "n", "vec", F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(0.0)).alias("high"))
+        .select("s", "p", "_row", "component", "n", "vec", F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(0.0)).alias("high"))
     pairs = _window_pairs(left, limit, 2 * shuffle_partitions(spark)).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti")
     more = _compare(stored(pairs, "window-pairs"), rows, size, percent)
     groups = components(links.where("linked").select("a", "b").unionByName(more.where("linked").select("a", "b")))
@@ -179,7 +180,7 @@ def _regions_of(size: int, percent: int, order_b):
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 s = shingle_set(text.as_py(), size)
                 if len(s):
-                    vec = np.minimum(np.bincount((s & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES), 255).astype(np.uint8)
+                    vec = class_counts(s)
                     pivots = s[np.argsort(order[_cells(s)], kind="stable")[:prefix_length(len(s), percent)]]
                     out.append((row, len(s), vec.tobytes(), pivots.tobytes()))
             if out:
@@ -224,14 +225,34 @@ def _least_distance(na: np.ndarray, nb: np.ndarray, off: np.ndarray) -> np.ndarr
     return 2 * off / (na + nb + off)
 
 
+def class_counts(s: np.ndarray) -> np.ndarray:
+    """Counts of a set's shingles by their low bits; 255 stands for more, which only loosens the bound."""
+    classes = min(max(CLASSES[0], 1 << (len(s) // 4).bit_length()), CLASSES[1])
+    return np.minimum(np.bincount((s & np.uint64(classes - 1)).astype(np.int64), minlength=classes), 255).astype(np.uint8)
+
+
+def folded(counts: np.ndarray, classes: int) -> np.ndarray:
+    """The same counts (one set a row) in fewer classes."""
+    counts = counts.astype(np.int32)
+    if counts.shape[-1] == classes:
+        return counts
+    # A count of 255 may stand for more, so it can't be added to others; a class that holds one stays at 255.
+    full = (counts == 255).reshape(*counts.shape[:-1], -1, classes).any(-2)
+    return np.where(full, 255, np.minimum(counts.reshape(*counts.shape[:-1], -1, classes).sum(-2), 255))
+
+
 def _with_bounds(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     """(a, b, low) with the least distance that sizes and class counts allow."""
     def bound(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             if len(f):
-                va, vb = (np.frombuffer(b"".join(f[c]), np.uint8).reshape(-1, CLASSES).astype(np.int32) for c in ("va", "vb"))
-                low = _least_distance(f["na"].to_numpy(), f["nb"].to_numpy(), np.abs(va - vb).sum(1))
-                yield pd.DataFrame({"a": f["a"], "b": f["b"], "low": low})
+                off = np.zeros(len(f), np.int64)
+                sizes = np.stack([f["va"].map(len), f["vb"].map(len)], axis=1)
+                for ca, cb in np.unique(sizes, axis=0):
+                    at = np.flatnonzero((sizes == (ca, cb)).all(axis=1))
+                    va, vb = (np.frombuffer(b"".join(f[c].iloc[at]), np.uint8).reshape(len(at), -1) for c in ("va", "vb"))
+                    off[at] = np.abs(folded(va, min(ca, cb)) - folded(vb, min(ca, cb))).sum(1)
+                yield pd.DataFrame({"a": f["a"], "b": f["b"], "low": _least_distance(f["na"].to_numpy(), f["nb"].to_numpy(), off)})
     ends = [vectors.select(F.col("_row").alias(c), F.col("n").alias(f"n{c}"), F.col("vec").alias(f"v{c}")) for c in "ab"]
     return pairs.join(ends[0], "a").join(ends[1], "b").mapInPandas(bound, "a long, b long, low double")
 
@@ -241,27 +262,33 @@ def _window_pairs(left: DataFrame, limit: float, buckets: int) -> DataFrame:
     def one(f: pd.DataFrame) -> np.ndarray:
         row, comp, n = (f[c].to_numpy() for c in ("_row", "component", "n"))
         low, high = f["low"].to_numpy(), f["high"].to_numpy()
-        vec = np.frombuffer(b"".join(f["vec"]), np.uint8).reshape(-1, CLASSES).astype(np.int16)
+        vec = [np.frombuffer(v, np.uint8) for v in f["vec"]]
+        classes = np.array([len(v) for v in vec])
         kinds, of = np.unique(comp, return_inverse=True)
         largest = np.bincount(of).argmax()
         out = []
         for i in np.flatnonzero(of != largest):  # the largest component needs no row of its own
             j = np.flatnonzero((of != of[i]) & ((of == largest) | (row > row[i]))
-                               & (low <= high[i] + limit) & (low[i] <= high + limit))
-            if len(j):
-                j = j[_least_distance(n[i], n[j], np.abs(vec[j] - vec[i]).sum(1)) <= limit]
-                out.append(np.stack([np.minimum(row[i], row[j]), np.maximum(row[i], row[j])], axis=1))
+                               & (low <= high[i] + limit) & (low[i] <= high + limit)
+                            & (_least_distance(n[i], n, np.abs(n - n[i])) <= limit))
+            for c in np.unique(classes[j]):
+                k, m = j[classes[j] == c], min(c, classes[i])
+                off = np.abs(folded(np.stack([vec[x] for x in k]), m) - folded(vec[i], m)).sum(1)
+                k = k[_least_distance(n[i], n[k], off) <= limit]
+                out.append(np.stack([np.minimum(row[i], row[k]), np.maximum(row[i], row[k])], axis=1))
         return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
 
     def bucket(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("s", kind="stable")
-        s = frame["s"].to_numpy()
+        frame = frame.sort_values(["s", "_row"], kind="stable")
+        s, rows = frame["s"].to_numpy(), frame["_row"].to_numpy()
         cuts = [0, *(np.flatnonzero(s[1:] != s[:-1]) + 1).tolist(), len(s)]
-        found = [one(frame.iloc[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]
+        # Neighbouring shingles often have the same points around them; once is enough.
+        regions = {rows[lo:hi].tobytes(): (lo, hi) for lo, hi in zip(cuts, cuts[1:])}
+        found = [one(frame.iloc[lo:hi]) for lo, hi in regions.values()]
         pairs = np.unique(np.concatenate(found), axis=0)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return left.withColumn("bucket", F.pmod(F.xxhash64("s"), F.lit(buckets))).groupBy("bucket").applyInPandas(bucket, "a long, b long")
+    return left.withColumn("bucket", F.pmod(F.xxhash64("p"), F.lit(buckets))).groupBy("bucket").applyInPandas(bucket, "a long, b long")
 
 
 def _compare(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
