@@ -28,6 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,19 +41,19 @@ from ledgerline.llm.words import split_words, word_hashes
 #: Stand for the start and the end of a text; no word holds a blank.
 START, END = (np.uint64(xxhash.xxh64_intdigest(w)) for w in (b" start", b" end"))
 #: Bytes of text for one shard, tokens and documents of one batch.
-SHARD_BYTES, BATCH_TOKENS, BATCH_DOCS = 40_000_000, 4_000_000, 60_000
+SHARD_BYTES, BATCH_TOKENS, BATCH_DOCS = 28_000_000, 2_500_000, 60_000
 LOW = np.uint64((1 << SUCCESSOR_BITS) - 1)
 
 MESSAGE = "shard int, salt int, batch long, kind int, data binary"
 
 
 def _join(*arrays: np.ndarray) -> bytes:
-    """Arrays in a row, each after its number of bytes."""
-    return b"".join(x for a in arrays for x in (a.nbytes.to_bytes(8, "little"), a.tobytes()))
+    """Arrays in a row, each after its number of bytes, compressed."""
+    return zstandard.compress(b"".join(x for a in arrays for x in (a.nbytes.to_bytes(8, "little"), a.tobytes())), 1)
 
 
 def _split(data: bytes, *types: str) -> list[np.ndarray]:
-    out, at = [], 0
+    data, out, at = zstandard.decompress(data), [], 0
     for t in types:
         n = int.from_bytes(data[at: at + 8], "little")
         out.append(np.frombuffer(data, t, n // np.dtype(t).itemsize, at + 8))
@@ -173,9 +174,9 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
         copies[r["shard"]] = max(1, round((r["tokens"] + r["texts"]) / (2 * share)))
 
     def ask(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, learnt, tokens, of in _batches(frames):
+        for k, (ids, learnt, tokens, of) in enumerate(_batches(frames)):
             ids, b, c, d = np.array(ids, np.int64), *_pairs(tokens, of)
-            batch = xxhash.xxh64_intdigest(ids.tobytes() + tokens[:64].tobytes()) >> 1
+            batch = xxhash.xxh64_intdigest(ids.tobytes(), seed=k) >> 1  # a long text may fill several batches
             sizes = np.bincount(of, minlength=len(ids)) - 1
             out = [(batch % shards, 0, batch, 2, _join(ids, sizes))]
             for kind, side in ((0, learnt[d]), (1, ~learnt[d])):
@@ -213,14 +214,14 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
                         out.append((m[2], 3, m[0] * 65536 + m[1], m[4]))
             held = np.unique(docs_of)
             sums = [np.bincount(docs_of, w, n)[held] for w in (score[pair], base[first], known[first])]
-            out.append((batch, 1, 0, _join(held.astype("<u2"), sums[0], sums[1], sums[2].astype("<u4"))))
+            out.append((batch, 1, 0, _join(held.astype("<u2"), sums[0].astype("<f4"), sums[1], sums[2].astype("<u4"))))
         return pd.DataFrame(out, columns=["batch", "kind", "place", "data"])
 
+    # One row a shard and copy, so it may be sent to all tasks; the tries themselves stay where they are.
     deals = spark.createDataFrame([(s, k) for s in range(shards) for k in range(int(copies[s]))], "shard int, salt int")
-    # As many rows as shards and their copies, so the tries travel once for each.
-    held = deals.join(tries, "shard", "left")
+    held = tries.join(F.broadcast(deals), "shard")
     answers = stored(source.mapInArrow(ask, MESSAGE).groupBy("shard", "salt").cogroup(
-        held.select("shard", "salt", "trie").where("trie is not null").groupBy("shard", "salt")).applyInPandas(
+        held.select("shard", "salt", "trie").groupBy("shard", "salt")).applyInPandas(
             lambda left, right: answer(left, right) if len(left) else _nothing(), "batch long, kind int, place long, data binary"), "answers")
 
     def unigrams(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -234,20 +235,20 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
             held_docs = np.unique(docs_of)
             sums = np.bincount(docs_of, np.repeat(np.log10(counts + 1), runs))[held_docs]
             none = np.zeros(len(held_docs))
-            out.append((batch, 1, 0, _join(held_docs.astype("<u2"), sums, none, none.astype("<u4"))))
+            out.append((batch, 1, 0, _join(held_docs.astype("<u2"), sums.astype("<f4"), none, none.astype("<u4"))))
         return pd.DataFrame(out, columns=["batch", "kind", "place", "data"])
 
     left = answers.where("kind = 3").select(
         F.expr("cast(place div 65536 as int)").alias("shard"), F.expr("cast(place % 65536 as int)").alias("salt"), "batch", "data")
     late = left.groupBy("shard", "salt").cogroup(
-        held.select("shard", "salt", "unigrams").where("unigrams is not null").groupBy("shard", "salt")).applyInPandas(
+        held.select("shard", "salt", "unigrams").groupBy("shard", "salt")).applyInPandas(
             unigrams, "batch long, kind int, place long, data binary")
 
     def finish(frame: pd.DataFrame) -> pd.DataFrame:
         ids, sizes = _split(frame[frame["kind"] == 2]["data"].iloc[0], "<i8", "<i8")
         total = np.zeros((3, len(ids)))
         for data in frame[frame["kind"] == 1]["data"]:
-            d, *sums = _split(data, "<u2", "<f8", "<f8", "<u4")
+            d, *sums = _split(data, "<u2", "<f4", "<f8", "<u4")
             for t, s in zip(total, sums):
                 t[d] += s
         return pd.DataFrame({"_row": ids, "n": sizes, "known": total[2].astype(np.int64), "base": total[1], "model": total[0]})
