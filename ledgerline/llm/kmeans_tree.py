@@ -65,7 +65,7 @@ class KMeansTree:
         return out
 
 
-def fit_tree(x: np.ndarray, branches: int = 8, leaf_size: int = 24, rounds: int = 8, seed: int = 5) -> KMeansTree:
+def fit_tree(x: np.ndarray, branches: int = 16, leaf_size: int = 100, rounds: int = 8, seed: int = 5) -> KMeansTree:
     """Split rows by k-means, again and again, until at most ``leaf_size`` rows or one distinct row are left."""
     rng = np.random.default_rng(seed)
     children: list[list[int]] = [[]]
@@ -76,7 +76,8 @@ def fit_tree(x: np.ndarray, branches: int = 8, leaf_size: int = 24, rounds: int
         if len(rows) <= leaf_size:
             continue
         part = x[rows]
-        centers = part[rng.choice(len(rows), branches, replace=False)] if len(rows) >= branches else part
+        wanted = min(branches, -(-len(rows) // leaf_size))  # no smaller leaves than asked for
+        centers = part[rng.choice(len(rows), wanted, replace=False)]
         for _ in range(rounds):
             near = ((centers * centers).sum(1) - 2 * (part @ centers.T)).argmin(1)
             sums = np.zeros_like(centers)
@@ -111,7 +112,7 @@ def usable_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return fine.where(F.size("v") == (sizes[0]["d"] if sizes else 0))
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, recall: float = 0.97, id_col: str = "vec_id",
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, recall: float = 0.95, id_col: str = "vec_id",
             vec_col: str = "embedding", sample: int = 30_000, calibration: int = 200, block: int = 4096) -> DataFrame:
     """query_id, rank, id, score: the ``k`` nearest of each query found, nearest first.
 
@@ -166,17 +167,32 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, recall: float = 0.
     deals = max(1, -(-queries.count() * visits // (max(1, len(sizes)) * 8192)))
     blocks_b = spark.sparkContext.broadcast(blocks)
 
+    dims = tree.centroids.shape[1] - 1
+    fitted = _matrix(picked["vec"])
+    sample_b = spark.sparkContext.broadcast((fitted.astype("<f4"), tree.assign(_longer(fitted, norm))))  # bounded by ``sample``
+
     def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            if not len(f):
-                continue
-            rows = []
-            for gid, vec, q in zip(f["gid"], f["vec"], _asking(_matrix(f["vec"]), norm)):
-                rows += [(leaf, b, int(gid % deals), gid, vec) for leaf in tree_b.value.visit(q, visits)
-                         for b in range(blocks_b.value.get(leaf, 0))]
-            yield pd.DataFrame(rows, columns=["leaf", "block", "deal", "qgid", "q"])
-
-    asked = queries.mapInPandas(walk, "leaf long, block int, deal int, qgid long, q binary")
+            for lo in range(0, len(f), 128):
+                part = f.iloc[lo: lo + 128]
+                gids, v = part["gid"].to_numpy(), _matrix(part["vec"])
+                known, known_leaf = v @ sample_b.value[0].T.astype(np.float64), sample_b.value[1]
+                by_leaf: dict[int, list[int]] = {}
+                for i, q in enumerate(_asking(v, norm)):
+                    met = np.zeros(tree_b.value.leaves, bool)
+                    for leaf in tree_b.value.visit(q, visits):
+                        by_leaf.setdefault(leaf, []).append(i)
+                        met[leaf] = True
+                    known[i, ~met[known_leaf]] = -np.inf
+                # The sample's rows in the visited leaves will be found there; worse ones need not come back.
+                least = np.partition(known, -(k + 2), axis=1)[:, -(k + 2)] - 1e-9 if known.shape[1] > k + 1 else np.full(len(v), -np.inf)
+                short = v.astype("<f4")
+                yield pd.DataFrame(
+                    [(leaf, b, int(gids[0] % deals), gids[at].tobytes(), least[at].tobytes(), short[at].tobytes())
+                     for leaf, at in by_leaf.items() for b in range(blocks_b.value.get(leaf, 0))],
+                    columns=["leaf", "block", "deal", "qgids", "least", "q"])
+
+    asked = queries.mapInPandas(walk, "leaf long, block int, deal int, qgids binary, least binary, q binary")
     n_blocks = F.lit(0)
     many = [(int(a), int(n)) for a, n in blocks.items() if n > 1]
     if many:
@@ -189,13 +205,12 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, recall: float = 0.
                        F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"), "gid", "first", "vec")
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"qgid": [], "gid": [], "first": [], "score": []})
-        out, c = [], _matrix(right["vec"])
-        gids, firsts = right["gid"].to_numpy(), right["first"].to_numpy()
-        for lo in range(0, len(left), 512):
-            part = left.iloc[lo: lo + 512]
-            out.append(_best(part["qgid"].to_numpy(), _matrix(part["q"]) @ c.T, gids, firsts, k + 1))
+        out = [pd.DataFrame({"qgid": [], "gid": [], "first": [], "score": []})]
+        if len(left) and len(right):
+            c, gids, firsts = _matrix(right["vec"]), right["gid"].to_numpy(), right["first"].to_numpy()
+            for qgids, least, q in zip(left["qgids"], left["least"], left["q"]):
+                scores = np.frombuffer(q, "<f4").reshape(-1, dims).astype(np.float64) @ c.T
+                out.append(_best(np.frombuffer(qgids, np.int64), scores, gids, firsts, k + 1, np.frombuffer(least, np.float64)))
         return pd.concat(out)
 
     keys = ["leaf", "block", "deal"]
@@ -226,13 +241,13 @@ def _asking(x: np.ndarray, norm: float) -> np.ndarray:
     return np.hstack([x * (norm / np.sqrt((x * x).sum(1)))[:, None], np.zeros((len(x), 1))])
 
 
-def _best(qgids: np.ndarray, scores: np.ndarray, gids: np.ndarray, firsts: np.ndarray, k: int) -> pd.DataFrame:
-    """The k best columns of each row; what ties with the last one comes along."""
+def _best(qgids: np.ndarray, scores: np.ndarray, gids: np.ndarray, firsts: np.ndarray, k: int,
+          least: np.ndarray | None = None) -> pd.DataFrame:
+    """The k best columns of each row, with what ties with the last one, of those that reach ``least``."""
+    floor = np.full(len(scores), -np.inf) if least is None else least
     if scores.shape[1] > k:
-        least = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k]
-        rows, cols = np.nonzero(scores >= least[:, None])
-    else:
-        rows, cols = np.nonzero(np.ones_like(scores, bool))
+        floor = np.maximum(floor, np.partition(scores, scores.shape[1] - k, axis=1)[:, -k])
+    rows, cols = np.nonzero(scores >= floor[:, None])
     return pd.DataFrame({"qgid": qgids[rows], "gid": gids[cols], "first": firsts[cols], "score": scores[rows, cols]})
 
 
