@@ -43,6 +43,8 @@ SKETCH_BITS, SKETCH_PARTS = 20, 64
 CLASSES = (64, 4096)
 #: Documents whose ids may be sent to all tasks; more of them are joined by shuffling.
 SENT_IDS = 500_000
+#: Added to the allowed distance in bounds: floating point must not rule out a pair that lies exactly on it.
+SLACK = 1e-9
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -106,7 +108,7 @@ def linked_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
     in_region = regions.join(first, "s")
     star = in_region.where("_row != p").select(F.col("p").alias("a"), F.col("_row").alias("b")).distinct()
     bounded = stored(_with_bounds(star, vectors), "pivot-bounds")
-    limit = 1 - percent / 100
+    limit = 1 - percent / 100 + SLACK
     links = stored(_compare(bounded.where(F.col("low") <= limit).select("a", "b"), rows, size, percent), "pivot-links")
     joined = components(links.where("linked").select("a", "b"))
 

@@ -47,6 +47,17 @@ def test_other_sizes_and_limits(spark):
     assert bag(got) == bag(brute.linked(rows, 2, 60))
 
 
+@pytest.mark.parametrize("percent,words,changed", [(80, 13, 12), (80, 49, 24), (90, 23, 22)])
+def test_pairs_exactly_at_the_limit(spark, percent, words, changed):
+    rows = []
+    for g in range(12):
+        w = [f"g{g}w{i}" for i in range(words)]
+        rows += [(2 * g, " ".join(w)), (2 * g + 1, " ".join([*w[:changed], f"other{g}", *w[changed + 1:]]))]
+    want = brute.linked(rows, 5, percent)
+    assert [c for *_, c in want] == [i - i % 2 for i, _ in rows]
+    assert bag(jaccard_join.linked_groups(edge_docs(spark, rows), percent=percent).collect()) == bag(want)
+
+
 def test_one_large_group_of_near_copies_and_its_strays(spark):
     rng = random.Random(9)
     base = [f"w{i}" for i in range(120)]
