@@ -16,7 +16,7 @@
    are taken out of the documents.
 
 Anchors under which very many distinct segments lie are split once more, window
-by window, by the windows' first words.
+by window, by a hash of the whole window.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from ledgerline.llm.common import stored
 from ledgerline.llm.rows import numbered
-from ledgerline.llm.words import prefix_hashes, range_hashes, shingle_hashes, split_words, word_hashes
+from ledgerline.llm.words import mixed, prefix_hashes, range_hashes, shingle_hashes, split_words, word_hashes
 
 ANCHOR_WORDS = 8
 #: Words of reference text for one automaton.
@@ -221,12 +221,12 @@ def _fetch(length: int):
                         out.append((w["anchor"], w["seg"], -1, w["anchor"], w["seg"], w["times"], b" ".join(part).decode(), w["n"]))
                         continue
                     hashes = word_hashes.of(part)
-                    opening = shingle_hashes(hashes, min(ANCHOR_WORDS, length)).view(np.int64)
                     prefix, inverse = prefix_hashes(hashes)
                     starts = np.arange(w["n"] - length + 1)
                     windows = range_hashes(prefix, inverse, starts, np.full(len(starts), length)).view(np.int64)
+                    keys = mixed(windows.view(np.uint64) ^ np.uint64(w["anchor"] % 2**64)).view(np.int64)
                     for i in starts.tolist():
-                        out.append((w["anchor"], w["seg"], i, int(w["anchor"] ^ opening[i]), int(windows[i]), w["times"],
+                        out.append((w["anchor"], w["seg"], i, int(keys[i]), int(windows[i]), w["times"],
                                     b" ".join(part[i: i + length]).decode(), length))
                 if len(out) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)

@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +128,19 @@ def test_columns_to_keep(spark):
     got = substring_dedup.remove_repeats(edge_docs(spark), keep=["score", "host"])
     assert got.columns == ["doc_id", "n_words", "n_removed", "kept_text", "score", "host"]
     assert got.where(F.col("score") == "s").count() == len(EDGE)
+
+
+def test_windows_of_a_crowded_anchor_have_keys_of_their_own():
+    line = [f"line{i}" for i in range(30)]
+    texts_, wanted = [], []
+    for k in range(50):
+        w = [*line, *[f"own{k}_{i}" for i in range(10)]]
+        texts_.append(" ".join(w))
+        wanted.append([{"anchor": -7, "seg": k, "times": 1, "start": 0, "n": 40, "crowded": True}])
+    kind = pa.list_(pa.struct([(c, pa.int64()) for c in ("anchor", "seg", "times", "start", "n")] + [("crowded", pa.bool_())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts_), pa.array(wanted, kind)], names=["_text", "_wanted"])
+    rows = [r for b in substring_dedup._fetch(35)([batch]) for r in b.to_pylist()]
+    keys = Counter(r["key"] for r in rows)
+    assert len(rows) == 300 and max(keys.values()) == 1  # no window of 35 words repeats here
+    again = [r for b in substring_dedup._fetch(35)([batch]) for r in b.to_pylist()]
+    assert [r["key"] for r in again] == [r["key"] for r in rows]
