@@ -16,7 +16,10 @@ the same links.
    points fall into components.
 3. Points of one region in different components are compared only if their
    distances to the pivot differ by no more than the allowed distance (triangle
-   inequality) and the class counts allow a link; then exactly.
+   inequality), the shingles that each loses before the region's own leave
+   enough in common, and the class counts allow a link; then exactly.  Points
+   that no such window meets leave the region, and the others are dealt into
+   units of bounded size, so no region has to fit into one task.
 
 A large group of near copies thus falls together in step 2, with as many
 comparisons as it has members.
@@ -45,6 +48,8 @@ CLASSES = (64, 4096)
 SENT_IDS = 500_000
 #: Added to the allowed distance in bounds: floating point must not rule out a pair that lies exactly on it.
 SLACK = 1e-9
+#: Points of an open region on each side of a unit of comparing work; about how many rows of units a task takes at once.
+UNIT_ROWS, BUCKET_ROWS = 1_000, 20_000
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -118,10 +123,16 @@ def linked_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
         F.coalesce("distance", F.lit(1.0)).alias("high"))
     placed = in_region.join(joined.withColumnRenamed("node", "_row"), "_row", "left") \
         .withColumn("component", F.coalesce("component", "_row"))
-    open_ = placed.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("s")
-    left = placed.join(open_, "s").join(known, ["p", "_row"], "left").join(vectors, "_row") \
-        .select("s", "p", "_row", "component", "n", "vec", F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(0.0)).alias("high"))
-    pairs = _window_pairs(left, limit, 2 * shuffle_partitions(spark)).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti")
+    # Neighbouring shingles often have the same points around them; once is enough, with the widest of their windows.
+    open_ = placed.groupBy("s").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.bit_xor(F.xxhash64("_row")).alias("region")).where("lo != hi")
+    left = placed.join(open_.select("s", "region"), "s").groupBy("p", "region", "_row") \
+        .agg(F.first("component").alias("component"), F.min("at").alias("at")) \
+        .join(known, ["p", "_row"], "left").join(vectors.select("_row", "n"), "_row") \
+        .select("p", "region", "_row", "component", "n", F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(0.0)).alias("high"),
+                F.expr(f"(n - at) * {100 + percent} div {percent} - n").alias("most"))
+    units = stored(_units(stored(left, "open-points"), percent, limit), "window-units")
+    pairs = _window_pairs(units, vectors, limit, 2 * shuffle_partitions(spark)).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti")
     more = _compare(stored(pairs, "window-pairs"), rows, size, percent)
     groups = components(links.where("linked").select("a", "b").unionByName(more.where("linked").select("a", "b")))
 
@@ -193,7 +204,7 @@ def _regions_of(size: int, percent: int, order_b):
 
 
 def _shared(near: DataFrame, buckets: int) -> DataFrame:
-    """(s, _row) of the regions with two or more points."""
+    """(s, _row, at) of the regions with two or more points; at: shingles of the set before s in the order."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [np.frombuffer(x.as_py(), np.uint64) for x in batch.column(1)]
@@ -201,24 +212,28 @@ def _shared(near: DataFrame, buckets: int) -> DataFrame:
                 continue
             s = np.concatenate(parts)
             row = np.repeat(batch.column(0).to_numpy(), [len(p) for p in parts])
+            at = np.concatenate([np.arange(len(p), dtype=np.int32) for p in parts])
             bucket = (s % np.uint64(buckets)).astype(np.int32)
             by = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
-            out = [(b, s[by[lo:hi]].tobytes(), row[by[lo:hi]].tobytes()) for b, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if hi > lo]
+            out = [(b, s[by[lo:hi]].tobytes(), row[by[lo:hi]].tobytes(), at[by[lo:hi]].tobytes())
+                   for b, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if hi > lo]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "s", "rows"])
+                [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
+                names=["bucket", "s", "rows", "ats"])
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
         s = np.concatenate([np.frombuffer(x, np.uint64) for x in frame["s"]])
         rows = np.concatenate([np.frombuffer(x, np.int64) for x in frame["rows"]])
+        ats = np.concatenate([np.frombuffer(x, np.int32) for x in frame["ats"]])
         by = np.argsort(s, kind="stable")
-        s, rows = s[by], rows[by]
+        s, rows, ats = s[by], rows[by], ats[by]
         same = s[1:] == s[:-1]
         keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        return pd.DataFrame({"s": s[keep].view(np.int64), "_row": rows[keep]})
+        return pd.DataFrame({"s": s[keep].view(np.int64), "_row": rows[keep], "at": ats[keep]})
 
-    dealt = near.select("_row", "pivots").mapInArrow(deal, "bucket int, s binary, rows binary")
-    return stored(dealt.groupBy("bucket").applyInPandas(meet, "s long, _row long"), "regions")
+    dealt = near.select("_row", "pivots").mapInArrow(deal, "bucket int, s binary, rows binary, ats binary")
+    return stored(dealt.groupBy("bucket").applyInPandas(meet, "s long, _row long, at int"), "regions")
 
 
 def _least_distance(na: np.ndarray, nb: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -259,38 +274,78 @@ def _with_bounds(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     return pairs.join(ends[0], "a").join(ends[1], "b").mapInPandas(bound, "a long, b long, low double")
 
 
-def _window_pairs(left: DataFrame, limit: float, buckets: int) -> DataFrame:
-    """(a, b): pairs in one region and different components that pivot distances and class counts don't rule out."""
+def _units(left: DataFrame, percent: int, limit: float) -> DataFrame:
+    """(unit, probe, ...): the points of open regions, dealt into units of at most ``UNIT_ROWS`` homes and as many probes.
+
+    ``most`` is the largest set that a point can link with if they first meet in
+    this region.  A pair is looked for where its smaller set (equal ones by row
+    number) is at home, by band of set sizes; ``stray`` tells the homes outside
+    the region's largest component.  Points of that component probe strays only,
+    and are probed by strays only.  Points that no window meets are dropped.
+    """
+    of = ["p", "region"]
+    largest = left.groupBy(*of, "component").count().groupBy(*of).agg(F.max(F.struct("count", "component"))["component"].alias("main"))
+    points = left.join(largest, of).withColumn("off_main", F.col("component") != F.col("main")) \
+        .withColumn("band", F.floor(F.log("n") / F.log(F.lit(100 / percent)) + SLACK).cast("int") if percent < 100 else F.col("n").cast("int"))
+    fields = ["_row", "component", "n", "low", "high", "most"]
+    place = [*of, "band", "stray"]
+    homes = points.where("most >= n").select(*of, "band", F.col("off_main").alias("stray"), *fields)
+    # The smaller set has at least ``percent`` of the larger one's size, so it is in the same band or the one below.
+    probes = points.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1))) \
+        .withColumn("stray", F.explode(F.when(F.col("off_main"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True))))) \
+        .select(*place, *fields)
+
+    def met(rows: DataFrame, others: DataFrame, larger: bool) -> DataFrame:
+        hull = others.groupBy(*place).agg(
+            F.min("n").alias("n0"), F.max("n").alias("n1"), F.max("most").alias("most1"), F.min("low").alias("low0"), F.max("high").alias("high1"),
+            F.min("component").alias("c0"), F.max("component").alias("c1"))
+        sizes = f"n0 <= n and 100 * n1 >= {percent} * n" if larger else f"n <= n1 and 100 * n >= {percent} * n0"
+        return rows.join(hull, place).where(sizes).where("n0 <= most and n <= most1 and (c0 != component or c1 != component)") \
+            .where((F.col("low") <= F.col("high1") + limit) & (F.col("low0") <= F.col("high") + limit)).select(rows.columns)
+
+    probes = met(probes, homes, True)
+    homes = met(homes, probes, False)
+    cells = homes.groupBy(*place).agg(F.ceil(F.count("*") / UNIT_ROWS).cast("int").alias("hc")).join(
+        probes.groupBy(*place).agg(F.ceil(F.count("*") / UNIT_ROWS).cast("int").alias("pc")), place)
+    own = "cast(pmod(xxhash64(_row), {}) as int)"
+    dealt = [rows.join(cells, place).withColumn("own", F.expr(own.format(mine))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col(theirs) - 1)))
+             .select(F.xxhash64(*place, *ends).alias("unit"), F.lit(probe).alias("probe"), *fields)
+             for rows, mine, theirs, ends, probe in ((homes, "hc", "pc", ("own", "other"), False), (probes, "pc", "hc", ("other", "own"), True))]
+    return dealt[0].unionByName(dealt[1])
+
+
+def _window_pairs(units: DataFrame, vectors: DataFrame, limit: float, buckets: int) -> DataFrame:
+    """(a, b): pairs of a unit in different components that pivot distances, shingles before the region's, and class counts don't rule out."""
+    buckets = max(buckets, -(-units.count() // BUCKET_ROWS))
+
     def one(f: pd.DataFrame) -> np.ndarray:
-        row, comp, n = (f[c].to_numpy() for c in ("_row", "component", "n"))
-        low, high = f["low"].to_numpy(), f["high"].to_numpy()
-        vec = [np.frombuffer(v, np.uint8) for v in f["vec"]]
+        probe = f["probe"].to_numpy()
+        homes, probes = f[~probe], f[probe]
+        row, comp, n, low, high, most = (homes[c].to_numpy() for c in ("_row", "component", "n", "low", "high", "most"))
+        vec = [np.frombuffer(v, np.uint8) for v in homes["vec"]]
         classes = np.array([len(v) for v in vec])
-        kinds, of = np.unique(comp, return_inverse=True)
-        largest = np.bincount(of).argmax()
         out = []
-        for i in np.flatnonzero(of != largest):  # the largest component needs no row of its own
-            j = np.flatnonzero((of != of[i]) & ((of == largest) | (row > row[i]))
-                               & (low <= high[i] + limit) & (low[i] <= high + limit)
-                            & (_least_distance(n[i], n, np.abs(n - n[i])) <= limit))
-            for c in np.unique(classes[j]):
-                k, m = j[classes[j] == c], min(c, classes[i])
-                off = np.abs(folded(np.stack([vec[x] for x in k]), m) - folded(vec[i], m)).sum(1)
-                k = k[_least_distance(n[i], n[k], off) <= limit]
-                out.append(np.stack([np.minimum(row[i], row[k]), np.maximum(row[i], row[k])], axis=1))
+        for r, c, size, near, far, cap, v in zip(*(probes[x] for x in ("_row", "component", "n", "low", "high", "most", "vec"))):
+            j = np.flatnonzero((comp != c) & ((n < size) | ((n == size) & (row < r))) & (n <= cap) & (size <= most)
+                               & (near <= high + limit) & (low <= far + limit)
+                               & (_least_distance(size, n, np.abs(n - size)) <= limit))
+            v = np.frombuffer(v, np.uint8)
+            for k in np.unique(classes[j]):
+                at, m = j[classes[j] == k], min(k, len(v))
+                off = np.abs(folded(np.stack([vec[x] for x in at]), m) - folded(v, m)).sum(1)
+                at = at[_least_distance(size, n[at], off) <= limit]
+                out.append(np.stack([np.minimum(r, row[at]), np.maximum(r, row[at])], axis=1))
         return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
 
     def bucket(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["s", "_row"], kind="stable")
-        s, rows = frame["s"].to_numpy(), frame["_row"].to_numpy()
-        cuts = [0, *(np.flatnonzero(s[1:] != s[:-1]) + 1).tolist(), len(s)]
-        # Neighbouring shingles often have the same points around them; once is enough.
-        regions = {rows[lo:hi].tobytes(): (lo, hi) for lo, hi in zip(cuts, cuts[1:])}
-        found = [one(frame.iloc[lo:hi]) for lo, hi in regions.values()]
-        pairs = np.unique(np.concatenate(found), axis=0)
+        frame = frame.sort_values("unit", kind="stable")
+        unit = frame["unit"].to_numpy()
+        cuts = [0, *(np.flatnonzero(unit[1:] != unit[:-1]) + 1).tolist(), len(unit)]
+        pairs = np.unique(np.concatenate([one(frame.iloc[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]), axis=0)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return left.withColumn("bucket", F.pmod(F.xxhash64("p"), F.lit(buckets))).groupBy("bucket").applyInPandas(bucket, "a long, b long")
+    return units.join(vectors.select("_row", "vec"), "_row").withColumn("bucket", F.pmod("unit", F.lit(buckets))) \
+        .groupBy("bucket").applyInPandas(bucket, "a long, b long")
 
 
 def _compare(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:

@@ -59,6 +59,39 @@ def test_pairs_exactly_at_the_limit(spark, percent, words, changed):
     assert bag(jaccard_join.linked_groups(edge_docs(spark, rows), percent=percent).collect()) == bag(want)
 
 
+def open_points(spark, n, most, stray):
+    """``n`` points of one region, each ``stray``-th a component of its own."""
+    return spark.createDataFrame([(0, 7, k, k if k % stray == 0 else 1, 10 + k % 2, 0.0, 0.5, most) for k in range(1, n + 1)],
+                                 "p long, region long, _row long, component long, n long, low double, high double, most long")
+
+
+def test_a_large_open_region_is_dealt_into_bounded_units(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "UNIT_ROWS", 50)
+    units = jaccard_join._units(open_points(spark, 600, 12, 3), 80, 0.2).groupBy("unit", "probe").count().collect()
+    assert max(r["count"] for r in units) <= 100  # the cells are dealt by hash, 50 on average
+    # One stray: the closed component's points are sent on once each, not to each other.
+    lone = jaccard_join._units(open_points(spark, 600, 12, 600), 80, 0.2).groupBy("_row").count().orderBy(F.desc("count")).collect()
+    assert [r["_row"] for r in lone if r["count"] > 4] == [600]
+    # Points that have lost too many shingles before the region's own need no comparison at all.
+    assert jaccard_join._units(open_points(spark, 600, 8, 1), 80, 0.2).count() == 0
+
+
+@pytest.mark.parametrize("case", ["template", "passages", 4])
+def test_links_in_regions_of_many_units(spark, monkeypatch, case):
+    monkeypatch.setattr(jaccard_join, "UNIT_ROWS", 3)
+    monkeypatch.setattr(jaccard_join, "BUCKET_ROWS", 40)
+    rng = random.Random(11)
+    common = [f"c{i}" for i in range(12)]
+    if case == "template":  # 8 shingles in common, 0 to 3 of their own
+        rows = [(k, " ".join([*common, *[f"o{k}_{i}" for i in range(rng.randint(0, 3))]])) for k in range(120)]
+    elif case == "passages":
+        rows = [(k, " ".join(x for i in rng.sample(range(7), 5) for x in [f"q{i}_{j}" for j in range(rng.choice([9, 10]))])) for k in range(120)]
+    else:
+        rows = noisy_groups(case, 4, 30)
+    got = jaccard_join.linked_groups(edge_docs(spark, rows)).collect()
+    assert bag(got) == bag(brute.linked(rows))
+
+
 def test_one_large_group_of_near_copies_and_its_strays(spark):
     rng = random.Random(9)
     base = [f"w{i}" for i in range(120)]
