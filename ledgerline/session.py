@@ -28,6 +28,8 @@ DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Batches for Python tasks are bounded in bytes too: a thousand long texts are no small batch.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024),
 }
 
 
