@@ -14,12 +14,15 @@ the same links.
    level.  All others' distances to it are bounded by counts of the shingles in
    hash classes, and computed exactly where the bound allows a link.  Linked
    points fall into components.
-3. Points of one region in different components are compared only if their
-   distances to the pivot differ by no more than the allowed distance (triangle
-   inequality), the shingles that each loses before the region's own leave
-   enough in common, and the class counts allow a link; then exactly.  Points
-   that no such window meets leave the region, and the others are dealt into
-   units of bounded size, so no region has to fit into one task.
+3. Points of one region in different components are compared only if the
+   shingles that each loses before the region's own leave enough in common,
+   their distances to the pivot differ by no more than the allowed distance
+   (triangle inequality), and their parity signatures differ in no more bits
+   than linked sets differ in shingles; then by class counts, then exactly.
+   Regions with many such points are cut into bands of set sizes, and these into
+   units of bounded size; points that no window meets leave them, and points of
+   the region's largest component meet the others only.  So no region has to fit
+   into one task.
 
 A large group of near copies thus falls together in step 2, with as many
 comparisons as it has members.
@@ -44,11 +47,11 @@ from ledgerline.llm.words import FACTOR, mixed, shingle_hashes, split_words, wor
 SKETCH_BITS, SKETCH_PARTS = 20, 64
 #: Least and most classes that a set's shingles are counted in; about a quarter of its size between these.
 CLASSES = (64, 4096)
-#: Documents whose ids may be sent to all tasks; more of them are joined by shuffling.
-SENT_IDS = 500_000
+#: Bits of a set's parity signature.
+SIGNATURE_BITS = 512
 #: Added to the allowed distance in bounds: floating point must not rule out a pair that lies exactly on it.
 SLACK = 1e-9
-#: Points of an open region on each side of a unit of comparing work; about how many rows of units a task takes at once.
+#: Points of an open region that are searched together, on each side; about how many rows of such units a task takes at once.
 UNIT_ROWS, BUCKET_ROWS = 1_000, 20_000
 
 
@@ -103,7 +106,7 @@ def linked_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
     member = full.join(points, ["d1", "d2", "n"]).select("_row", "point")
 
     near = stored(
-        rows.select("_row", "_text").mapInArrow(_regions_of(size, percent, order_b), "_row long, n long, vec binary, pivots binary")
+        rows.select("_row", "_text").mapInArrow(_regions_of(size, percent, order_b), "_row long, n long, vec binary, signature binary, pivots binary")
         .join(points.select(F.col("point").alias("_row")), "_row", "left_semi"), "points")
     regions = _shared(near, 2 * shuffle_partitions(spark))
     vectors = near.select("_row", "n", "vec")
@@ -124,16 +127,17 @@ def linked_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
     placed = in_region.join(joined.withColumnRenamed("node", "_row"), "_row", "left") \
         .withColumn("component", F.coalesce("component", "_row"))
     # Neighbouring shingles often have the same points around them; once is enough, with the widest of their windows.
+    # The hash of the points stands for them: two regions of one pivot under one hash would only be searched together.
     open_ = placed.groupBy("s").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.bit_xor(F.xxhash64("_row")).alias("region")).where("lo != hi")
     left = placed.join(open_.select("s", "region"), "s").groupBy("p", "region", "_row") \
-        .agg(F.first("component").alias("component"), F.min("at").alias("at")) \
-        .join(known, ["p", "_row"], "left").join(vectors.select("_row", "n"), "_row") \
+        .agg(F.first("component").alias("component"), F.min("at").alias("lost")) \
+        .join(known, ["p", "_row"], "left").join(near.select("_row", "n", "signature"), "_row") \
         .select("p", "region", "_row", "component", "n", F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(0.0)).alias("high"),
-                F.expr(f"(n - at) * {100 + percent} div {percent} - n").alias("most"))
-    units = stored(_units(stored(left, "open-points"), percent, limit), "window-units")
-    pairs = _window_pairs(units, vectors, limit, 2 * shuffle_partitions(spark)).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti")
-    more = _compare(stored(pairs, "window-pairs"), rows, size, percent)
+                "lost", F.expr(f"(n - lost) * {100 + percent} div {percent} - n").alias("most"), "signature")
+    pairs = _window_pairs(stored(left, "open-points"), percent, limit, 2 * shuffle_partitions(spark)).distinct().join(links.select("a", "b"), ["a", "b"], "left_anti")
+    close = _with_bounds(stored(pairs, "window-pairs"), vectors).where(F.col("low") <= limit).select("a", "b")
+    more = _compare(stored(close, "close-pairs"), rows, size, percent)
     groups = components(links.where("linked").select("a", "b").unionByName(more.where("linked").select("a", "b")))
 
     of_row = member.join(groups, member["point"] == groups["node"], "left").select(
@@ -185,7 +189,7 @@ def _order(parts: DataFrame) -> np.ndarray:
 
 
 def _regions_of(size: int, percent: int, order_b):
-    """For mapInArrow on (_row, _text): set size, class counts, and the shingles whose regions the set is replicated into."""
+    """For mapInArrow on (_row, _text): set size, class counts, signature, and the shingles whose regions the set is replicated into."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = order_b.value
         for batch in batches:
@@ -193,13 +197,12 @@ def _regions_of(size: int, percent: int, order_b):
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 s = shingle_set(text.as_py(), size)
                 if len(s):
-                    vec = class_counts(s)
                     pivots = s[np.argsort(order[_cells(s)], kind="stable")[:prefix_length(len(s), percent)]]
-                    out.append((row, len(s), vec.tobytes(), pivots.tobytes()))
+                    out.append((row, len(s), class_counts(s).tobytes(), signature(s).tobytes(), pivots.tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
-                    names=["_row", "n", "vec", "pivots"])
+                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
+                    names=["_row", "n", "vec", "signature", "pivots"])
     return run
 
 
@@ -248,6 +251,12 @@ def class_counts(s: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((s & np.uint64(classes - 1)).astype(np.int64), minlength=classes), 255).astype(np.uint8)
 
 
+def signature(s: np.ndarray) -> np.ndarray:
+    """Bit k: is the number of the set's shingles with low bits k odd?  Sets differ in as many shingles as signatures in bits, or more."""
+    counts = np.bincount((s & np.uint64(SIGNATURE_BITS - 1)).astype(np.int64), minlength=SIGNATURE_BITS)
+    return np.packbits((counts & 1).astype(np.uint8))
+
+
 def folded(counts: np.ndarray, classes: int) -> np.ndarray:
     """The same counts (one set a row) in fewer classes."""
     counts = counts.astype(np.int32)
@@ -275,7 +284,7 @@ def _with_bounds(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
 
 
 def _units(left: DataFrame, percent: int, limit: float) -> DataFrame:
-    """(unit, probe, ...): the points of open regions, dealt into units of at most ``UNIT_ROWS`` homes and as many probes.
+    """(unit, probe, ...): the points of large open regions, dealt into units of about ``UNIT_ROWS`` homes and as many probes.
 
     ``most`` is the largest set that a point can link with if they first meet in
     this region.  A pair is looked for where its smaller set (equal ones by row
@@ -287,13 +296,13 @@ def _units(left: DataFrame, percent: int, limit: float) -> DataFrame:
     largest = left.groupBy(*of, "component").count().groupBy(*of).agg(F.max(F.struct("count", "component"))["component"].alias("main"))
     points = left.join(largest, of).withColumn("off_main", F.col("component") != F.col("main")) \
         .withColumn("band", F.floor(F.log("n") / F.log(F.lit(100 / percent)) + SLACK).cast("int") if percent < 100 else F.col("n").cast("int"))
-    fields = ["_row", "component", "n", "low", "high", "most"]
+    fields = ["_row", "component", "n", "low", "high", "lost", "signature"]
     place = [*of, "band", "stray"]
-    homes = points.where("most >= n").select(*of, "band", F.col("off_main").alias("stray"), *fields)
+    homes = points.where("most >= n").select(*of, "band", F.col("off_main").alias("stray"), "most", *fields)
     # The smaller set has at least ``percent`` of the larger one's size, so it is in the same band or the one below.
     probes = points.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1))) \
         .withColumn("stray", F.explode(F.when(F.col("off_main"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True))))) \
-        .select(*place, *fields)
+        .select(*place, "most", *fields)
 
     def met(rows: DataFrame, others: DataFrame, larger: bool) -> DataFrame:
         hull = others.groupBy(*place).agg(
@@ -314,45 +323,76 @@ def _units(left: DataFrame, percent: int, limit: float) -> DataFrame:
     return dealt[0].unionByName(dealt[1])
 
 
-def _window_pairs(units: DataFrame, vectors: DataFrame, limit: float, buckets: int) -> DataFrame:
-    """(a, b): pairs of a unit in different components that pivot distances, shingles before the region's, and class counts don't rule out."""
-    buckets = max(buckets, -(-units.count() // BUCKET_ROWS))
-
-    def one(f: pd.DataFrame) -> np.ndarray:
-        probe = f["probe"].to_numpy()
-        homes, probes = f[~probe], f[probe]
-        row, comp, n, low, high, most = (homes[c].to_numpy() for c in ("_row", "component", "n", "low", "high", "most"))
-        vec = [np.frombuffer(v, np.uint8) for v in homes["vec"]]
-        classes = np.array([len(v) for v in vec])
-        out = []
-        for r, c, size, near, far, cap, v in zip(*(probes[x] for x in ("_row", "component", "n", "low", "high", "most", "vec"))):
-            j = np.flatnonzero((comp != c) & ((n < size) | ((n == size) & (row < r))) & (n <= cap) & (size <= most)
-                               & (near <= high + limit) & (low <= far + limit)
-                               & (_least_distance(size, n, np.abs(n - size)) <= limit))
-            v = np.frombuffer(v, np.uint8)
-            for k in np.unique(classes[j]):
-                at, m = j[classes[j] == k], min(k, len(v))
-                off = np.abs(folded(np.stack([vec[x] for x in at]), m) - folded(v, m)).sum(1)
-                at = at[_least_distance(size, n[at], off) <= limit]
-                out.append(np.stack([np.minimum(r, row[at]), np.maximum(r, row[at])], axis=1))
-        return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-
-    def bucket(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("unit", kind="stable")
-        unit = frame["unit"].to_numpy()
-        cuts = [0, *(np.flatnonzero(unit[1:] != unit[:-1]) + 1).tolist(), len(unit)]
-        pairs = np.unique(np.concatenate([one(frame.iloc[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]), axis=0)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return units.join(vectors.select("_row", "vec"), "_row").withColumn("bucket", F.pmod("unit", F.lit(buckets))) \
-        .groupBy("bucket").applyInPandas(bucket, "a long, b long")
+def _fitting(f: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, percent: int, limit: float) -> np.ndarray:
+    """Which of the pairs (a, b) of points differ in component and aren't ruled out by shingles lost, pivot distances and signatures."""
+    n, low, high = f["n"], f["low"], f["high"]
+    common = -(-percent * (n[a] + n[b]) // (100 + percent))  # shingles that a linked pair shares, at least
+    ok = (f["component"][a] != f["component"][b]) & (np.minimum(n[a] - f["lost"][a], n[b] - f["lost"][b]) >= common) \
+        & (low[a] <= high[b] + limit) & (low[b] <= high[a] + limit)
+    at = np.flatnonzero(ok)
+    a, b = a[at], b[at]
+    ok[at] = np.bitwise_count(f["signature"][a] ^ f["signature"][b]).sum(axis=1) <= n[a] + n[b] - 2 * common[at]
+    return ok
+
+
+def _columns(f: pd.DataFrame) -> dict[str, np.ndarray]:
+    out = {c: f[c].to_numpy() for c in f.columns if c != "signature"}
+    out["signature"] = np.frombuffer(b"".join(f["signature"]), np.uint64).reshape(len(f), -1)
+    return out
+
+
+def region_pairs(frame: pd.DataFrame, percent: int, limit: float) -> np.ndarray:
+    """(a, b): the pairs of each ``unit`` that :func:`_fitting` leaves, for units of few points."""
+    f = _columns(frame.sort_values(["unit", "n", "_row"], kind="stable"))
+    unit, n, row = f["unit"], f["n"], f["_row"]
+    out = [np.zeros((0, 2), np.int64)]
+    # Each point with the k-th behind it, as long as that one lies in its unit and isn't too large for it.
+    left, k = np.arange(len(n)), 1
+    while len(left):
+        left = left[left + k < len(n)]
+        left = left[(unit[left] == unit[left + k]) & (100 * n[left] >= percent * n[left + k])]
+        x = left[_fitting(f, left, left + k, percent, limit)]
+        out.append(np.stack([np.minimum(row[x], row[x + k]), np.maximum(row[x], row[x + k])], axis=1))
+        k += 1
+    return np.unique(np.concatenate(out), axis=0)
+
+
+def dealt_pairs(frame: pd.DataFrame, percent: int, limit: float) -> np.ndarray:
+    """(a, b): the pairs of a home and a probe of each ``unit`` that :func:`_fitting` leaves; the home is the smaller set."""
+    f = _columns(frame.sort_values(["unit", "probe", "n", "_row"], kind="stable"))
+    unit, n, row = f["unit"], f["n"], f["_row"]
+    homes = np.flatnonzero(~f["probe"])
+    out = [np.zeros((0, 2), np.int64)]
+    for k in np.flatnonzero(f["probe"]):
+        lo, hi = np.searchsorted(unit[homes], [unit[k], unit[k] + 1]) if unit[k] < np.iinfo(np.int64).max \
+            else (np.searchsorted(unit[homes], unit[k]), len(homes))
+        of = homes[lo:hi]
+        of = of[np.searchsorted(100 * n[of], percent * n[k]): np.searchsorted(n[of], n[k], side="right")]
+        of = of[(n[of] < n[k]) | (row[of] < row[k])]
+        x = of[_fitting(f, of, np.full(len(of), k), percent, limit)]
+        out.append(np.stack([np.minimum(row[x], row[k]), np.maximum(row[x], row[k])], axis=1))
+    return np.unique(np.concatenate(out), axis=0)
+
+
+def _window_pairs(left: DataFrame, percent: int, limit: float, buckets: int) -> DataFrame:
+    """(a, b): the pairs of all open regions, small ones as one unit, larger ones dealt."""
+    def searched(units: DataFrame, search) -> DataFrame:
+        n = max(buckets, -(-units.count() // BUCKET_ROWS))
+
+        def bucket(frame: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame(search(frame, percent, limit), columns=["a", "b"])
+        return units.withColumn("bucket", F.pmod("unit", F.lit(n))).groupBy("bucket").applyInPandas(bucket, "a long, b long")
+
+    sized = left.join(left.groupBy("p", "region").agg(F.count("*").alias("m")), ["p", "region"])
+    small = sized.where(F.col("m") <= UNIT_ROWS).select(F.xxhash64("p", "region").alias("unit"), "_row", "component", "n", "low", "high", "lost", "signature")
+    large = stored(_units(sized.where(F.col("m") > UNIT_ROWS).drop("m"), percent, limit), "window-units")
+    return searched(small, region_pairs).unionByName(searched(large, dealt_pairs))
 
 
 def _compare(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b, distance, linked) of each pair, from the whole sets."""
+    # A stored table, so Spark knows its size and sends it to the texts where that is below its broadcast threshold.
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("_row")).distinct(), "compared")
-    if wanted.count() <= SENT_IDS:
-        wanted = F.broadcast(wanted)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

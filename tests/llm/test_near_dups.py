@@ -61,8 +61,9 @@ def test_pairs_exactly_at_the_limit(spark, percent, words, changed):
 
 def open_points(spark, n, most, stray):
     """``n`` points of one region, each ``stray``-th a component of its own."""
-    return spark.createDataFrame([(0, 7, k, k if k % stray == 0 else 1, 10 + k % 2, 0.0, 0.5, most) for k in range(1, n + 1)],
-                                 "p long, region long, _row long, component long, n long, low double, high double, most long")
+    return spark.createDataFrame([(0, 7, k, k if k % stray == 0 else 1, 10 + k % 2, 0.0, 0.5, 0, most, bytes(64))
+                                  for k in range(1, n + 1)],
+                                 "p long, region long, _row long, component long, n long, low double, high double, lost int, most long, signature binary")
 
 
 def test_a_large_open_region_is_dealt_into_bounded_units(spark, monkeypatch):
