@@ -34,15 +34,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.common import stored
-from ledgerline.llm.elias_fano import SUCCESSOR_BITS, Trie
+from ledgerline.llm.elias_fano import Trie
 from ledgerline.llm.rows import numbered
 from ledgerline.llm.words import split_words, word_hashes
 
 #: Stand for the start and the end of a text; no word holds a blank.
 START, END = (np.uint64(xxhash.xxh64_intdigest(w)) for w in (b" start", b" end"))
 #: Bytes of text for one shard, tokens and documents of one batch.
-SHARD_BYTES, BATCH_TOKENS, BATCH_DOCS = 28_000_000, 2_500_000, 60_000
-LOW = np.uint64((1 << SUCCESSOR_BITS) - 1)
+SHARD_BYTES, BATCH_TOKENS, BATCH_DOCS = 28_000_000, 1_500_000, 60_000
 
 MESSAGE = "shard int, salt int, batch long, kind int, data binary"
 
@@ -61,15 +60,24 @@ def _split(data: bytes, *types: str) -> list[np.ndarray]:
     return out
 
 
-def _three(low: np.ndarray) -> np.ndarray:
-    """Low bits of hashes, three bytes each."""
-    return low.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].ravel()
+def successor_bytes(size: int) -> int:
+    """Bytes of its hash by which a word is told from other successors of one context, for ``size`` bytes of text.
+
+    Three up to 2 GB and one more for 256 times as much, so that the widest
+    context's share of false matches doesn't grow with the corpus.
+    """
+    return min(5, max(3, -(-(max(size, 1).bit_length() - 7) // 8)))
+
+
+def _low_bytes(values: np.ndarray, n: int) -> np.ndarray:
+    """``n`` bytes of each value."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n].ravel()
 
 
-def _from_three(raw: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(raw) // 3, 4), np.uint8)
-    out[:, :3] = raw.reshape(-1, 3)
-    return out.view("<u4").ravel().astype(np.uint64)
+def _from_bytes(raw: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros((len(raw) // n, 8), np.uint8)
+    out[:, :n] = raw.reshape(-1, n)
+    return out.view("<u8").ravel()
 
 
 def _batches(frames: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray, np.ndarray]]:
@@ -127,14 +135,16 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
     rows = numbered(marked, id_col, text_col, keep=["_learn"])
     size = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
+    wide = successor_bytes(size)
+    bits, low = 8 * wide, np.uint64((1 << 8 * wide) - 1)
 
     def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, learnt, tokens, of in _batches(frames):
             b, c, d = _pairs(tokens, of)
             b, c = b[learnt[d]], c[learnt[d]]
             words, rank = np.unique(b, return_inverse=True)
-            key, times = np.unique((rank.astype(np.uint64) << np.uint64(SUCCESSOR_BITS)) | (c & LOW), return_counts=True)
-            runs = np.bincount((key >> np.uint64(SUCCESSOR_BITS)).astype(np.int64), minlength=len(words))
+            key, times = np.unique((rank.astype(np.uint64) << np.uint64(bits)) | (c & low), return_counts=True)
+            runs = np.bincount((key >> np.uint64(bits)).astype(np.int64), minlength=len(words))
             starts = np.concatenate([[0], np.cumsum(runs)])
             by, cuts = _shard_cuts(words, shards)
             out = []
@@ -143,7 +153,7 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
                     w = by[lo:hi]
                     at = _ranges(starts[w], runs[w])
                     often = np.flatnonzero(times[at] > 254)
-                    out.append((shard, 0, 0, 0, _join(words[w], runs[w].astype("<u4"), _three(key[at] & LOW),
+                    out.append((shard, 0, 0, 0, _join(words[w], runs[w].astype("<u4"), _low_bytes(key[at] & low, wide),
                                 np.minimum(times[at], 255).astype(np.uint8), often.astype("<u4"), times[at][often].astype("<i8"))))
             if out:
                 yield _messages(out)
@@ -156,7 +166,7 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
             p[3] = times
         context = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
         times = np.concatenate([p[3] for p in parts])
-        trie = Trie.build(context, np.concatenate([_from_three(p[2]) for p in parts]), times)
+        trie = Trie.build(context, np.concatenate([_from_bytes(p[2], wide) for p in parts]), times, bits)
         starts = int(times[context == START].sum())
         return pd.DataFrame({"shard": [frame["shard"].iloc[0]], "trie": [trie.pack()], "unigrams": [trie.pack(1)],
                              "tokens": [int(times.sum()) - starts], "words": [trie.words.n - (starts > 0)], "texts": [starts]})
@@ -180,7 +190,7 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
             sizes = np.bincount(of, minlength=len(ids)) - 1
             out = [(batch % shards, 0, batch, 2, _join(ids, sizes))]
             for kind, side in ((0, learnt[d]), (1, ~learnt[d])):
-                out += _asked(b[side], c[side], d[side], kind, batch, shards, copies)
+                out += _asked(b[side], c[side], d[side], kind, batch, shards, copies, wide)
             yield _messages(out)
 
     def answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -191,10 +201,10 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
                 out.append((batch, 2, 0, data))
                 continue
             words, runs, raw, lengths, docs_of = _split(data, "<u8", "<u4", "u1", "<u4", "<u2")
-            following = raw.view("<u8") if kind else _from_three(raw)
+            following = raw.view("<u8") if kind else _from_bytes(raw, wide)
             at = trie.words.find(words) if trie else np.full(len(words), -1)
             counts = trie.counts(at) if trie else np.zeros(len(words), np.int64)
-            value, seen = trie.after(np.repeat(at, runs), following & LOW) if trie else (np.zeros(len(following)), np.zeros(len(following), bool))
+            value, seen = trie.after(at, runs.astype(np.int64), following & low) if trie else (np.zeros(len(following)), np.zeros(len(following), bool))
             pair = np.repeat(np.arange(len(following)), lengths)
             first = np.repeat(np.repeat(np.arange(len(words)), runs), lengths)
             n = int(docs_of.max()) + 1
@@ -210,7 +220,7 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
                 rest = np.flatnonzero(unseen & ~at_end)
                 if len(rest):
                     pick = np.isin(pair, rest)
-                    for m in _asked(following[pair[pick]], None, docs_of[pick].astype(np.int64), 3, batch, shards, copies):
+                    for m in _asked(following[pair[pick]], None, docs_of[pick].astype(np.int64), 3, batch, shards, copies, wide):
                         out.append((m[2], 3, m[0] * 65536 + m[1], m[4]))
             held = np.unique(docs_of)
             sums = [np.bincount(docs_of, w, n)[held] for w in (score[pair], base[first], known[first])]
@@ -279,7 +289,7 @@ def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(lengths.sum()) + shift
 
 
-def _asked(b: np.ndarray, c: np.ndarray | None, d: np.ndarray, kind: int, batch: int, shards: int, copies: np.ndarray) -> list[tuple]:
+def _asked(b: np.ndarray, c: np.ndarray | None, d: np.ndarray, kind: int, batch: int, shards: int, copies: np.ndarray, wide: int) -> list[tuple]:
     """Messages with the distinct pairs (or words, without ``c``) of a batch and the documents of each occurrence."""
     if not len(b):
         return []
@@ -288,15 +298,18 @@ def _asked(b: np.ndarray, c: np.ndarray | None, d: np.ndarray, kind: int, batch:
         by_doc = np.lexsort((d, rank))
         pair_start, lengths, pairs_of = None, np.bincount(rank), np.ones(len(words), np.int64)
     else:
-        nexts, c_rank = (c & LOW, None) if kind == 0 else np.unique(c, return_inverse=True)
-        key = (rank.astype(np.uint64) << np.uint64(32)) | (nexts if kind == 0 else c_rank.astype(np.uint64))
+        if kind == 0:
+            c = c & np.uint64((1 << 8 * wide) - 1)
+        short = kind == 0 and wide <= 4  # then the bits themselves fit into the key
+        nexts, c_rank = (c, None) if short else np.unique(c, return_inverse=True)
+        key = (rank.astype(np.uint64) << np.uint64(32)) | (nexts if short else c_rank.astype(np.uint64))
         by_doc = np.lexsort((d, key))
         key = key[by_doc]
         pair_start = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
         lengths = np.diff(np.concatenate([pair_start, [len(key)]]))
         pairs_of = np.bincount((key[pair_start] >> np.uint64(32)).astype(np.int64), minlength=len(words))
         following = key[pair_start] & np.uint64(0xFFFFFFFF)
-        following = following if kind == 0 else nexts[following.astype(np.int64)]
+        following = following if short else nexts[following.astype(np.int64)]
     docs_sorted = d[by_doc].astype("<u2")
     first_pair = np.concatenate([[0], np.cumsum(pairs_of)])
     first_doc = np.concatenate([[0], np.cumsum(lengths)])
@@ -309,7 +322,7 @@ def _asked(b: np.ndarray, c: np.ndarray | None, d: np.ndarray, kind: int, batch:
         p = _ranges(first_pair[w], pairs_of[w])
         docs_at = _ranges(first_doc[p], lengths[p])
         body = (words[w], lengths[p].astype("<u4")) if c is None else (
-            words[w], pairs_of[w].astype("<u4"), _three(following[p]) if kind == 0 else following[p].astype("<u8").view(np.uint8),
+            words[w], pairs_of[w].astype("<u4"), _low_bytes(following[p], wide if kind == 0 else 8),
             lengths[p].astype("<u4"))
         out.append((shard, int(batch % copies[shard]), batch, kind, _join(*body, docs_sorted[docs_at])))
     return out
