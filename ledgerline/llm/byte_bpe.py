@@ -15,7 +15,7 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _OTHER = re.compile("[\t\x0b\x0c\r\x85\xa0  -     　]")
 _CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 #: Chunks that are kept with their ids; beyond, the table starts anew.
-KEPT_CHUNKS = 800_000
+KEPT_CHUNKS = 300_000
 #: The pattern that splits text before merging.  Fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Chunks of these characters only are of the same classes in every Unicode version.

@@ -9,7 +9,7 @@ import xxhash
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 #: Words whose hashes a worker keeps; beyond, its table starts anew.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 
 
 class WordHashes(dict):
