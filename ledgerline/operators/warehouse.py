@@ -62,6 +62,31 @@ def build_customer_dimension(fact: DataFrame, partition_col: str = "CustomerKey"
     else:
         # A customer may own a large share of the rows: split its history by day.
         led = split_lead(base, partition_col, "CreatedAt", "ValidTo")
+    return _intervals(led)
+
+
+def _intervals(led: DataFrame) -> DataFrame:
     return led.select(
         F.col("CustomerKey"), F.col("CreatedAt").alias("ValidFrom"), F.col("ValidTo"),
         F.when(F.col("ValidTo").isNull(), 1).otherwise(0).alias("Active"))
+
+
+def merge_customer_changes(dim: DataFrame, changes: DataFrame) -> DataFrame:
+    """DIM2, incrementally: the dimension after further changes (CustomerKey, CreatedAt), of customers known or new.
+
+    Customers without a change, and intervals that ended before a customer's
+    first new change, stay as they are.  The interval that holds the change is
+    closed by it and another one opened; a late change so splits the interval
+    it falls into, one before the first interval opens an earlier one, and one
+    that is already there changes nothing.  Equal to a rebuild from all changes.
+    """
+    new = changes.select("CustomerKey", "CreatedAt").distinct()
+    # A change without a time sorts before all others.
+    first = new.groupBy(F.col("CustomerKey").alias("_customer")).agg(
+        F.min("CreatedAt").alias("_first"), F.max(F.col("CreatedAt").isNull()).alias("_timeless"))
+    held = dim.join(first, F.col("CustomerKey").eqNullSafe(F.col("_customer")), "left")
+    over = F.col("_timeless").isNull() | (~F.col("_timeless") & (F.col("ValidTo") <= F.col("_first")))
+    over = F.coalesce(over, F.lit(False))
+    columns = ["CustomerKey", "ValidFrom", "ValidTo", "Active"]
+    starts = held.where(~over).select("CustomerKey", F.col("ValidFrom").alias("CreatedAt")).unionByName(new).distinct()
+    return held.where(over).select(columns).unionByName(_intervals(split_lead(starts, "CustomerKey", "CreatedAt", "ValidTo")))

@@ -1,11 +1,15 @@
 """File-backed flows: the movie lake (P1-P3), the warehouse load (P4, P5, INC7) and
 their sequencing (P9).
 
-Every step can run again at any point.  Bronze, silver, lookups, ODS tables and
-watermarks only grow by appends of rows that are not there yet; the one change in
-place is a bronze row's status, which rewrites the ingest dates it touches.  A
-step that fails between two of its commits finds on the next run what it has
-already written.  Configuration is plain dataclasses (UDF5).
+Every step can run again at any point.  Silver, lookups, ODS tables and watermarks
+only grow by appends of rows that are not there yet; what changes in place is a
+bronze row's status and the integration copy.  With a ``catalog`` prefix in the
+configuration these two are published tables (``sinks/published.py``): a change
+is staged, then one catalog statement per ingest date or key bucket puts it in
+place, so that a failure at any point leaves old or new rows, never fewer.
+Without, they are plain folders, whose ingest dates are rewritten by dynamic
+partition overwrite.  A step that fails between two of its commits finds on the
+next run what it has already written.  Configuration is plain dataclasses (UDF5).
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from ledgerline.operators import mutation as M
 from ledgerline.operators import quality as Q
 from ledgerline.operators import warehouse as W
 from ledgerline.plans import medallion as MD
+from ledgerline.sinks import published as PB
 from ledgerline.sinks import writers as WR
 from ledgerline.sources import files as S
 
@@ -32,6 +37,7 @@ class MovieFlowConfig:
     base: str                          # lake root
     datasource: str = "raw"
     as_of: dt.datetime | None = None   # pin the ingest time (tests); default: now
+    catalog: str | None = None         # prefix of the catalog's table names; None: bronze is a folder
 
     @property
     def bronze(self) -> str:
@@ -61,6 +67,18 @@ def _absent(df: DataFrame, present: DataFrame | None, keys: Sequence[str]) -> Da
     return df.join(old, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_anti")
 
 
+def read_bronze(spark: SparkSession, cfg: MovieFlowConfig) -> DataFrame | None:
+    return PB.table_or_none(spark, f"{cfg.catalog}_bronze") if cfg.catalog else WR.read_or_none(spark, cfg.bronze)
+
+
+def _replace_dates(rows: DataFrame, cfg: MovieFlowConfig) -> None:
+    """SNK3/SNK15: the ingest dates of ``rows`` become these rows."""
+    if cfg.catalog:
+        PB.publish_partitions(rows, f"{cfg.catalog}_bronze", cfg.bronze, "p_ingestdate")
+    else:
+        WR.replace_partitions(rows, cfg.bronze, "p_ingestdate")
+
+
 def read_silver(spark: SparkSession, cfg: MovieFlowConfig) -> DataFrame:
     return spark.read.parquet(cfg.silver).select(*MD.SILVER_COLUMNS)
 
@@ -73,9 +91,18 @@ def raw_to_bronze(spark: SparkSession, cfg: MovieFlowConfig) -> None:
     a second time).  Duplicates inside one batch are kept; silver dedupes.
     """
     raw = S.read_multiline_json_array(spark, cfg.raw_path, "movie")
-    fresh = _with_key(MD.transform_raw(raw, cfg.datasource, cfg.as_of))
-    current = WR.read_or_none(spark, cfg.bronze)
-    WR.append_rows(_absent(fresh, current, [VALUE_KEY]), cfg.bronze, "p_ingestdate")
+    # One time for the whole run: the ingest dates below are looked at twice.
+    as_of = cfg.as_of or spark.range(1).select(F.current_timestamp()).first()[0]
+    fresh = _with_key(MD.transform_raw(raw, cfg.datasource, as_of))
+    current = read_bronze(spark, cfg)
+    fresh = _absent(fresh, current, [VALUE_KEY])
+    if cfg.catalog:  # the day's rows so far and the fresh ones
+        if current is not None:
+            days = [r[0] for r in fresh.select("p_ingestdate").distinct().collect()]  # the run's date
+            fresh = fresh.unionByName(current.where(F.col("p_ingestdate").isin(days)))
+        _replace_dates(fresh, cfg)
+    else:
+        WR.append_rows(fresh, cfg.bronze, "p_ingestdate")
 
 
 def _merge_lookup(df: DataFrame, path: str, name: str) -> None:
@@ -96,7 +123,7 @@ def _write_status(bronze: DataFrame, labels: DataFrame, status: str, cfg: MovieF
     touched = bronze.where(F.col("status") == status).select("p_ingestdate").distinct()
     rows = bronze.join(touched, "p_ingestdate", "left_semi")
     out = M.update_matched(rows, labels, "value", "status", source_col="new_status")
-    WR.replace_partitions(out.select(*bronze.columns), cfg.bronze, "p_ingestdate")
+    _replace_dates(out.select(*bronze.columns), cfg)
 
 
 def bronze_to_silver(spark: SparkSession, cfg: MovieFlowConfig) -> None:
@@ -105,7 +132,7 @@ def bronze_to_silver(spark: SparkSession, cfg: MovieFlowConfig) -> None:
     The statuses come last: until they are written the rows count as new, and
     a repeated run adds to lookups and silver only what is missing there.
     """
-    bronze = spark.read.parquet(cfg.bronze)
+    bronze = read_bronze(spark, cfg)
     new = bronze.where(F.col("status") == "new").dropDuplicates([VALUE_KEY])
     shredded = MD.transform_bronze(new)
     _merge_lookup(Q.lookup_genres(new.select(F.inline_outer(F.array(F.from_json("value", MD.GENRES_ONLY))))),
@@ -123,7 +150,7 @@ def silver_update(spark: SparkSession, cfg: MovieFlowConfig) -> None:
     Only rows that are actually written are marked loaded (S27); a row that
     is still defective after repair (NULL budget) becomes ``unclassified``.
     """
-    bronze = spark.read.parquet(cfg.bronze)
+    bronze = read_bronze(spark, cfg)
     quarantined = bronze.where(F.col("status") == Q.QUARANTINED).dropDuplicates([VALUE_KEY])
     repaired = Q.classify(Q.repair(MD.refactor_silver(MD.transform_bronze(quarantined), dedupe=False)), "new_status")
     _append_silver(repaired.where(F.col("new_status") == Q.CLEAN), cfg)
@@ -135,7 +162,7 @@ def run_movie_flow(spark: SparkSession, cfg: MovieFlowConfig) -> dict:
     raw_to_bronze(spark, cfg)
     bronze_to_silver(spark, cfg)
     silver_update(spark, cfg)
-    b = spark.read.parquet(cfg.bronze)
+    b = read_bronze(spark, cfg)
     return {"bronze": b.count(), "silver": read_silver(spark, cfg).count(),
             "status": {r.status: r["count"] for r in b.groupBy("status").count().collect()}}
 
@@ -145,6 +172,8 @@ class WarehouseConfig:
     base: str
     tables: Sequence[INC.TableSpec] = field(default_factory=list)
     seed: dt.datetime = dt.datetime(2013, 1, 1, 11, 0, 0)
+    catalog: str | None = None  # prefix of the catalog's table names; None: the integration copies are folders
+    buckets: int = 64           # key buckets of a published table; fixed for its life
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.base}/{layer}/{name}"
@@ -170,6 +199,12 @@ def load_table(spark: SparkSession, source: DataFrame, spec: INC.TableSpec, cfg:
     control = seeds if control is None else seeds.unionByName(control)
     ods = cfg.path("ods", spec.name)
     round_ = INC.incremental_upsert(source.limit(0), source, control, spec)
+    if cfg.catalog:
+        # The table is the ODS and its integration copy in one: only the batch's buckets are read and written.
+        PB.upsert_buckets(round_.batch, spec.keys, f"{cfg.catalog}_{spec.name}", cfg.path("integration", spec.name), cfg.buckets)
+        WR.append_rows(INC.control_table(spark, {spec.name: round_.new}), ctl_path)
+        WR.write_parquet_truncate(round_.rejected, cfg.path("rejected", spec.name))
+        return round_
     WR.append_rows(round_.batch, ods)
     WR.append_rows(INC.control_table(spark, {spec.name: round_.new}), ctl_path)
     WR.write_parquet_truncate(round_.rejected, cfg.path("rejected", spec.name))
@@ -177,15 +212,35 @@ def load_table(spark: SparkSession, source: DataFrame, spec: INC.TableSpec, cfg:
     return round_
 
 
+def read_integration(spark: SparkSession, name: str, cfg: WarehouseConfig) -> DataFrame:
+    if cfg.catalog:
+        return spark.table(f"{cfg.catalog}_{name}").drop(PB.BUCKET)
+    return spark.read.parquet(cfg.path("integration", name))
+
+
 def build_olap(spark: SparkSession, cfg: WarehouseConfig, orders: str = "orders_table",
                lines: str = "order_lines_table") -> None:
     """P5 + INC7: fact and dimension from the integration layer, copied to the OLAP store."""
-    o = spark.read.parquet(cfg.path("integration", orders))
-    ol = spark.read.parquet(cfg.path("integration", lines))
+    o, ol = read_integration(spark, orders, cfg), read_integration(spark, lines, cfg)
     fact = W.build_fact_orders(o, ol, with_key=True)
     WR.write_parquet_truncate(fact, cfg.path("olap", "fact_orders"))
     fact = spark.read.parquet(cfg.path("olap", "fact_orders"))
-    WR.write_parquet_truncate(W.build_customer_dimension(fact), cfg.path("olap", "dim_customers"))
+    if cfg.catalog:
+        # Changes already known are no changes: only customers with new ones are read and written.
+        known = PB.table_or_none(spark, f"{cfg.catalog}_dim_customers")
+        changes = fact.select("CustomerKey", "CreatedAt").distinct()
+        if known is not None:
+            held = known.select("CustomerKey", F.col("ValidFrom").alias("CreatedAt"))
+            changes = _absent(changes, held, ["CustomerKey", "CreatedAt"])
+        PB.update_dimension(changes, f"{cfg.catalog}_dim_customers", cfg.path("olap", "dim_customers"), cfg.buckets)
+    else:
+        WR.write_parquet_truncate(W.build_customer_dimension(fact), cfg.path("olap", "dim_customers"))
+
+
+def read_dimension(spark: SparkSession, cfg: WarehouseConfig) -> DataFrame:
+    if cfg.catalog:
+        return spark.table(f"{cfg.catalog}_dim_customers").drop(PB.BUCKET)
+    return spark.read.parquet(cfg.path("olap", "dim_customers"))
 
 
 def run_warehouse_flow(spark: SparkSession, sources: dict[str, DataFrame], cfg: WarehouseConfig) -> None:

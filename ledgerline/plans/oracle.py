@@ -452,6 +452,9 @@ SELECT OrderID, CustomerID, SalespersonPersonID, PickedByPersonID, ContactPerson
 FROM base
 """
 
+# However the table is kept, its rows are the same.
+ORACLE["incremental_upsert_buckets"] = ORACLE["incremental_upsert"]
+
 ORACLE["incremental_upsert_lines"] = """
 WITH l AS (
   SELECT l_linenumber AS OrderLineID, l_orderkey AS OrderID, l_partkey AS StockItemID,
@@ -529,6 +532,8 @@ SELECT CustomerKey, CreatedAt AS ValidFrom,
 FROM changes
 """
 
+ORACLE["dim_customers_incremental"] = ORACLE["dim_customers"]
+
 ORACLE["scan_filter_project"] = """
 SELECT l_orderkey AS order_key, l_partkey AS item_key, CAST(l_quantity AS BIGINT) AS quantity,
        CAST(l_extendedprice AS DECIMAL(18,2)) AS price

@@ -54,9 +54,11 @@ PLANS: dict[str, PlanFn] = {
     "language_lookup": medallion.language_lookup,
     "incremental_upsert": warehouse_load.incremental_upsert,
     "incremental_upsert_lines": warehouse_load.incremental_upsert_lines,
+    "incremental_upsert_buckets": warehouse_load.incremental_upsert_buckets,
     "null_watermark_report": warehouse_load.null_watermark_report,
     "fact_orders": warehouse_load.fact_orders,
     "dim_customers": warehouse_load.dim_customers,
+    "dim_customers_incremental": warehouse_load.dim_customers_incremental,
     "scan_filter_project": checks.scan_filter_project,
     "dedupe_first_by_key": checks.dedupe_first_by_key,
     "constraint_violations": checks.constraint_violations,

@@ -10,6 +10,7 @@ cut-off edited after it (so the second round both inserts and updates).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from ledgerline.functions import dialect as D
 from ledgerline.operators import incremental as INC
 from ledgerline.operators import warehouse as W
 from ledgerline.plans import roles as R
+from ledgerline.session import checkpoint_dir
+from ledgerline.sinks import published as PB
 from ledgerline.sources.tables import Tables
 
 WATERMARK_SEED = dt.datetime(1990, 1, 1, 0, 0, 0)
@@ -113,3 +116,35 @@ def fact_orders(t: Tables) -> DataFrame:
 def dim_customers(t: Tables) -> DataFrame:
     """P5/DIM2: customer validity intervals from the fact's change times."""
     return W.build_customer_dimension(fact_orders(t), "CustomerKey")
+
+
+#: Buckets of the published tables of the queries below.
+BUCKETS = 16
+
+
+def _published(t: Tables, name: str) -> tuple[str, str]:
+    """(table, folder) of a published table of this run's own."""
+    own = f"{name}_{uuid.uuid4().hex}"
+    return own, f"{checkpoint_dir(t.spark).rstrip('/')}/published/{own}"
+
+
+def incremental_upsert_buckets(t: Tables) -> DataFrame:
+    """P4 into a published table (DML1, INC5, SNK4): the second round writes only the buckets of its keys, each by a change of
+    its place in the catalog."""
+    table, base = _published(t, "orders_by_key")
+    control = INC.control_table(t.spark, {ORDERS_SPEC.name: WATERMARK_SEED})
+    for phase in (1, 2):
+        source = source_snapshot(t, phase)
+        round_ = INC.incremental_upsert(source.limit(0), source, control, ORDERS_SPEC)
+        PB.upsert_buckets(round_.batch, ORDERS_SPEC.keys, table, base, BUCKETS)
+        control = round_.control
+    return t.spark.table(table).drop(PB.BUCKET)
+
+
+def dim_customers_incremental(t: Tables) -> DataFrame:
+    """P5/DIM2 over two batches: the second one's orders lie between those of the first, so their changes come late."""
+    table, base = _published(t, "dim_customers")
+    late = F.col("WWIOrderID") % 3 == 0
+    for batch in (fact_orders(t).where(~late), fact_orders(t).where(late)):
+        PB.update_dimension(batch, table, base, BUCKETS)
+    return t.spark.table(table).drop(PB.BUCKET)

@@ -31,11 +31,14 @@ def write_parquet_truncate(df: DataFrame, path: str, compression: str = "snappy"
 
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, None if there is none yet; any other failure is raised."""
+    """The table at ``path``, None if there is none yet; any other failure is raised.
+
+    A folder without a data file is no table: a first write that died leaves one.
+    """
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
