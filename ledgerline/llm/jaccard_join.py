@@ -92,8 +92,35 @@ def linked_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
     has no other.  An empty table gives an empty result; other columns are
     ignored.
     """
-    spark = docs.sparkSession
     rows = numbered(docs, id_col, text_col)
+    sets, of_row = _groups(rows, size, percent)
+    tagged = rows.select("_row", "_id").join(sets.select("_row", "n"), "_row").join(of_row, "_row", "left") \
+        .withColumn("_group", F.coalesce("_group", "_row"))
+    names = tagged.groupBy("_group").agg(F.min("_id").alias("component_id"))
+    return tagged.join(names, "_group").select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def without_linked(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
+                   keep: list[str] | None = None) -> DataFrame:
+    """(id, text, ``keep``) of one row of each group that links connect: the smallest id, null ids last.
+
+    Links as in :func:`linked_groups`.  Rows are told apart by themselves, not
+    by their ids: of repeated rows, and of linked rows with equal or null ids,
+    one stays; a text without words links with nothing and always stays.
+    """
+    keep = list(keep or [])
+    rows = numbered(docs, id_col, text_col, keep)
+    _, of_row = _groups(rows, size, percent)
+    tagged = of_row.join(rows.select("_row", "_id"), "_row")
+    first = tagged.groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("_first"))
+    # A stored table, so Spark knows its size and sends it to the texts where that is below its broadcast threshold.
+    gone = stored(tagged.join(first, "_group").where(F.col("_row") != F.col("_first._row")).select("_row"), "linked-rows")
+    return rows.join(gone, "_row", "left_anti").select(F.col("_id").alias(id_col), F.col("_text").alias(text_col), *keep)
+
+
+def _groups(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """((_row, n, ...) of all rows, (_row, _group) of those with a shingle) of ``rows``(_row, _text)."""
+    spark = rows.sparkSession
     scanned = stored(rows.select("_row", "_text").mapInArrow(
         _scan(size), "_row long, n long, d1 long, d2 long, part int, cells binary"), "shingle-sets")
     sets = scanned.where("part is null").select("_row", "n", "d1", "d2")
@@ -140,13 +167,8 @@ def linked_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str
     more = _compare(stored(close, "close-pairs"), rows, size, percent)
     groups = components(links.where("linked").select("a", "b").unionByName(more.where("linked").select("a", "b")))
 
-    of_row = member.join(groups, member["point"] == groups["node"], "left").select(
+    return sets, member.join(groups, member["point"] == groups["node"], "left").select(
         "_row", F.coalesce("component", "point").alias("_group"))
-    ids = rows.select("_row", "_id")
-    tagged = ids.join(sets.select("_row", "n"), "_row").join(of_row, "_row", "left") \
-        .withColumn("_group", F.coalesce("_group", "_row"))
-    names = tagged.groupBy("_group").agg(F.min("_id").alias("component_id"))
-    return tagged.join(names, "_group").select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
 def _scan(size: int):
