@@ -10,6 +10,8 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 
+from ledgerline.llm.common import at_work
+
 #: White space as the tokenizer's pattern sees it.  Fixed values.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _OTHER = re.compile("[\t\x0b\x0c\r\x85\xa0  -     　]")
@@ -115,6 +117,7 @@ _made: dict[str, ChunkIds] = {}
 def chunk_ids(path: str | None) -> ChunkIds:
     """One table a worker process and file."""
     path = path or default_path()
+    at_work("byte_bpe", _made.clear)
     if path not in _made:
         _made[path] = ChunkIds(path)
     return _made[path]

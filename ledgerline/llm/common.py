@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,3 +37,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+_kept: dict[str, Callable[[], None]] = {}
+_working = ""
+
+
+def at_work(name: str, drop: Callable[[], None]) -> None:
+    """Told by each operator that keeps a table in its worker process between tasks: the others drop theirs.
+
+    A worker serves one stage after another; without this it would hold the
+    tables of all of them.
+    """
+    global _working
+    _kept[name] = drop
+    if name != _working:
+        for other, clear in _kept.items():
+            if other != name:
+                clear()
+        _working = name

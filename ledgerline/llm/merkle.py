@@ -55,7 +55,8 @@ class Manifest:
     leaf's rank in it.  ``groups``: (g, _group, n).  ``levels[h - 1]``: the
     records (g, i, n, digest, children) of height h of the groups' trees, n: the
     nodes of the group at that height; ``top_levels`` those of the tree of
-    groups, as one group 0.  ``root``: its digest, None without any leaf.
+    groups, as one group 0, over ``subroots``(g = 0, i: the group's rank, n:
+    number of groups, digest).  ``root``: its digest, None without any leaf.
     """
 
     leaves: DataFrame
@@ -63,6 +64,7 @@ class Manifest:
     group_count: int
     fanout: int
     root: str | None = None
+    subroots: DataFrame | None = None
     levels: list[DataFrame] = field(default_factory=list)
     top_levels: list[DataFrame] = field(default_factory=list)
 
@@ -143,6 +145,7 @@ def manifest(docs: DataFrame, fields: list[str], id_col: str = "doc_id", group_c
         for t in tops[1:]:
             subroots = subroots.unionByName(t)
         out.top_levels = _levels(subroots, group_count, fanout, "merkle-top-level")
+        out.subroots = subroots
         out.root = (out.top_levels[-1] if out.top_levels else subroots).first()["digest"]
     return out
 
@@ -171,7 +174,7 @@ def proofs(tree: Manifest, requests: DataFrame | None = None) -> DataFrame:
     (``digit``) and the digests of the others.  ``requests`` may repeat ids and
     hold null or unknown ones; these find nothing.
     """
-    fanout, spark = tree.fanout, tree.leaves.sparkSession
+    fanout = tree.fanout
     asked = tree.leaves
     if requests is not None:
         asked = asked.join(requests.select("_id").distinct(), "_id", "left_semi")
@@ -190,8 +193,8 @@ def proofs(tree: Manifest, requests: DataFrame | None = None) -> DataFrame:
         wanted[h] = wanted[h - 1].select("g", F.expr(f"i div {fanout}").alias("i")).distinct()
 
     # From the root to the groups' trees.
-    open_ = spark.range(1).select(F.lit(0).cast("long").alias("g"), F.lit(0).cast("long").alias("i"), F.lit(tree.root).alias("digest"),
-                                  F.array().cast(PATH).alias("path"))
+    top = tree.top_levels[-1] if tree.top_levels else tree.subroots  # its only node with n = 1
+    open_ = top.where("n = 1").select("g", "i", "digest", F.array().cast(PATH).alias("path"))
     for level in reversed(tree.top_levels):
         open_ = _picked(_found(open_, level), fanout)
     height = sum((F.when(F.col("n") > fanout ** k, 1).otherwise(0) for k in range(len(tree.levels))), F.lit(0))

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.llm.common import at_work
+
 KEPT_WORDS = 400_000
 ROWS_AT_ONCE = 512
 #: Segments of more symbols take the same merges through a heap: rounds over one very long segment would be quadratic.
@@ -258,6 +260,7 @@ _made: dict[str, PieceBpe] = {}
 
 def piece_bpe(path: str | None) -> PieceBpe:
     path = path or default_path()
+    at_work("piece_bpe", _made.clear)
     if path not in _made:
         _made[path] = PieceBpe(path)
     return _made[path]

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.llm.common import at_work
+
 LONG_WORD = 64
 KEPT_CHUNKS = 600_000
 ROWS_AT_ONCE = 1024
@@ -205,6 +207,7 @@ _made: dict[str, WordBpe] = {}
 
 def word_bpe(path: str | None) -> WordBpe:
     path = path or default_path()
+    at_work("word_bpe", _made.clear)
     if path not in _made:
         _made[path] = WordBpe(path)
     return _made[path]

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from ledgerline.llm.common import at_work
+
 #: Odd multiplier of the sequence hashes and the constants that mix them.  Fixed values.
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -20,6 +22,7 @@ class WordHashes(dict):
         return h
 
     def of(self, words: list[bytes]) -> np.ndarray:
+        at_work("words", self.clear)
         if len(self) > KEPT_WORDS:
             self.clear()
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))

@@ -55,3 +55,15 @@ def test_documents_against_the_library(spark, library, edge):
 
 def test_an_empty_table(spark):
     assert word_bpe.encode_documents(empty_docs(spark)).count() == 0
+
+
+def test_a_worker_keeps_the_tables_of_one_operator_only():
+    from ledgerline.llm import piece_bpe, words
+    words.word_hashes.of([b"a", b"b"])
+    assert len(words.word_hashes) == 2
+    kept = word_bpe.word_bpe(None)
+    assert not words.word_hashes and word_bpe.word_bpe(None) is kept
+    piece_bpe.piece_bpe(None)
+    assert not word_bpe._made
+    words.word_hashes.of([b"a"])
+    assert not piece_bpe._made and len(words.word_hashes) == 1
