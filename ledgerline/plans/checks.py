@@ -10,7 +10,7 @@ from pyspark.sql.types import DecimalType, LongType, StringType, StructField, St
 from ledgerline.functions import dialect as D
 from ledgerline.functions import json as J
 from ledgerline.operators import aggregates as A
-from ledgerline.operators import mutation as M
+from ledgerline.operators import joins as JN
 from ledgerline.operators import projection as P
 from ledgerline.operators import quality as Q
 from ledgerline.sources.tables import Tables
@@ -73,7 +73,18 @@ def trimmed_columns(t: Tables) -> DataFrame:
 
 def row_hashes(t: Tables) -> DataFrame:
     """FN22: the hash of the whole row."""
-    return t.nation.select("n_nationkey", P.row_sha256("n_nationkey", "n_name", "n_regionkey").alias("row_hash"))
+    return t.orders.select("o_orderkey", P.row_sha256("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority").alias("row_hash"))
+
+
+def never_pending(t: Tables) -> DataFrame:
+    """JN9: customers NOT IN those with a pending order, by the null rules of SQL."""
+    pending = t.orders.where(F.col("o_orderstatus") == "P")
+    return JN.not_in(t.customer, "c_custkey", pending, "o_custkey").select("c_custkey", "c_name")
+
+
+def line_kinds(t: Tables) -> DataFrame:
+    """AGG14: one row of each combination of item, flag and status."""
+    return A.distinct_by_row_hash(t.lineitem.select("l_partkey", "l_returnflag", "l_linestatus"))
 
 
 def json_objects(t: Tables) -> DataFrame:
@@ -91,10 +102,12 @@ def typed_target(t: Tables) -> DataFrame:
     return P.cast_to_schema(t.orders, TYPED_TARGET)
 
 
-def days_with_orders(t: Tables, days=("1997-01-15", "1997-07-01", "2099-01-01")) -> DataFrame:
-    """JN10: of each day, is there an order."""
-    found = [(d, M.exists(t.orders.where(F.col("o_orderdate") == D.ntz(d)))) for d in days]
-    return t.spark.createDataFrame(found, "day string, found boolean")
+def days_with_orders(t: Tables) -> DataFrame:
+    """JN10: of each day on which something was shipped, is there an order of that day; one scan of each table."""
+    days = t.lineitem.select(F.col("l_shipdate").cast("date").alias("day")).distinct()
+    ordered = t.orders.select(F.col("o_orderdate").cast("date").alias("_day")).distinct().withColumn("_found", F.lit(True))
+    return days.join(ordered, F.col("day") == F.col("_day"), "left").select(
+        F.col("day").cast("string").alias("day"), F.coalesce("_found", F.lit(False)).alias("found"))
 
 
 def top_orders_in_order(t: Tables, n: int = 50) -> DataFrame:

@@ -122,7 +122,8 @@ def _write_status(bronze: DataFrame, labels: DataFrame, status: str, cfg: MovieF
     """DML3/JN14: set the status of the matched rows, in the ingest dates that hold rows of ``status``."""
     touched = bronze.where(F.col("status") == status).select("p_ingestdate").distinct()
     rows = bronze.join(touched, "p_ingestdate", "left_semi")
-    out = M.update_matched(rows, labels, "value", "status", source_col="new_status")
+    labels = _with_key(labels).select(VALUE_KEY, "new_status")  # the raw text isn't carried into the join
+    out = M.update_matched(rows, labels, VALUE_KEY, "status", source_col="new_status")
     _replace_dates(out.select(*bronze.columns), cfg)
 
 

@@ -481,10 +481,17 @@ SELECT p_partkey, upper(trim(p_name)) AS p_name, upper(trim(p_brand)) AS p_brand
 """
 
 ORACLE["row_hashes"] = """
-SELECT n_nationkey, sha256('{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '","n_regionkey":' || n_regionkey || '}') AS row_hash
-FROM nation
+SELECT o_orderkey, sha256('{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus
+                          || '","o_orderpriority":"' || o_orderpriority || '"}') AS row_hash
+FROM orders
+"""
+
+ORACLE["never_pending"] = """
+SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')
 """
 
+ORACLE["line_kinds"] = "SELECT DISTINCT l_partkey, l_returnflag, l_linestatus FROM lineitem"
+
 ORACLE["json_objects"] = """
 SELECT event_id, json(props)::VARCHAR AS whole, CAST(NULL AS VARCHAR) AS scalar FROM events
 """
@@ -495,8 +502,8 @@ FROM orders
 """
 
 ORACLE["days_with_orders"] = """
-SELECT d AS day, EXISTS (SELECT 1 FROM orders WHERE o_orderdate = CAST(d AS TIMESTAMP)) AS found
-FROM (VALUES ('1997-01-15'), ('1997-07-01'), ('2099-01-01')) v(d)
+SELECT CAST(d AS VARCHAR) AS day, EXISTS (SELECT 1 FROM orders WHERE CAST(o_orderdate AS DATE) = d) AS found
+FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)
 """
 
 ORACLE["top_orders_in_order"] = """

@@ -66,6 +66,8 @@ PLANS: dict[str, PlanFn] = {
     "renamed_columns": checks.renamed_columns,
     "trimmed_columns": checks.trimmed_columns,
     "row_hashes": checks.row_hashes,
+    "never_pending": checks.never_pending,
+    "line_kinds": checks.line_kinds,
     "json_objects": checks.json_objects,
     "typed_target": checks.typed_target,
     "days_with_orders": checks.days_with_orders,
