@@ -62,6 +62,25 @@ def test_shards_are_contiguous_and_balanced(spark, edge, shards):
         assert sum(r["size"] for r in rs) <= total / shards + most
 
 
+def placed(rows, shards):
+    """[(id, size, checksum, shard, slot)]: each row by the prefix sum up to its middle byte."""
+    order = sorted(((i is not None, i or 0, zlib.crc32((t or "").encode()), len((t or "").encode()) + 16, i) for i, t in rows))
+    total, end, out, first = sum(r[3] for r in order), 0, [], {}
+    for k, (_, _, crc, size, i) in enumerate(order):
+        end += size
+        shard = min(shards - 1, (2 * end - size) * shards // (2 * total))
+        out.append((i, size, crc, shard, k - first.setdefault(shard, k)))
+    return out
+
+
+@pytest.mark.parametrize("edge,shards,partitions", [(True, 4, 5), (True, 40, 3), (False, 40, 5), (False, 7, 1)])
+def test_every_row_lies_where_the_prefix_sums_put_it(spark, edge, shards, partitions):
+    rows = EDGE if edge else texts(spark)
+    got = sharding.byte_shards(edge_docs(spark) if edge else documents(spark), shards=shards, partitions=partitions).collect()
+    key = lambda r: tuple(map(str, r))
+    assert sorted(((r["doc_id"], r["size"], r["text_crc32"], r["shard"], r["slot"]) for r in got), key=key) == sorted(placed(rows, shards), key=key)
+
+
 def test_shards_of_an_empty_table(spark):
     assert sharding.byte_shards(empty_docs(spark)).count() == 0
 

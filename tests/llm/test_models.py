@@ -190,3 +190,42 @@ def test_quality_of_edge_rows(spark):
         assert got.columns.count("score") == 1 and got.count() == len(EDGE)
         assert got.where("score is null or score < 0 or score > 1 or predicted is null").count() == 0
         assert quality_rules.score_quality(empty_docs(spark), model).count() == 0
+
+
+def plain_statistics(text):
+    """The statistics of a text in plain Python."""
+    import regex
+    text = text or ""
+    w, lines, chars = brute.words(text), text.split("\n"), float(len(text))
+
+    def each(a, b):
+        return a / max(b, 1.0)
+
+    def share(pattern):
+        return each(len(regex.findall(pattern, text)), chars)
+    return {
+        "chars": chars, "words": len(w), "word_length": each(chars, len(w)), "distinct_words": each(len(set(w)), len(w) ** 0.5),
+        "distinct_word_share": each(len(set(w)), len(w)), "distinct_line_share": each(len(set(lines)), len(lines)),
+        "line_length": each(chars, len(lines)), "symbol_share": share(r"[^\p{L}\p{N} \t\n\x0b\f\r.,;:'\"!?-]"),
+        "digit_share": share("[0-9]"), "upper_share": share(r"\p{Lu}"), "stops_per_word": each(len(regex.findall("[.!?]", text)), len(w)),
+        "commas_per_word": each(len(regex.findall("[,;:]", text)), len(w)),
+        "repeat_share": each(sum(a == b for a, b in zip(w, w[1:])), len(w))}
+
+
+def plain_score(model, stats):
+    total = model.bias + sum(x for q, x in model.rules if all((stats[n] > at) == above for n, above, at in q))
+    return 1 / (1 + np.exp(-total))
+
+
+@pytest.mark.parametrize("case", ["documents", "edge"])
+def test_spark_columns_score_like_plain_python(spark, case):
+    model = quality_rules.train(documents(spark), spark.read.parquet(f"{SMALL}/labels.parquet").select("doc_id", "quality"))
+    assert len(model.rules) > 5
+    # Rules on every statistic, so that each of them counts.
+    for k, n in enumerate(plain_statistics("")):
+        model.rules += [(((n, True, 0.02),), 0.1 + k / 50), (((n, False, 1.5), ("chars", True, 3.0)), -0.07 - k / 60)]
+    rows = texts(spark) if case == "documents" else EDGE + [(30, "1 2 3 4, 5; 6: 7!"), (31, "\n\n\n"), (32, "Ä Ö\u00a0Ü ÇÀ #@$ — …"), (33, "x x x y y\x0bz\x0c z")]
+    docs = documents(spark) if case == "documents" else edge_docs(spark, rows)
+    got = sorted((str(r["doc_id"]), round(r["score"], 9), r["predicted"]) for r in quality_rules.score_quality(docs, model).collect())
+    want = [(str(i), plain_score(model, plain_statistics(t))) for i, t in rows]
+    assert got == sorted((i, round(x, 9), int(x >= 0.3)) for i, x in want)
