@@ -7,10 +7,11 @@ together inside key ranges; a running window keeps, per depth of nesting, the
 rule host opened last - the stack of the sweep.  Entries of the stack whose
 interval has ended are skipped, the rest are compared with the path.
 
-Ranges come from a bounded sample of keys, which only decides how evenly the
-rows are dealt.  A range is cut into ``salts`` parts by page, each with its own
-copy of the rules that reach into the range, so a host with a third of all pages
-spreads over ``salts`` tasks.
+Ranges come from a sample of keys from all partitions at a rate that keeps it
+at the same size; it only decides how evenly the rows are dealt.  A range is
+cut into ``salts`` parts by page, each with its own copy of the rules that reach
+into the range, so a host with a third of all pages spreads over ``salts``
+tasks.  Ranges and salts follow the session's shuffle partitions.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import shuffle_partitions
+
 #: A-Z and a-z, for lower-casing ASCII letters only.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -38,7 +41,7 @@ def host_key(host: Column) -> Column:
     return F.concat(F.reverse(host), F.lit("."))
 
 
-def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", ranges: int = 16, salts: int = 8,
+def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", ranges: int | None = None, salts: int | None = None,
                default: str = "allow", sample_keys: int = 20_000) -> DataFrame:
     """Every page with ``host``, ``path``, ``rule`` and ``verdict``.
 
@@ -52,6 +55,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", ranges:
     Other columns stay, except those named like a result.  Rows are never
     merged: repeated pages come back as often as they are given.
     """
+    tasks = shuffle_partitions(pages.sparkSession)
+    ranges = ranges or min(64, max(16, tasks // 8))
+    salts = salts or max(8, -(-tasks // ranges))
     result = ["host", "path", "rule", "verdict"]
     rows = pages.drop(*[c for c in result if c in pages.columns])
     kept = rows.columns
@@ -113,7 +119,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", ranges:
 
 
 def _bounds(keyed: DataFrame, ranges: int, sample_keys: int) -> list[str]:
-    """At most ``ranges`` - 1 keys that cut a bounded sample into equal parts; they balance the work and decide nothing."""
-    picked = keyed.select("_key").where(F.rand(seed=7) < 0.05).limit(sample_keys)
+    """At most ``ranges`` - 1 keys that cut a sample of about ``sample_keys`` rows of all partitions into equal parts."""
+    rate = sample_keys / max(keyed.count(), 1)
+    picked = keyed.select("_key") if rate >= 1 else keyed.select("_key").where(F.rand(seed=7) < rate)
     keys = sorted(r[0] for r in picked.collect())
     return sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []

@@ -50,3 +50,24 @@ def test_no_rules_no_pages_and_repeated_pages(spark):
     assert url_filter.judge_urls(pages.limit(0), rules).count() == 0
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_ranges_are_even_on_sorted_input(spark):
+    n, ranges = 60_000, 16
+    keyed = spark.range(n, numPartitions=12).selectExpr("format_string('%08d.', id) AS _key")  # each partition a range of its own
+    bounds = url_filter._bounds(keyed, ranges, 4000)
+    cuts = [0, *(int(b[:-1]) for b in bounds), n]
+    assert len(bounds) == ranges - 1 and max(b - a for a, b in zip(cuts, cuts[1:])) < 1.5 * n / ranges
+    assert len(url_filter._bounds(keyed.limit(5), ranges, 4000)) <= 5
+
+
+def test_ranges_and_salts_follow_the_session(spark):
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(URLS)], "page_id long, url string")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1000")
+        many = sorted(map(str, url_filter.judge_urls(pages, rules).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert many == sorted(map(str, url_filter.judge_urls(pages, rules, ranges=1, salts=1).collect()))
