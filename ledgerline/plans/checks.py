@@ -11,6 +11,7 @@ from ledgerline.functions import dialect as D
 from ledgerline.functions import json as J
 from ledgerline.operators import aggregates as A
 from ledgerline.operators import joins as JN
+from ledgerline.operators import keys as K
 from ledgerline.operators import projection as P
 from ledgerline.operators import quality as Q
 from ledgerline.sources.tables import Tables
@@ -115,3 +116,10 @@ def top_orders_in_order(t: Tables, n: int = 50) -> DataFrame:
     top = t.orders.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(n)
     return top.select(F.row_number().over(Window.orderBy(F.desc("o_totalprice"), "o_orderkey")).alias("place"),
                       "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+
+
+def ledger_ids(t: Tables, before: str = "1996-01-01") -> DataFrame:
+    """DML9 over two loads: customers numbered by the orders before a day keep their ids, those who come later follow."""
+    early = t.orders.where(F.col("o_orderdate") < D.ntz(before))
+    held = K.new_ids(None, early, ["o_custkey"], "customer_no")
+    return held.unionByName(K.new_ids(held, t.orders, ["o_custkey"], "customer_no"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.keys import with_row_index
+from ledgerline.operators.keys import with_key_index
 from ledgerline.plans import reports
 from ledgerline.sources.tables import Tables
 
@@ -50,7 +50,7 @@ def nested_invoice_json(t: Tables, customer: int = 1) -> DataFrame:
     stores *all* invoices in every row; here each row holds its own
     invoice.  The per-date cursor becomes one set-based semi join on the
     distinct dates, and the identity column is assigned by
-    :func:`with_row_index` in (date, invoice) order.
+    :func:`with_key_index` in (date, invoice) order.
     """
     o = t.orders
     dates = o.where(F.col("o_custkey") == customer).select(F.col("o_orderdate").alias("d")).distinct()
@@ -73,5 +73,5 @@ def nested_invoice_json(t: Tables, customer: int = 1) -> DataFrame:
     j = inv.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
     out = j.select(F.col("o_orderdate").cast("date").alias("confirmed_delivery_date"),
                    F.col("o_orderkey"), doc.alias("confirmed_delivery_info"))
-    out = with_row_index(out, ["confirmed_delivery_date", "o_orderkey"], "confirmed_delivery_id")
+    out = with_key_index(out, ["confirmed_delivery_date", "o_orderkey"], "confirmed_delivery_id")
     return out.select("confirmed_delivery_id", "confirmed_delivery_date", "confirmed_delivery_info")

@@ -16,7 +16,7 @@ from pyspark.sql.types import (ArrayType, DateType, DecimalType, LongType, Strin
 from ledgerline.functions import dialect as D
 from ledgerline.functions import json as J
 from ledgerline.operators import mutation as M
-from ledgerline.operators.keys import with_row_index
+from ledgerline.operators.keys import with_key_index
 from ledgerline.plans.reports import YEARS, line_total
 from ledgerline.sources.tables import Tables
 
@@ -212,28 +212,33 @@ def shred_purchase_orders(docs: DataFrame) -> DataFrame:
     Declared types are applied with ``try_cast``; the names of fields whose text
     doesn't fit its type (a day such as ``01-025``) are listed in
     ``bad_fields``.  Loads take :func:`good_rows`, the others are quarantined.
+    A document's id and a row's place in it (``doc_line``) are the row's key.
     """
-    bad = F.filter(F.array(*[F.when(F.col(f"po.{f}").isNotNull() & F.col(f"po.{f}").try_cast(t).isNull(), F.lit(f))
-                             for f, t in TYPED_FIELDS.items()]), lambda x: x.isNotNull())
-    parsed = J.explode_rows(docs, F.from_json("doc", PURCHASE_ORDER_SCHEMA)["PurchaseOrders"], "po", "doc_id")
-    p = lambda f: F.col(f"po.{f}")
-    return parsed.select(
-        "doc_id",
-        p("StockItemName").alias("stock_item_name"),
-        p("Supplier").try_cast("bigint").alias("supplier_id"),
-        p("UnitPackageId").try_cast("int").alias("unit_package_id"),
-        p("OuterPackageId").try_cast("int").alias("outer_package_id"),
-        p("Brand").alias("brand"),
-        p("LeadTimeDays").try_cast("int").alias("lead_time_days"),
-        p("QuantityPerOuter").try_cast("int").alias("quantity_per_outer"),
-        p("TaxRate").try_cast("decimal(18,3)").alias("tax_rate"),
-        p("UnitPrice").try_cast("decimal(18,2)").alias("unit_price"),
-        p("RecommendedRetailPrice").try_cast("decimal(18,2)").alias("recommended_retail_price"),
-        p("TypicalWeightPerUnit").try_cast("decimal(18,3)").alias("typical_weight_per_unit"),
-        p("CountryOfManufacture").alias("country_of_manufacture"),
-        p("OrderDate").try_cast("date").alias("order_date"),
-        p("ExpectedDeliveryDate").try_cast("date").alias("expected_delivery_date"),
-        p("SupplierReference").alias("supplier_reference"),
+    parsed = docs.select("doc_id", F.posexplode_outer(F.from_json("doc", PURCHASE_ORDER_SCHEMA)["PurchaseOrders"])
+                         .alias("doc_line", "po")).where(F.col("po").isNotNull())
+    # A generator, so that each text is cast once: a filter on the casts can't be pushed below it.
+    casts = F.struct(*[F.col(f"po.{f}").try_cast(kind).alias(f) for f, kind in TYPED_FIELDS.items()])
+    rows = parsed.select("doc_id", "doc_line", "po", F.explode_outer(F.array(casts)).alias("typed"))
+    bad = F.filter(F.array(*[F.when(F.col(f"po.{f}").isNotNull() & F.col(f"typed.{f}").isNull(), F.lit(f))
+                             for f in TYPED_FIELDS]), lambda x: x.isNotNull())
+    field = lambda f: F.col(f"typed.{f}" if f in TYPED_FIELDS else f"po.{f}")
+    return rows.select(
+        "doc_id", "doc_line",
+        field("StockItemName").alias("stock_item_name"),
+        field("Supplier").alias("supplier_id"),
+        field("UnitPackageId").alias("unit_package_id"),
+        field("OuterPackageId").alias("outer_package_id"),
+        field("Brand").alias("brand"),
+        field("LeadTimeDays").alias("lead_time_days"),
+        field("QuantityPerOuter").alias("quantity_per_outer"),
+        field("TaxRate").alias("tax_rate"),
+        field("UnitPrice").alias("unit_price"),
+        field("RecommendedRetailPrice").alias("recommended_retail_price"),
+        field("TypicalWeightPerUnit").alias("typical_weight_per_unit"),
+        field("CountryOfManufacture").alias("country_of_manufacture"),
+        field("OrderDate").alias("order_date"),
+        field("ExpectedDeliveryDate").alias("expected_delivery_date"),
+        field("SupplierReference").alias("supplier_reference"),
         bad.alias("bad_fields"),
     )
 
@@ -263,7 +268,7 @@ def json_shred_load(t: Tables) -> DataFrame:
     """
     rows = good_rows(shred_purchase_orders(purchase_order_documents(t)))
     base = t.part.select(F.max("p_partkey")).scalar()
-    rows = with_row_index(rows, ["doc_id"], "stock_item_id", base=base)
+    rows = with_key_index(rows, ["doc_id", "doc_line"], "stock_item_id", base=base)
     none = lambda kind, name: F.lit(None).cast(kind).alias(name)
     return rows.select(
         "stock_item_id", "stock_item_name", "supplier_id", none("int", "color_id"), "unit_package_id", "outer_package_id",
@@ -285,7 +290,7 @@ def json_shred_purchase_orders(t: Tables) -> DataFrame:
     """
     rows = good_rows(shred_purchase_orders(purchase_order_documents(t)))
     base = t.orders.select(F.max("o_orderkey")).scalar()
-    rows = with_row_index(rows, ["doc_id"], "purchase_order_id", base=base)
+    rows = with_key_index(rows, ["doc_id", "doc_line"], "purchase_order_id", base=base)
     return rows.select(
         "purchase_order_id", D.pseudo_random_key(F.col("doc_id"), 13).alias("supplier_id"), "order_date",
         F.lit(1).alias("delivery_method_id"), F.lit(2).alias("contact_person_id"), "expected_delivery_date",

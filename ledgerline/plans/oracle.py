@@ -635,6 +635,15 @@ FROM idx, n
 GROUP BY 1
 """
 
+ORACLE["ledger_ids"] = """
+WITH held AS (SELECT o_custkey, row_number() OVER (ORDER BY o_custkey) AS customer_no
+              FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'))
+SELECT * FROM held
+UNION ALL
+SELECT o_custkey, (SELECT count(*) FROM held) + row_number() OVER (ORDER BY o_custkey) AS customer_no
+FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM held))
+"""
+
 # Output columns that leave the engines in a portable form: decimals as DOUBLE
 # (both engines convert a decimal to the same nearest double) and nested values
 # as JSON text.  Spark applies the same rule generically (``__spark_entry__``).

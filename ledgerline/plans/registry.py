@@ -71,6 +71,7 @@ PLANS: dict[str, PlanFn] = {
     "json_objects": checks.json_objects,
     "typed_target": checks.typed_target,
     "days_with_orders": checks.days_with_orders,
+    "ledger_ids": checks.ledger_ids,
     "top_orders_in_order": checks.top_orders_in_order,
     "people_clean": file_jobs.people_clean,
     "json_split": file_jobs.json_split,

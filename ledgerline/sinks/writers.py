@@ -14,6 +14,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators.keys import attach_ids, new_ids
+
 
 def batch_writer(df: DataFrame, partition_column: str | None = None,
                  exclude_columns: Sequence[str] = (), mode: str = "append",
@@ -48,9 +50,22 @@ def append_rows(df: DataFrame, path: str, partition_column: str | None = None) -
     batch_writer(df, partition_column).save(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_column: str) -> None:
+def stable_ids(df: DataFrame, key_cols: Sequence[str], ledger_path: str, id_col: str = "id", base: int = 0) -> DataFrame:
+    """DML9: ``df`` with ids that its keys keep across loads.
+
+    The ledger at ``ledger_path`` holds one row per key ever seen; the keys that
+    it lacks are appended with ids after its highest.  An append that died
+    half-way has given some keys their ids; the next run gives the others later
+    ones.  One writer at a time.
+    """
+    spark = df.sparkSession
+    append_rows(new_ids(read_or_none(spark, ledger_path), df, key_cols, id_col, base), ledger_path)
+    return attach_ids(df, spark.read.parquet(ledger_path), key_cols, id_col)
+
+
+def replace_partitions(df: DataFrame, path: str, *partition_columns: str) -> None:
     """SNK3/SNK15: write ``df`` in place of the partitions that its rows lie in; the others stay untouched."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_column).parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_columns).parquet(path)
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
