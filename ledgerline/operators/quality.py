@@ -51,6 +51,17 @@ def defect_counts(df: DataFrame) -> DataFrame:
                   F.count_if(F.col("budget") < MIN_BUDGET).alias("low_budget"))
 
 
+METRICS = ("n_rows", "clean", "negative_runtime", "low_budget", "unclassified")
+
+
+def defect_metrics() -> list[Column]:
+    """QA2/QA4: the counts of :data:`METRICS` as aggregates for ``DataFrame.observe``."""
+    fits = F.coalesce(clean_predicate(), F.lit(False)) | F.coalesce(quarantine_predicate(), F.lit(False))
+    return [F.count(F.lit(1)).alias("n_rows"), F.count_if(clean_predicate()).alias("clean"),
+            F.count_if(F.col("runtime") < 0).alias("negative_runtime"),
+            F.count_if(F.col("budget") < MIN_BUDGET).alias("low_budget"), F.count_if(~fits).alias("unclassified")]
+
+
 def repair(df: DataFrame) -> DataFrame:
     """QA3, single pass as in the data flow (S21): ``runtime = abs(runtime)``,
     ``budget`` floored to the minimum.  Runtime is repaired whatever the

@@ -18,7 +18,8 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import incremental as INC
@@ -29,6 +30,7 @@ from ledgerline.plans import medallion as MD
 from ledgerline.sinks import published as PB
 from ledgerline.sinks import writers as WR
 from ledgerline.sources import files as S
+from ledgerline.streaming import ingest as IN
 
 
 @dataclass
@@ -38,6 +40,13 @@ class MovieFlowConfig:
     datasource: str = "raw"
     as_of: dt.datetime | None = None   # pin the ingest time (tests); default: now
     catalog: str | None = None         # prefix of the catalog's table names; None: bronze is a folder
+    new_files_only: bool = False       # raw files by a file stream: bronze is partitioned by its batches; fixed for life
+    files_per_batch: int | None = None
+    max_defect_share: float | None = None  # counts are kept; P2 stops before its status commit if more rows are defective
+
+    @property
+    def partition_column(self) -> str:
+        return IN.BATCH if self.new_files_only else "p_ingestdate"
 
     @property
     def bronze(self) -> str:
@@ -50,6 +59,22 @@ class MovieFlowConfig:
     def lookup(self, name: str) -> str:
         return f"{self.base}/lookups/{name}"
 
+    @property
+    def unreadable(self) -> str:
+        return f"{self.base}/unreadable"
+
+    @property
+    def metrics(self) -> str:
+        return f"{self.base}/metrics/silver"
+
+    @property
+    def checkpoint(self) -> str:
+        return f"{self.base}/checkpoints/raw"
+
+
+class DefectLimit(RuntimeError):
+    """More rows of a run are defective than its configuration allows."""
+
 
 VALUE_KEY = "value_sha256"
 
@@ -72,11 +97,11 @@ def read_bronze(spark: SparkSession, cfg: MovieFlowConfig) -> DataFrame | None:
 
 
 def _replace_dates(rows: DataFrame, cfg: MovieFlowConfig) -> None:
-    """SNK3/SNK15: the ingest dates of ``rows`` become these rows."""
+    """SNK3/SNK15: the ingest dates (or batches) of ``rows`` become these rows."""
     if cfg.catalog:
-        PB.publish_partitions(rows, f"{cfg.catalog}_bronze", cfg.bronze, "p_ingestdate")
+        PB.publish_partitions(rows, f"{cfg.catalog}_bronze", cfg.bronze, cfg.partition_column)
     else:
-        WR.replace_partitions(rows, cfg.bronze, "p_ingestdate")
+        WR.replace_partitions(rows, cfg.bronze, cfg.partition_column)
 
 
 def read_silver(spark: SparkSession, cfg: MovieFlowConfig) -> DataFrame:
@@ -89,7 +114,10 @@ def raw_to_bronze(spark: SparkSession, cfg: MovieFlowConfig) -> None:
     Values already present in bronze are not ingested again, so re-running
     the same raw files leaves bronze unchanged (the reference appends them
     a second time).  Duplicates inside one batch are kept; silver dedupes.
+    With ``new_files_only`` see :func:`new_files_to_bronze`.
     """
+    if cfg.new_files_only:
+        return new_files_to_bronze(spark, cfg)
     raw = S.read_multiline_json_array(spark, cfg.raw_path, "movie")
     # One time for the whole run: the ingest dates below are looked at twice.
     as_of = cfg.as_of or spark.range(1).select(F.current_timestamp()).first()[0]
@@ -105,6 +133,27 @@ def raw_to_bronze(spark: SparkSession, cfg: MovieFlowConfig) -> None:
         WR.append_rows(fresh, cfg.bronze, "p_ingestdate")
 
 
+def new_files_to_bronze(spark: SparkSession, cfg: MovieFlowConfig) -> None:
+    """P1 over the files that no run has taken yet, each read once; bronze itself isn't read.
+
+    A batch's rows replace those of its own number, so a batch that is repeated
+    after a failure leaves every row once.  Files that are no document with the
+    array go to ``unreadable`` in the same way.  A value that comes again in a
+    later file is a further bronze row (silver has one row per value).
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        docs = IN.with_items(batch, "movie").persist(StorageLevel.MEMORY_AND_DISK)  # two sinks, one parse
+        try:
+            items = IN.item_texts(docs)
+            at = F.lit(cfg.as_of).cast("timestamp_ntz") if cfg.as_of else F.col("arrived").cast("timestamp_ntz")
+            rows = MD.transform_raw(items, cfg.datasource, at=at)
+            _replace_dates(_with_key(rows).withColumn(IN.BATCH, F.lit(int(batch_id))), cfg)
+            WR.replace_partitions(IN.unreadable(docs).withColumn(IN.BATCH, F.lit(int(batch_id))), cfg.unreadable, IN.BATCH)
+        finally:
+            docs.unpersist()
+    IN.run_available(IN.new_documents(spark, cfg.raw_path, cfg.files_per_batch), handle, cfg.checkpoint)
+
+
 def _merge_lookup(df: DataFrame, path: str, name: str) -> None:
     """QA5: add the rows that the lookup does not hold yet."""
     spark = df.sparkSession
@@ -119,19 +168,33 @@ def _append_silver(rows: DataFrame, cfg: MovieFlowConfig) -> None:
 
 
 def _write_status(bronze: DataFrame, labels: DataFrame, status: str, cfg: MovieFlowConfig) -> None:
-    """DML3/JN14: set the status of the matched rows, in the ingest dates that hold rows of ``status``."""
-    touched = bronze.where(F.col("status") == status).select("p_ingestdate").distinct()
-    rows = bronze.join(touched, "p_ingestdate", "left_semi")
+    """DML3/JN14: set the status of the matched rows, in the ingest dates (or batches) that hold rows of ``status``."""
+    touched = bronze.where(F.col("status") == status).select(cfg.partition_column).distinct()
+    rows = bronze.join(touched, cfg.partition_column, "left_semi")
     labels = _with_key(labels).select(VALUE_KEY, "new_status")  # the raw text isn't carried into the join
     out = M.update_matched(rows, labels, VALUE_KEY, "status", source_col="new_status")
     _replace_dates(out.select(*bronze.columns), cfg)
 
 
+def _check_defects(spark: SparkSession, seen: dict, cfg: MovieFlowConfig) -> None:
+    """QA2/QA4: with a limit set, keep the run's counts, and stop beyond it.  A run without rows counts nothing."""
+    if cfg.max_defect_share is None or not seen.get("n_rows"):
+        return
+    row = {name: int(seen[name]) for name in Q.METRICS}
+    WR.append_rows(spark.createDataFrame([tuple(row.values())], ", ".join(f"{n} long" for n in row))
+                   .withColumn("counted_at", F.current_timestamp()), cfg.metrics)
+    share = 1 - row["clean"] / row["n_rows"]
+    if share > cfg.max_defect_share:
+        raise DefectLimit(f"{share:.1%} of {row['n_rows']} new rows are defective, allowed are {cfg.max_defect_share:.1%}: {row}")
+
+
 def bronze_to_silver(spark: SparkSession, cfg: MovieFlowConfig) -> None:
     """New bronze rows -> lookups, clean silver rows, bronze statuses (SNK4 multi-sink).
 
     The statuses come last: until they are written the rows count as new, and
     a repeated run adds to lookups and silver only what is missing there.
+    The job that writes silver counts the defects on its way (QA2, QA4); with
+    ``max_defect_share`` a run beyond it stops here, its rows still new.
     """
     bronze = read_bronze(spark, cfg)
     new = bronze.where(F.col("status") == "new").dropDuplicates([VALUE_KEY])
@@ -140,8 +203,10 @@ def bronze_to_silver(spark: SparkSession, cfg: MovieFlowConfig) -> None:
                   cfg.lookup("genres"), "genres")
     _merge_lookup(Q.lookup_languages_constant(shredded), cfg.lookup("original_languages"), "original_languages")
     silver_rows = MD.refactor_silver(shredded, dedupe=False)
-    clean, _, _ = Q.split_clean_quarantine(silver_rows)
+    seen = Observation()
+    clean, _, _ = Q.split_clean_quarantine(silver_rows.observe(seen, *Q.defect_metrics()))
     _append_silver(clean, cfg)
+    _check_defects(spark, seen.get, cfg)
     _write_status(bronze, Q.classify(silver_rows, "new_status").select("value", "new_status"), "new", cfg)
 
 

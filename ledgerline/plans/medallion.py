@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DateType, DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType, TimestampNTZType)
@@ -76,13 +76,13 @@ def movie_documents(t: Tables) -> DataFrame:
     return o.select(F.to_json(doc).alias("value"))
 
 
-def transform_raw(raw: DataFrame, datasource: str, as_of: dt.datetime | None = None) -> DataFrame:
+def transform_raw(raw: DataFrame, datasource: str, as_of: dt.datetime | None = None, at: Column | None = None) -> DataFrame:
     """P1 ``transform_raw``: add ingest metadata; status starts as ``new`` (PRJ5, QA4).
 
     ``as_of`` pins the ingest time for reproducible runs; by default it is
-    ``current_timestamp()``, evaluated once per query.
+    ``current_timestamp()``, evaluated once per query.  ``at`` gives a column instead.
     """
-    ts: Column = F.lit(as_of).cast("timestamp_ntz") if as_of else F.current_timestamp().cast("timestamp_ntz")
+    ts: Column = at if at is not None else F.lit(as_of).cast("timestamp_ntz") if as_of else F.current_timestamp().cast("timestamp_ntz")
     return raw.select(F.lit(datasource).alias("datasource"), ts.alias("ingesttime"), "value",
                       F.lit("new").alias("status"), ts.cast("date").alias("p_ingestdate"))
 
@@ -183,6 +183,19 @@ def defect_counts(t: Tables) -> DataFrame:
     return Q.defect_counts(silver_all(t))
 
 
+def defect_counts_on_the_way(t: Tables) -> DataFrame:
+    """QA2/QA4: the counts that the write of the clean rows makes on its way, without a scan of their own.
+
+    The rows go to a sink that keeps nothing here; ``flows.bronze_to_silver``
+    does the same with silver.  Zeros if there is no row.
+    """
+    seen = Observation()
+    clean, _, _ = Q.split_clean_quarantine(silver_all(t).observe(seen, *Q.defect_metrics()))
+    clean.write.format("noop").mode("overwrite").save()
+    counts = seen.get
+    return t.spark.createDataFrame([tuple(int(counts.get(n) or 0) for n in Q.METRICS)], ", ".join(f"{n} long" for n in Q.METRICS))
+
+
 def genre_lookup_merge(t: Tables, before: str = "1997-01-01") -> DataFrame:
     """QA5 over two batches: the lookup of the earlier documents plus what the later ones add to it."""
     docs = bronze(t).select("value", F.from_json("value", "ReleaseDate DATE").ReleaseDate.alias("day"))
