@@ -15,6 +15,8 @@ from ledgerline.operators import keys as K
 from ledgerline.operators import projection as P
 from ledgerline.operators import quality as Q
 from ledgerline.sources.tables import Tables
+from ledgerline.plans import medallion as MD
+from ledgerline.streaming import ingest as IN
 from ledgerline.streaming import sensor as S
 
 
@@ -123,3 +125,26 @@ def ledger_ids(t: Tables, before: str = "1996-01-01") -> DataFrame:
     early = t.orders.where(F.col("o_orderdate") < D.ntz(before))
     held = K.new_ids(None, early, ["o_custkey"], "customer_no")
     return held.unionByName(K.new_ids(held, t.orders, ["o_custkey"], "customer_no"))
+
+
+def late_readings(t: Tables, delay: str = "1 hour") -> DataFrame:
+    """ST5 over daily batches: which events came after their window had closed, per day of arrival.
+
+    Every eleventh event arrives two days after its time, the others on their day.
+    """
+    late_by = F.when(F.col("event_id") % 11 == 0, 2).otherwise(0)
+    rows = t.events.select("event_id", "user_id", "ts", F.date_add(F.col("ts").cast("date"), late_by).alias("arrived"))
+    return S.split_late(rows, "arrived", "ts", delay).where("late").select(
+        "event_id", "user_id", "ts", F.col("arrived").cast("string").alias("arrived"))
+
+
+def document_items(t: Tables, per_file: int = 40) -> DataFrame:
+    """SRC1/SRC3 without inference: documents with the movies of ``per_file`` consecutive ids, read as variants, typed by name."""
+    movies = MD.movie_documents(t).select("value", F.floor(F.get_json_object("value", "$.Id").cast("bigint") / per_file).alias("n"))
+    docs = movies.groupBy("n").agg(F.array_join(F.collect_list("value"), ",").alias("items"))
+    docs = docs.select(F.concat(F.lit('{"movie": ['), "items", F.lit("]}")).alias("text"), F.lit(None).cast("timestamp").alias("arrived"))
+    item = F.parse_json("value")
+    get = lambda path, kind: F.try_variant_get(item, path, kind)
+    return IN.item_texts(IN.with_items(docs, "movie")).select(
+        get("$.Id", "bigint").alias("movie_id"), get("$.Title", "string").alias("title"), get("$.RunTime", "int").alias("runtime"),
+        get("$.ReleaseDate", "date").alias("release_date"), get("$.genres[1].name", "string").alias("second_genre"))

@@ -412,6 +412,18 @@ SELECT count(*) FILTER (WHERE runtime < 0) AS negative_runtime, count(*) FILTER
 FROM (SELECT DISTINCT value, runtime, budget FROM silver)
 """
 
+ORACLE["defect_counts_on_the_way"] = _MOVIES + """
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE runtime >= 0 AND budget >= 1000000) AS clean,
+       count(*) FILTER (WHERE runtime < 0) AS negative_runtime, count(*) FILTER (WHERE budget < 1000000) AS low_budget,
+       count(*) FILTER (WHERE NOT coalesce(runtime >= 0 AND budget >= 1000000, false)
+                          AND NOT coalesce(runtime < 0 OR budget < 1000000, false)) AS unclassified
+FROM (SELECT DISTINCT value, runtime, budget FROM silver)
+"""
+
+ORACLE["document_items"] = _MOVIES + """
+SELECT movie_id, title, runtime, release_date, genres[2].name AS second_genre FROM m
+"""
+
 ORACLE["genre_lookup"] = _MOVIES + """
 SELECT DISTINCT g.id AS id, g.name AS name FROM (SELECT unnest(genres) AS g FROM m) WHERE g.name != ''
 """
@@ -644,6 +656,15 @@ SELECT o_custkey, (SELECT count(*) FROM held) + row_number() OVER (ORDER BY o_cu
 FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM held))
 """
 
+ORACLE["late_readings"] = """
+WITH r AS (SELECT event_id, user_id, ts, CAST(ts AS DATE) + CASE WHEN event_id % 11 = 0 THEN 2 ELSE 0 END AS arrived FROM events),
+b AS (SELECT arrived, max(max(ts)) OVER (ORDER BY arrived ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 HOUR AS mark
+      FROM r GROUP BY arrived)
+SELECT event_id, user_id, ts, CAST(CAST(arrived AS DATE) AS VARCHAR) AS arrived
+FROM r JOIN b USING (arrived)
+WHERE make_timestamp((CAST(floor(epoch_us(ts) / 5000000) AS BIGINT) + 1) * 5000000) <= mark
+"""
+
 # Output columns that leave the engines in a portable form: decimals as DOUBLE
 # (both engines convert a decimal to the same nearest double) and nested values
 # as JSON text.  Spark applies the same rule generically (``__spark_entry__``).

@@ -48,6 +48,7 @@ PLANS: dict[str, PlanFn] = {
     "status_write_back": medallion.status_write_back,
     "status_merge": medallion.status_merge,
     "defect_counts": medallion.defect_counts,
+    "defect_counts_on_the_way": medallion.defect_counts_on_the_way,
     "genre_lookup": medallion.genre_lookup,
     "genre_lookup_merge": medallion.genre_lookup_merge,
     "genre_texts": medallion.genre_texts,
@@ -72,6 +73,8 @@ PLANS: dict[str, PlanFn] = {
     "typed_target": checks.typed_target,
     "days_with_orders": checks.days_with_orders,
     "ledger_ids": checks.ledger_ids,
+    "late_readings": checks.late_readings,
+    "document_items": checks.document_items,
     "top_orders_in_order": checks.top_orders_in_order,
     "people_clean": file_jobs.people_clean,
     "json_split": file_jobs.json_split,
