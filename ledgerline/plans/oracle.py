@@ -665,6 +665,12 @@ FROM r JOIN b USING (arrived)
 WHERE make_timestamp((CAST(floor(epoch_us(ts) / 5000000) AS BIGINT) + 1) * 5000000) <= mark
 """
 
+# The SQL objects give the rows of their DataFrame forms.
+ORACLE["sql_order_totals"] = ORACLE["invoice_with_total"]
+ORACLE["sql_orders_between"] = ORACLE["guarded_daily_load"]
+ORACLE["sql_sales_by_group"] = ORACLE["pivot_group_by_year"]
+ORACLE["sql_sales_by_year"] = ORACLE["pivot_year_by_group"]
+
 # Output columns that leave the engines in a portable form: decimals as DOUBLE
 # (both engines convert a decimal to the same nearest double) and nested values
 # as JSON text.  Spark applies the same rule generically (``__spark_entry__``).
@@ -672,6 +678,8 @@ PORTABLE = {
     "json_value_group": {"total_value": "double"},
     "invoice_with_total": {"order_total": "double"},
     "guarded_daily_load": {"order_total": "double"},
+    "sql_order_totals": {"order_total": "double"},
+    "sql_orders_between": {"order_total": "double"},
     "typed_migration": {"typical_weight_before_unit": "double", "tax_rate": "double", "unit_price": "double",
                         "recommended_retail_price": "double"},
     "incremental_upsert_lines": {"UnitPrice": "double", "TaxRate": "double"},

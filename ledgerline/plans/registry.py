@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.plans import checks, documents, file_jobs, loads, medallion, reports, warehouse_load
+from ledgerline.plans import checks, documents, file_jobs, loads, medallion, reports, sql_surface, warehouse_load
 from ledgerline.sources.tables import Tables
 
 PlanFn = Callable[[Tables], DataFrame]
@@ -72,6 +72,10 @@ PLANS: dict[str, PlanFn] = {
     "json_objects": checks.json_objects,
     "typed_target": checks.typed_target,
     "days_with_orders": checks.days_with_orders,
+    "sql_order_totals": sql_surface.order_totals,
+    "sql_orders_between": sql_surface.orders_between,
+    "sql_sales_by_group": sql_surface.sales_by_group,
+    "sql_sales_by_year": sql_surface.sales_by_year,
     "ledger_ids": checks.ledger_ids,
     "late_readings": checks.late_readings,
     "document_items": checks.document_items,
