@@ -665,6 +665,10 @@ FROM r JOIN b USING (arrived)
 WHERE make_timestamp((CAST(floor(epoch_us(ts) / 5000000) AS BIGINT) + 1) * 5000000) <= mark
 """
 
+ORACLE["compacted_orders"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS year, false AS crowded FROM orders
+"""
+
 # The SQL objects give the rows of their DataFrame forms.
 ORACLE["sql_order_totals"] = ORACLE["invoice_with_total"]
 ORACLE["sql_orders_between"] = ORACLE["guarded_daily_load"]

@@ -56,6 +56,7 @@ PLANS: dict[str, PlanFn] = {
     "incremental_upsert": warehouse_load.incremental_upsert,
     "incremental_upsert_lines": warehouse_load.incremental_upsert_lines,
     "incremental_upsert_buckets": warehouse_load.incremental_upsert_buckets,
+    "compacted_orders": warehouse_load.compacted_orders,
     "null_watermark_report": warehouse_load.null_watermark_report,
     "fact_orders": warehouse_load.fact_orders,
     "dim_customers": warehouse_load.dim_customers,

@@ -148,3 +148,14 @@ def dim_customers_incremental(t: Tables) -> DataFrame:
     for batch in (fact_orders(t).where(~late), fact_orders(t).where(late)):
         PB.update_dimension(batch, table, base, BUCKETS)
     return t.spark.table(table).drop(PB.BUCKET)
+
+
+def compacted_orders(t: Tables, target_bytes: int = 32 * 1024 * 1024) -> DataFrame:
+    """SNK9: a published table of orders by year, written in many small files, compacted and read back with its files' number."""
+    table, base = _published(t, "orders_by_year")
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.year("o_orderdate").alias("year"))
+    PB.publish_partitions(orders.repartition("o_custkey"), table, base, "year")
+    PB.compact(t.spark, table, base, "year", target_bytes)
+    crowded = PB.crowded_partitions(t.spark, table, "year", target_bytes).select("year", F.lit(True).alias("_crowded"))
+    out = t.spark.table(table).join(F.broadcast(crowded), "year", "left")  # one row a year at most
+    return out.select("o_orderkey", "o_custkey", "o_orderstatus", "year", F.coalesce("_crowded", F.lit(False)).alias("crowded"))

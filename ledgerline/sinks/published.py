@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import mutation as M
 from ledgerline.operators import warehouse as W
+from ledgerline.sinks import writers as WR
 
 BUCKET = "bucket"
 
@@ -119,3 +120,40 @@ def update_dimension(changes: DataFrame, table: str, base: str, buckets: int) ->
     else:
         state = W.merge_customer_changes(old.drop(BUCKET), placed)
     return publish_partitions(state.withColumn(BUCKET, bucket_of(["CustomerKey"], buckets)), table, base, BUCKET)
+
+
+def table_files(spark: SparkSession, table: str, partition_column: str) -> DataFrame:
+    """``partition_column``, ``file_path`` and ``file_size`` of the files that hold rows of a published table.
+
+    The scan reads no column, only the files' footers.
+    """
+    return spark.table(table).select(partition_column, "_metadata.file_path", "_metadata.file_size").distinct()
+
+
+def crowded_partitions(spark: SparkSession, table: str, partition_column: str, target_bytes: int) -> DataFrame:
+    """Partitions with at least twice the files that their bytes need (``n_files``, ``n_bytes``, ``needed``)."""
+    per = table_files(spark, table, partition_column).groupBy(partition_column).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("file_size").alias("n_bytes"))
+    needed = F.ceil(F.col("n_bytes") / F.lit(target_bytes))
+    return per.withColumn("needed", needed).where(F.col("n_files") >= 2 * F.col("needed")).where(F.col("n_files") > 1)
+
+
+def compact(spark: SparkSession, table: str, base: str, partition_column: str, target_bytes: int) -> list:
+    """SNK9 for a published table: crowded partitions are written again in files of about ``target_bytes``.
+
+    Readers see a partition's old or new files, never both (see
+    :func:`publish_partitions`); the others keep theirs.  Rows go to tasks by
+    Spark's rebalancing, which merges small and splits large partitions by the
+    bytes really shuffled, so that a hot partition isn't one task's.  Returns the
+    partitions rewritten; a second run finds none.
+    """
+    # Partition values, bounded by the catalog's list of them.
+    crowded = [r[0] for r in crowded_partitions(spark, table, partition_column, target_bytes).select(partition_column).collect()]
+    if not crowded:
+        return []
+    own = WR.sized_session(spark, **{"spark.sql.adaptive.enabled": "true",
+                              "spark.sql.adaptive.advisoryPartitionSizeInBytes": target_bytes})
+    rows = own.table(table).where(F.col(partition_column).isin(crowded))
+    done = publish_partitions(rows.hint("rebalance", F.col(partition_column)), table, base, partition_column)
+    spark.catalog.refreshTable(table)  # what this session knows of the files
+    return done

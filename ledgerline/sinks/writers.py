@@ -92,11 +92,35 @@ def write_split_json(df: DataFrame, path: str, split_col: str = "split_id", arra
     df.write.mode("overwrite").partitionBy(split_col).json(path)
 
 
+def sized_session(spark: SparkSession, **settings) -> SparkSession:
+    """A session like ``spark`` (catalog, cached data and context are shared) with other settings of its own."""
+    own = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.sources.partitionOverwriteMode"):
+        own.conf.set(key, spark.conf.get(key))
+    for key, value in settings.items():
+        own.conf.set(key, value)
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    return own
+
+
 def merge_files(spark: SparkSession, pattern: str, out_path: str, fmt: str = "json",
-                single_file: bool = False) -> None:
+                single_file: bool = False, target_bytes: int | None = None, schema=None) -> None:
     """SNK9 ``copyBehavior: MergeFiles``: many input files read as one dataset and
-    written once (one file only when asked, for small outputs)."""
-    df = spark.read.format(fmt).option("multiLine", fmt == "json").load(pattern)
+    written once (one file only when asked, for small outputs).
+
+    With ``target_bytes`` files are merged by size: the scan packs whole small
+    files into tasks of up to that many listed bytes (and cuts larger files, where
+    the format allows), and each task writes one file.  Nothing is shuffled, and
+    the files written are as many as the bytes need.  ``schema`` saves the pass
+    that infers it.
+    """
+    reading = spark
+    if target_bytes:
+        # Without a smallest number of tasks or a price for opening a file, bytes alone decide.
+        reading = sized_session(spark, **{"spark.sql.files.maxPartitionBytes": target_bytes, "spark.sql.files.openCostInBytes": 0,
+                                   "spark.sql.files.minPartitionNum": 1})
+    reader = reading.read.format(fmt).option("multiLine", fmt == "json")
+    df = (reader.schema(schema) if schema is not None else reader).load(pattern)
     (df.coalesce(1) if single_file else df).write.mode("overwrite").format(fmt).save(out_path)
 
 
