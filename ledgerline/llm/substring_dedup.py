@@ -12,11 +12,12 @@
    segments under the shard's anchors through it; other texts can't match it.
    Matching statistics of at least ``length`` words in a state with two or more
    occurrences (counting every copy) give a segment's repeated windows.
-4. The maximal spans of these windows go back to all copies of the segment, and
-   are taken out of the documents.
+4. The span of words that these windows cover, one a segment, goes back to all
+   copies of the segment and is taken out of the documents.
 
 Anchors under which very many distinct segments lie are split once more, window
-by window, by a hash of the whole window.
+by window, by a hash of the whole window; equal windows are found by their words.
+Copies of a segment are told by two 64-bit hashes, of its anchor and of all its words.
 """
 
 from __future__ import annotations
@@ -124,17 +125,6 @@ class SuffixAutomaton:
         return out
 
 
-def spans_of(starts: list[int], length: int) -> list[int]:
-    """from, to, from, to ... of the words that windows at ``starts`` (ascending) cover."""
-    out: list[int] = []
-    for s in starts:
-        if out and s <= out[-1]:
-            out[-1] = s + length
-        else:
-            out += [s, s + length]
-    return out
-
-
 def remove_repeats(docs: DataFrame, length: int = 35, id_col: str = "doc_id", text_col: str = "text",
                    keep: list[str] | None = None, untouched_as_is: bool = False) -> DataFrame:
     """One row per input row: id, n_words, n_removed, kept_text, and the columns ``keep``.
@@ -171,9 +161,11 @@ def remove_repeats(docs: DataFrame, length: int = 35, id_col: str = "doc_id", te
     wanted = reference.groupBy("_row").agg(F.collect_list(F.struct("anchor", "seg", "times", "start", "n", "crowded")).alias("_wanted"))
     texts = stored(rows.join(wanted, "_row").select("_text", "_wanted").mapInArrow(
         _fetch(length), "anchor long, seg long, part int, key long, window long, times long, words string, n int"), "reference")
-    # Windows of crowded anchors are counted across the segments that hold them.
-    split = texts.where("part >= 0").groupBy("key", "window").agg(F.sum("times").alias("times"), F.min("words").alias("words"), F.min("n").alias("n"))
-    pieces = texts.where("part < 0").select("key", "window", "times", "words", "n").unionByName(split)
+    # Windows of crowded anchors are counted across the segments that hold them, by their words; a window alone can't repeat.
+    windows = texts.where("part >= 0")
+    split = windows.groupBy("key", "window", F.col("words").alias("same")).agg(F.sum("times").alias("times"), F.min("n").alias("n")) \
+        .where("times > 1").withColumn("words", F.col("same"))
+    pieces = texts.where("part < 0").select("key", "window", F.lit("").alias("same"), "times", "n", "words").unionByName(split)
     total = pieces.agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-total // SHARD_WORDS))
 
@@ -184,20 +176,23 @@ def remove_repeats(docs: DataFrame, length: int = 35, id_col: str = "doc_id", te
         for words, times in zip(seqs, frame["times"]):
             automaton.add(words, times)
         automaton.finish()
-        spans = [spans_of(automaton.repeated(words, length), length) for words in seqs]
-        out = pd.DataFrame({"key": frame["key"], "window": frame["window"], "spans": spans})
-        return out[out["spans"].map(len) > 0]
+        starts = [automaton.repeated(words, length) for words in seqs]
+        hit = [bool(x) for x in starts]
+        out = frame.loc[hit, ["key", "window", "same"]]
+        return out.assign(lo=[x[0] for x in starts if x], hi=[x[-1] + length for x in starts if x])
 
     matched = pieces.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))).groupBy("shard") \
-        .applyInPandas(stream, "key long, window long, spans array<int>")
+        .applyInPandas(stream, "key long, window long, same string, lo int, hi int")
     matched = stored(matched, "repeated")
-    # Back from windows of crowded anchors to the segments they are part of.
-    whole = texts.where("part < 0").select("anchor", "seg", "key", "window", F.lit(0).alias("part")).unionByName(
-        texts.where("part >= 0").select("anchor", "seg", "key", "window", "part"))
-    of_segment = whole.join(matched, ["key", "window"]).select(
-        "anchor", "seg", F.transform("spans", lambda x: x + F.col("part")).alias("spans"))
-    places = found.join(of_segment, ["anchor", "seg"]).select("_row", F.transform("spans", lambda x: x + F.col("start")).alias("spans"))
-    removed = places.groupBy("_row").agg(F.flatten(F.collect_list("spans")).alias("_spans"))  # bounded by the document
+    # Back to the segments that the windows are part of.  All windows of a segment hold its anchor, so any two of them
+    # overlap, and the words that its repeated ones cover are one span.
+    whole = texts.where("part < 0").select("anchor", "seg", "key", "window", F.lit("").alias("same"), F.lit(0).alias("part")).unionByName(
+        windows.select("anchor", "seg", "key", "window", F.col("words").alias("same"), "part"))
+    of_segment = whole.join(matched, ["key", "window", "same"]).groupBy("anchor", "seg").agg(
+        F.min(F.col("lo") + F.col("part")).alias("lo"), F.max(F.col("hi") + F.col("part")).alias("hi"))
+    places = found.join(of_segment, ["anchor", "seg"]).select(
+        "_row", F.array(F.col("lo") + F.col("start"), F.col("hi") + F.col("start")).alias("span"))
+    removed = places.groupBy("_row").agg(F.flatten(F.collect_list("span")).alias("_spans"))  # bounded by the document
 
     id_type = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, id_type), T.StructField("n_words", T.LongType()),
