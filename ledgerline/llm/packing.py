@@ -10,20 +10,24 @@ Only the histogram of piece lengths matters for the plan, and it has at most
    sequences at a time.
 
 The plan is a list of patterns with multiplicities.  Each place in a pattern
-claims a range of ranks among the pieces of its length; Spark ranks the pieces
-(per length and salt, so that a hot length spreads) and joins them to the ranges.
+claims a range of ranks among the pieces of its length.  Spark ranks the pieces
+(range partitions of length and keys, with prefix sums of their counts, so that a
+hot length spreads), and each piece finds its place by a binary search.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import stored
+from ledgerline.llm.common import shuffle_partitions, stored
 
 
 def plan_patterns(counts: dict[int, int], limit: int) -> list[tuple[tuple[int, ...], int]]:
@@ -43,6 +47,11 @@ def plan_patterns(counts: dict[int, int], limit: int) -> list[tuple[tuple[int, .
     def alive() -> list[int]:
         return sorted(k for k, v in left.items() if v > 0)
 
+    def pairs_of(total: int) -> list[tuple[int, int]]:
+        """Pairs with this sum; those with a length that is used up are taken out for good."""
+        pairs[total] = [p for p in pairs.get(total, ()) if left[p[0]] and left[p[1]]]
+        return pairs[total]
+
     use((limit,))
     for a in reversed(alive()):  # singles
         if left[a] and left[limit - a]:
@@ -56,7 +65,7 @@ def plan_patterns(counts: dict[int, int], limit: int) -> list[tuple[tuple[int, .
                 break
             pairs[b + c].append((c, b))
     for a in reversed(kinds):
-        for b, c in sorted(pairs.get(limit - a, ()), reverse=True):
+        for b, c in sorted(pairs_of(limit - a), reverse=True):
             if not left[a]:
                 break
             use((a, b, c))
@@ -68,7 +77,7 @@ def plan_patterns(counts: dict[int, int], limit: int) -> list[tuple[tuple[int, .
             if not left[a]:
                 break
             if left[b]:
-                for c, d in pairs.get(gap - b, ()):
+                for c, d in pairs_of(gap - b):
                     if not left[a] or not left[b]:
                         break
                     if c <= b and left[c] and left[d]:
@@ -109,50 +118,67 @@ def plan_patterns(counts: dict[int, int], limit: int) -> list[tuple[tuple[int, .
     return patterns + [x for held in open_at.values() for x in held]
 
 
-def _places(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int]]:
-    """(length, first rank, one past the last rank, first sequence, offset) of each place."""
-    out, taken, sequence = [], Counter(), 0
-    for lengths, times in patterns:
-        offset = 0
-        for a in lengths:
-            out.append((a, taken[a], taken[a] + times, sequence, offset))
-            taken[a] += times
-            offset += a
-        sequence += times
-    return out
+class Places:
+    """Of each length: the first rank of every place, ascending, with its first sequence and its offset."""
+
+    def __init__(self, patterns: list[tuple[tuple[int, ...], int]]):
+        held: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        taken, sequence = Counter(), 0
+        for lengths, times in patterns:
+            offset = 0
+            for a in lengths:
+                held[a].append((taken[a], sequence, offset))
+                taken[a] += times
+                offset += a
+            sequence += times
+        self.of = {a: np.array(rows, np.int64).T for a, rows in held.items()}
+
+    def find(self, length: int, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sequence, offset) of the pieces of one length with these ranks."""
+        first, sequence, offset = self.of[length]
+        at = np.searchsorted(first, ranks, side="right") - 1
+        return sequence[at] + ranks - first[at], offset[at]
 
 
-def pack(pieces: DataFrame, limit: int, keys: list[str], length_col: str = "length", salts: int = 32) -> DataFrame:
+def pack(pieces: DataFrame, limit: int, keys: list[str], length_col: str = "length", partitions: int | None = None) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; every length must be from 1 to ``limit``.
 
-    ``keys`` order the pieces of one length; equal keys are interchangeable.  An
-    empty table gives an empty result.  Pieces of null length or out of range
-    make the job fail, as no sequence can hold them.
+    ``keys`` order the pieces of one length; equal keys are interchangeable, and
+    only such pieces can't be spread over ranges.  An empty table gives an empty
+    result.  Pieces of null length or out of range make the job fail, as no
+    sequence can hold them.  Other columns are handed on, whatever their names.
     """
     spark = pieces.sparkSession
     bad = F.raise_error(F.lit("a piece's length is null or out of range")).cast("long")
     fit = F.when(F.col(length_col).between(1, limit), F.col(length_col).cast("long")).otherwise(bad)
-    dealt = pieces.withColumn("_l", fit).withColumn("_s", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
-    held = dealt.groupBy("_l", "_s").count().collect()  # limit x salts rows at most
+    rows = pieces.select(F.struct(*[F.col(f"`{c}`") for c in pieces.columns]).alias("row"), fit.alias("length"))
+    order = [F.col("row").getField(k) for k in keys]
+    # Ranges of (length, keys): a hot length takes many of them.  The partition number is written with the row.
+    ranged = stored(rows.repartitionByRange(partitions or shuffle_partitions(spark), "length", *order)
+                    .withColumn("part", F.spark_partition_id()), "piece-ranges")
+    held = ranged.groupBy("length", "part").count().collect()  # no more rows than partitions and lengths together
     counts, before = Counter(), []
-    for r in sorted(held, key=lambda r: (r["_l"], r["_s"])):
-        before.append((r["_l"], r["_s"], counts[r["_l"]]))
-        counts[r["_l"]] += r["count"]
-    place_rows = _places(plan_patterns(counts, limit))
-    longs = lambda *names: T.StructType([T.StructField(n, T.LongType()) for n in names])
-    offsets = F.broadcast(spark.createDataFrame(before, longs("_l", "_s", "_before")).withColumn("_s", F.col("_s").cast("int")))
-    w = Window.partitionBy("_l", "_s").orderBy(*keys)
-    ranked = dealt.join(offsets, ["_l", "_s"]).withColumn("_rank", F.col("_before") + F.row_number().over(w) - 1)
-    # One array of places a length, in order of rank; a piece takes the place whose range holds its rank.
-    by_length = defaultdict(list)
-    for a, lo, hi, seq, off in place_rows:
-        by_length[a].append((lo, hi, seq, off))
-    places = spark.createDataFrame(
-        [(a, *p) for a, ps in by_length.items() for p in ps], longs("_l", "_lo", "_hi", "_seq", "_off"))
-    hit = (F.col("_rank") >= F.col("_lo")) & (F.col("_rank") < F.col("_hi"))
-    return ranked.alias("r").join(F.broadcast(places).alias("p"), (F.col("r._l") == F.col("p._l")) & hit).select(
-        *[F.col(f"r.`{c}`") for c in pieces.columns],
-        (F.col("_seq") + F.col("_rank") - F.col("_lo")).alias("sequence_id"), F.col("_off").alias("offset"))
+    for r in sorted(held, key=lambda r: (r["length"], r["part"])):
+        before.append((r["length"], r["part"], counts[r["length"]]))
+        counts[r["length"]] += r["count"]
+    places = spark.sparkContext.broadcast(Places(plan_patterns(counts, limit)))  # the plan, made from ``limit`` counts
+
+    offsets = F.broadcast(spark.createDataFrame(before, "length long, part int, before long"))
+    w = Window.partitionBy("length", "part").orderBy(*order)
+    ranked = ranged.withColumn("nth", F.row_number().over(w)).join(offsets, ["length", "part"]).select(
+        "row", "length", (F.col("before") + F.col("nth") - 1).alias("rank"))
+    schema = T.StructType([ranked.schema["row"], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths, ranks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+            sequence, offset = np.empty_like(ranks), np.empty_like(ranks)
+            for a in np.unique(lengths):
+                at = lengths == a
+                sequence[at], offset[at] = places.value.find(int(a), ranks[at])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sequence), pa.array(offset)], names=schema.names)
+
+    return ranked.mapInArrow(place, schema).select("row.*", "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, limit: int = 2048, tokenizer: str | None = None, end_id: int = 0,

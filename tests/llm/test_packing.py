@@ -32,6 +32,58 @@ def test_exact_complements_are_found():
     assert sum(t for _, t in packing.plan_patterns({40: 3, 30: 3, 20: 3, 10: 3}, 100)) == 3
 
 
+def fewest(sizes, limit):
+    """The least number of sequences, by trying every place for every piece, longest first."""
+    sizes, best = sorted(sizes, reverse=True), len(sizes)
+
+    def go(i, room):
+        nonlocal best
+        if len(room) >= best:
+            return
+        if i == len(sizes):
+            best = len(room)
+            return
+        for k in {r: k for k, r in enumerate(room) if r >= sizes[i]}.values():
+            go(i + 1, [*room[:k], room[k] - sizes[i], *room[k + 1:]])
+        go(i + 1, [*room, limit - sizes[i]])
+    go(0, [])
+    return best
+
+
+def test_plan_against_the_optimum():
+    rng = random.Random(8)
+    more = 0
+    for _ in range(300):
+        limit = rng.choice([10, 20, 50])
+        sizes = [rng.randint(1, limit) for _ in range(rng.randint(1, 9))]
+        used = sum(t for _, t in packing.plan_patterns(Counter(sizes), limit))
+        assert fewest(sizes, limit) <= used <= fewest(sizes, limit) + 1
+        more += used > fewest(sizes, limit)
+    assert more <= 15
+
+
+def test_pieces_used_up_leave_the_plan_quickly():
+    import time
+    t = time.perf_counter()
+    packing.plan_patterns({k: 1000 + k * 7919 % 997 for k in range(1, 2049)}, 2048)
+    assert time.perf_counter() - t < 8
+
+
+def test_a_hot_length_is_dealt_over_ranges_and_names_may_clash(spark):
+    rows = spark.range(4000).selectExpr("id AS k", "CASE WHEN id % 10 = 0 THEN id % 7 + 1 ELSE 8 END AS length", "id AS part", "'x' AS row")
+    got = packing.pack(rows, 8, ["k"], partitions=6)
+    assert got.columns == ["k", "length", "part", "row", "sequence_id", "offset"]
+    got = got.collect()
+    assert sorted(r["k"] for r in got) == list(range(4000)) and all(r["part"] == r["k"] for r in got)
+    inside = defaultdict(list)
+    for r in got:
+        inside[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places in inside.values():
+        assert [o for o, _ in sorted(places)] == [sum(n for _, n in sorted(places)[:i]) for i in range(len(places))]
+        assert sum(n for _, n in places) <= 8
+    assert len(inside) <= 3600 + -(-sum(r["length"] for r in got if r["k"] % 10 == 0) // 8) + 1
+
+
 @pytest.mark.parametrize("edge", [True, False])
 def test_pieces_cover_the_librarys_ids(spark, edge):
     rows = EDGE + [(20, "x <|endoftext|> y"), (21, "  two  spaces \n \n\t z  ")] if edge else texts(spark)
