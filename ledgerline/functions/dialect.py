@@ -31,20 +31,21 @@ def date_lit(value) -> Column:
     return F.expr(f"DATE '{value}'")
 
 
-def in_year(col, year: int) -> Column:
+def in_year(col, year: int | str) -> Column:
     """``YEAR(col) = year`` written as a half-open range (FLT8).
 
     A range on the raw column is pushed into the Parquet scan as min/max
-    row-group filters; ``year(col) = y`` is not.
+    row-group filters; ``year(col) = y`` is not.  A year given as text is
+    compared as the whole number it holds (FLT7), so the range stays pushable;
+    text that is none is an error, as in the dialect.
     """
-    c = _c(col)
-    return (c >= ntz(f"{year}-01-01 00:00:00")) & (c < ntz(f"{year + 1}-01-01 00:00:00"))
+    return in_years(col, year, year)
 
 
-def in_years(col, first: int, last: int) -> Column:
-    """``YEAR(col) BETWEEN first AND last`` as a pushable range (FLT3/FLT8)."""
+def in_years(col, first: int | str, last: int | str) -> Column:
+    """``YEAR(col) BETWEEN first AND last`` as a pushable range (FLT3/FLT7/FLT8)."""
     c = _c(col)
-    return (c >= ntz(f"{first}-01-01 00:00:00")) & (c < ntz(f"{last + 1}-01-01 00:00:00"))
+    return (c >= ntz(f"{int(first):04d}-01-01 00:00:00")) & (c < ntz(f"{int(last) + 1:04d}-01-01 00:00:00"))
 
 
 def datediff_days(start, end) -> Column:

@@ -115,3 +115,13 @@ def test_in_year_matches_year_function(spark, year):
     df = spark.createDataFrame(rows, "t timestamp_ntz")
     assert [r[0] for r in df.select(D.in_year("t", year)).collect()] == \
         [r[0] for r in df.select(F.year("t") == year).collect()]
+
+
+def test_a_year_given_as_text_is_compared_as_a_number(spark):
+    rows = spark.sql("SELECT TIMESTAMP_NTZ '2012-01-01 00:00:00' + make_interval(0, n) AS ts FROM (SELECT explode(sequence(0, 30)) AS n)")
+    for year in ("2013", " 2013 ", 2013):
+        want = rows.where(F.expr(f"year(ts) = '{year}'")).collect()
+        assert rows.where(D.in_year("ts", year)).collect() == want and len(want) == 12
+    assert rows.where(D.in_years("ts", "2012", "2013")).count() == rows.where("year(ts) BETWEEN 2012 AND 2013").count()
+    with pytest.raises(ValueError):
+        D.in_year("ts", "next")
