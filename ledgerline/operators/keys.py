@@ -78,12 +78,15 @@ def with_key_index(df: DataFrame, key_cols: Sequence[str], id_col: str = "row_in
     Only the keys are sorted and checkpointed; the rows meet their ids in a join
     on the key (whose shuffle no hot key can skew, as a key has one row).  Two
     rows with one key are an error, raised when the ids are built.
+    Both sides have as many rows as ``df``, so the join is always a merge join:
+    Spark's size for either follows the compressed files, and by it millions of
+    rows would pass for a table small enough to broadcast.
     """
     once = F.when(F.col("_n") == 1, F.lit(True)).otherwise(
         F.raise_error(F.concat(F.lit(f"two rows with one key ({', '.join(key_cols)}): "),
                                F.to_json(F.struct(*[F.col(f"`{k}`") for k in key_cols])))).cast("boolean"))
     keys = df.groupBy(*[F.col(f"`{k}`") for k in key_cols]).agg(F.count(F.lit(1)).alias("_n")).where(once).drop("_n")
-    return attach_ids(df, with_row_index(keys, key_cols, id_col, base), key_cols, id_col)
+    return attach_ids(df, with_row_index(keys, key_cols, id_col, base).hint("merge"), key_cols, id_col)
 
 
 def new_ids(ledger: DataFrame | None, df: DataFrame, key_cols: Sequence[str], id_col: str = "id",
