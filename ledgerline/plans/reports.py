@@ -177,10 +177,16 @@ def avg_processing_days_by_month(t: Tables) -> DataFrame:
 
 
 def _purchased_sold(t: Tables, year: int | None):
+    """(purchased, sold) lines of the year's orders: item and quantity.
+
+    The orders' keys grow with the lines and compress to about a byte each, so
+    that millions of them pass for a small table by their files' size: merge
+    joins, here and with the items, keep them out of the driver.
+    """
     o = t.orders
     if year is not None:
         o = o.where(D.in_year("o_orderdate", year))
-    o = o.select("o_orderkey")
+    o = o.select("o_orderkey").hint("merge")
 
     def side(status):
         return (R.lines(t, status).join(o, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -207,7 +213,7 @@ def purchased_more_than_sold(t: Tables, year: int = YEARS[2015], fan_out: bool =
     """
     purchased, sold = _purchased_sold(t, year)
     pairs = A.fanout_pair_sums(purchased, sold, "item", "qty", "qty") if fan_out else _plain_pair_sums(purchased, sold)
-    j = pairs.join(t.part, F.col("item") == F.col("p_partkey"))
+    j = pairs.join(t.part.hint("merge"), F.col("item") == F.col("p_partkey"))
     return (j.groupBy(F.col("p_name").alias("stock_item_name"))
             .agg(F.sum("a_total").alias("_p"), F.sum("b_total").alias("_s"))
             .where(F.col("_p") > F.col("_s")).select("stock_item_name"))
@@ -268,8 +274,8 @@ def purchased_sold_by_group(t: Tables, fan_out: bool = True) -> DataFrame:
     """Q13: purchased / sold / remaining per stock group over the fan-out join (S6; ``fan_out=False``: plain sums)."""
     purchased, sold = _purchased_sold(t, None)
     pairs = A.fanout_pair_sums(purchased, sold, "item", "qty", "qty") if fan_out else _plain_pair_sums(purchased, sold)
-    pairs = pairs.join(t.part.select("p_partkey"), F.col("item") == F.col("p_partkey"))
-    j = pairs.join(R.stock_groups(t), F.col("item") == F.col("g_partkey"))
+    pairs = pairs.join(t.part.select("p_partkey").hint("merge"), F.col("item") == F.col("p_partkey"))
+    j = pairs.join(R.stock_groups(t).hint("merge"), F.col("item") == F.col("g_partkey"))
     return j.groupBy(F.col("group_name")).agg(
         F.sum("a_total").cast("bigint").alias("total_purchased"),
         F.sum("b_total").cast("bigint").alias("total_sold"),
@@ -366,8 +372,8 @@ def _group_year_sales(t: Tables, first: int, last: int) -> DataFrame:
     per_item = (o.join(R.lines(t, R.SOLD), F.col("o_orderkey") == F.col("l_orderkey"))
                 .groupBy("l_partkey", F.year("o_orderdate").alias("transaction_year"))
                 .agg(F.sum(R.quantity()).alias("qty")))
-    j = (per_item.join(t.part.select("p_partkey"), F.col("l_partkey") == F.col("p_partkey"))
-         .join(R.stock_groups(t), F.col("p_partkey") == F.col("g_partkey")))
+    j = (per_item.join(t.part.select("p_partkey").hint("merge"), F.col("l_partkey") == F.col("p_partkey"))
+         .join(R.stock_groups(t).hint("merge"), F.col("p_partkey") == F.col("g_partkey")))
     return j.select("group_name", "transaction_year", "qty")
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators.keys import new_ids, with_key_index, with_row_index
-from ledgerline.plans import loads
+from ledgerline.plans import loads, reports
 from ledgerline.sinks import writers as WR
 from ledgerline.sources.tables import Tables
 
@@ -61,3 +61,40 @@ def test_ids_after_a_half_written_append(spark, tmp_dir):
     kept = dict(rows(spark.read.parquet(path)))
     got = dict(rows(WR.stable_ids(df, ["k"], path)))
     assert len(got) == len(set(got.values())) == 100 and {k: got[k] for k in kept} == kept
+
+
+def narrow_tables(spark, base):
+    """Orders, lines and parts whose keys compress to next to nothing, as consecutive ones do."""
+    n = 300
+    spark.range(n).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"), F.lit("O").alias("o_orderstatus"), F.lit(10.5).alias("o_totalprice"),
+        F.expr("timestamp_ntz'1997-01-01 00:00:00'").alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority")).write.parquet(f"{base}/orders.parquet")
+    spark.range(2 * n).select(
+        (F.col("id") % n).alias("l_orderkey"), (F.col("id") % 5).alias("l_partkey"), F.lit(2.0).alias("l_quantity"),
+        F.when(F.col("id") < n, "O").otherwise("F").alias("l_linestatus")).write.parquet(f"{base}/lineitem.parquet")
+    spark.range(5).select(F.col("id").alias("p_partkey"), F.lit("n").alias("p_name"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type")) \
+        .write.parquet(f"{base}/part.parquet")
+    return Tables(spark, base)
+
+
+def broadcast_by_file_size(df, *keys):
+    """Joins on ``keys`` that the plan broadcasts before anything is measured."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return [line for line in plan.splitlines() if "BroadcastHashJoin" in line and any(k in line for k in keys)]
+
+
+def test_json_loads_broadcast_no_rows(spark, tmp_dir):
+    """However small the files are, neither the shredded rows nor their ids go through the driver."""
+    t = narrow_tables(spark, tmp_dir)
+    for load in (loads.json_shred_load, loads.json_shred_purchase_orders):
+        df = load(t)
+        assert not broadcast_by_file_size(df, "doc_id")
+        assert df.count() == 294
+
+
+def test_group_sums_broadcast_no_keys(spark, tmp_dir):
+    t = narrow_tables(spark, tmp_dir)
+    df = reports.purchased_sold_by_group(t)
+    for each in (df, reports.purchased_more_than_sold(t)):
+        assert not broadcast_by_file_size(each, "l_orderkey", "p_partkey", "g_partkey")
+    assert {tuple(r) for r in df.collect()} == {(g, 5 * 60 * 60 * 2, 5 * 60 * 60 * 2, 0) for g in "bt"}
