@@ -5,15 +5,18 @@
    each other and share an anchor form a segment, so a document becomes some
    overlapping segments, each window in exactly one, and equal windows always
    lie under equal anchors.
-2. Equal segments are counted.  Segments under an anchor that occurs only once
+2. Equal segments are counted, those of one batch of documents in the task that
+   cuts them: they stay one row with a list of places, so a text with very many
+   copies has a row a batch and not one a copy.  Segments under an anchor that occurs only once
    in the corpus are done with.  Of the others each distinct text is fetched
    once: this is the reference, dealt by anchor into shards of bounded size.
 3. A shard goes to the task that builds its suffix automaton and streams the
    segments under the shard's anchors through it; other texts can't match it.
    Matching statistics of at least ``length`` words in a state with two or more
    occurrences (counting every copy) give a segment's repeated windows.
-4. The span of words that these windows cover, one a segment, goes back to all
-   copies of the segment and is taken out of the documents.
+4. The span of words that these windows cover, one a segment, goes back to the
+   batches that hold the segment, there to all its places, and is taken out of the
+   documents.
 
 Anchors under which very many distinct segments lie are split once more, window
 by window, by a hash of the whole window; equal windows are found by their words.
@@ -27,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +46,8 @@ SHARD_WORDS = 60_000
 #: Distinct segments of one anchor, beyond which it is split by window.
 CROWDED = 1_000
 
-SEGMENTS = T.StructType([T.StructField(n, t) for n, t in (
-    ("anchor", T.LongType()), ("seg", T.LongType()), ("_row", T.LongType()), ("start", T.IntegerType()), ("n", T.IntegerType()))])
+#: The equal segments of one batch of documents: the first one's place, then all places.
+SEGMENTS = "anchor long, seg long, batch long, times long, _row long, start int, n int, rows array<long>, starts array<int>"
 
 
 def cut_segments(words: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -61,6 +65,18 @@ def cut_segments(words: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
     return grams[at[first]].view(np.int64), range_hashes(prefix, inverse, first, size).view(np.int64), first, size
 
 
+def packed(parts: list[np.ndarray], batch: int) -> pa.RecordBatch:
+    """One row (see ``SEGMENTS``) for the equal segments among anchors, segment hashes, rows, first words and sizes."""
+    order = np.lexsort((parts[3], parts[2], parts[1], parts[0]))
+    anchor, seg, row, start, size = (p[order] for p in parts)
+    first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (seg[1:] != seg[:-1])]))
+    ends = np.concatenate([first, [len(row)]])
+    lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x)) for x in (row, start)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x) for x in (anchor[first], seg[first], np.full(len(first), batch), np.diff(ends), row[first], start[first], size[first])] + lists,
+        names=["anchor", "seg", "batch", "times", "_row", "start", "n", "rows", "starts"])
+
+
 class SuffixAutomaton:
     """Of several word sequences, with the number of occurrences of each state's words."""
 
@@ -143,16 +159,17 @@ def remove_repeats(docs: DataFrame, length: int = 35, id_col: str = "doc_id", te
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts: list = [[], [], [], [], []]
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids = np.array(batch.column(0).to_pylist(), np.int64)
+            for row, text in zip(ids, batch.column(1)):
                 anchor, seg, first, size = cut_segments(word_hashes.of(split_words(text.as_py())), length)
                 for to, part in zip(parts, (anchor, seg, np.full(len(first), row), first, size)):
                     to.append(part)
-            if parts[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(p).astype(t)) for p, t in zip(parts, ("i8", "i8", "i8", "i4", "i4"))], names=SEGMENTS.names)
+            if any(map(len, parts[0])):
+                yield packed([np.concatenate(p).astype(t) for p, t in zip(parts, ("i8", "i8", "i8", "i4", "i4"))],
+                             xxhash.xxh64_intdigest(ids.tobytes()) >> 1)
 
     found = stored(rows.select("_row", "_text").mapInArrow(segments, SEGMENTS), "segments")
-    kinds = found.groupBy("anchor", "seg").agg(F.count("*").alias("times"), F.min(F.struct("_row", "start", "n")).alias("at"))
+    kinds = found.groupBy("anchor", "seg").agg(F.sum("times").alias("times"), F.min(F.struct("_row", "start", "n")).alias("at"))
     anchors = kinds.groupBy("anchor").agg(F.sum("times").alias("_all"), F.count("*").alias("_kinds")).where(F.col("_all") > 1)
     reference = stored(
         kinds.join(anchors, "anchor").select("anchor", "seg", "times", "at.*", (F.col("_kinds") > CROWDED).alias("crowded")), "reference-places")
@@ -190,9 +207,9 @@ def remove_repeats(docs: DataFrame, length: int = 35, id_col: str = "doc_id", te
         windows.select("anchor", "seg", "key", "window", F.col("words").alias("same"), "part"))
     of_segment = whole.join(matched, ["key", "window", "same"]).groupBy("anchor", "seg").agg(
         F.min(F.col("lo") + F.col("part")).alias("lo"), F.max(F.col("hi") + F.col("part")).alias("hi"))
-    places = found.join(of_segment, ["anchor", "seg"]).select(
-        "_row", F.array(F.col("lo") + F.col("start"), F.col("hi") + F.col("start")).alias("span"))
-    removed = places.groupBy("_row").agg(F.flatten(F.collect_list("span")).alias("_spans"))  # bounded by the document
+    hits = found.join(of_segment, ["anchor", "seg"]).groupBy("batch").agg(
+        F.collect_list(F.struct("rows", "starts", "lo", "hi")).alias("_hits"))  # bounded by the batch of documents
+    removed = hits.select("_hits").mapInArrow(_spans, "_row long, _spans array<int>")
 
     id_type = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, id_type), T.StructField("n_words", T.LongType()),
@@ -231,6 +248,23 @@ def _fetch(length: int):
     return run
 
 
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow on (_hits), each the repeated segments of one batch of documents: the spans of each document."""
+    for batch in batches:
+        rows, starts, lo, hi = batch.column(0).flatten().flatten()
+        if not len(rows):
+            continue
+        places = rows.value_lengths().to_numpy(zero_copy_only=False)
+        row, start = rows.flatten().to_numpy(), starts.flatten().to_numpy()
+        order = np.argsort(row, kind="stable")
+        spans = np.stack([np.repeat(x.to_numpy(), places) + start for x in (lo, hi)], axis=1)[order].astype(np.int32)
+        row = row[order]
+        first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        ends = 2 * np.concatenate([first, [len(row)]])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(row[first]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(spans.ravel()))], names=["_row", "_spans"])
+
+
 def _without(schema: T.StructType, as_is: bool):
     """For mapInArrow on (_id, _text, _spans): what is left of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -158,6 +159,26 @@ def test_repeats_against_brute_force(spark, monkeypatch, case, length, crowded):
     assert bag(got) == bag(brute.without_repeats(rows, length))
 
 
+def test_copies_of_a_segment_are_one_row_a_batch():
+    """However often a line is repeated, what is joined has one row for it in each batch of documents."""
+    words = np.arange(40, dtype=np.uint64)
+    parts = [[], [], [], [], []]
+    for row in (9, 4):
+        for k, of in enumerate(np.tile(words, 25).reshape(25, 40)):
+            anchor, seg, first, size = substring_dedup.cut_segments(of, 35)
+            for to, part in zip(parts, (anchor, seg, np.full(len(first), row), first + 40 * k, size)):
+                to.append(part)
+    rows = substring_dedup.packed([np.concatenate(p).astype(t) for p, t in zip(parts, ("i8", "i8", "i8", "i4", "i4"))], 7).to_pylist()
+    kinds = len(substring_dedup.cut_segments(words, 35)[0])
+    assert len(rows) == kinds and {r["times"] for r in rows} == {50} and {r["_row"] for r in rows} == {4}
+    assert all(r["rows"] == [4] * 25 + [9] * 25 and r["starts"] == [r["start"] + 40 * k for k in range(25)] * 2 for r in rows)
+    hits = [[{"rows": r["rows"], "starts": r["starts"], "lo": 0, "hi": r["n"]} for r in rows], []]
+    kind = pa.list_(pa.struct([("rows", pa.list_(pa.int64())), ("starts", pa.list_(pa.int32())), ("lo", pa.int32()), ("hi", pa.int32())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([*hits, hits[0]], kind)[:2]], names=["_hits"])
+    spans = {r["_row"]: r["_spans"] for b in substring_dedup._spans([batch]) for r in b.to_pylist()}
+    assert set(spans) == {4, 9} and all(len(x) == 50 * kinds and (min(x), max(x)) == (0, 1000) for x in spans.values())
+
+
 def test_columns_to_keep(spark):
     got = substring_dedup.remove_repeats(edge_docs(spark), keep=["score", "host"])
     assert got.columns == ["doc_id", "n_words", "n_removed", "kept_text", "score", "host"]
