@@ -217,12 +217,12 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
             if kind:
                 at_end = unseen & (following == END)
                 score = score + np.where(at_end, np.log10(texts + 1), 0)
-                rest = np.flatnonzero(unseen & ~at_end)
-                if len(rest):
-                    pick = np.isin(pair, rest)
+                rest = unseen & ~at_end
+                if rest.any():
+                    pick = rest[pair]
                     for m in _asked(following[pair[pick]], None, docs_of[pick].astype(np.int64), 3, batch, shards, copies, wide):
                         out.append((m[2], 3, m[0] * 65536 + m[1], m[4]))
-            held = np.unique(docs_of)
+            held = np.flatnonzero(np.bincount(docs_of, minlength=n))
             sums = [np.bincount(docs_of, w, n)[held] for w in (score[pair], base[first], known[first])]
             out.append((batch, 1, 0, _join(held.astype("<u2"), sums[0].astype("<f4"), sums[1], sums[2].astype("<u4"))))
         return pd.DataFrame(out, columns=["batch", "kind", "place", "data"])
@@ -242,7 +242,7 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
         for batch, data in zip(left["batch"], left["data"]):
             words, runs, docs_of = _split(data, "<u8", "<u4", "<u2")
             counts = trie.counts(trie.words.find(words)) if trie else np.zeros(len(words), np.int64)
-            held_docs = np.unique(docs_of)
+            held_docs = np.flatnonzero(np.bincount(docs_of))
             sums = np.bincount(docs_of, np.repeat(np.log10(counts + 1), runs))[held_docs]
             none = np.zeros(len(held_docs))
             out.append((batch, 1, 0, _join(held_docs.astype("<u2"), sums.astype("<f4"), none, none.astype("<u4"))))
@@ -303,7 +303,7 @@ def _asked(b: np.ndarray, c: np.ndarray | None, d: np.ndarray, kind: int, batch:
         short = kind == 0 and wide <= 4  # then the bits themselves fit into the key
         nexts, c_rank = (c, None) if short else np.unique(c, return_inverse=True)
         key = (rank.astype(np.uint64) << np.uint64(32)) | (nexts if short else c_rank.astype(np.uint64))
-        by_doc = np.lexsort((d, key))
+        by_doc = np.argsort(key)  # the order of a pair's documents doesn't matter
         key = key[by_doc]
         pair_start = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
         lengths = np.diff(np.concatenate([pair_start, [len(key)]]))
