@@ -160,8 +160,12 @@ def _picked(found: DataFrame, fanout: int, *more: str) -> DataFrame:
 
 
 def _found(requests: DataFrame, level: DataFrame) -> DataFrame:
-    """Requests with the children of their digest; equal digests have equal children."""
-    return requests.join(level.select("digest", "children").dropDuplicates(["digest"]), "digest")
+    """Requests with the children of their digest; equal digests have equal children.
+
+    Spark takes exploded requests to be as large as the records they come from,
+    and would broadcast a level's worth of paths; all joins of the descent merge.
+    """
+    return requests.hint("merge").join(level.select("digest", "children").dropDuplicates(["digest"]), "digest")
 
 
 PATH = "array<struct<digit: int, others: array<string>>>"
@@ -202,7 +206,7 @@ def proofs(tree: Manifest, requests: DataFrame | None = None) -> DataFrame:
     if requests is not None:
         groups = groups.join(runs.select("g").distinct(), "g", "left_semi")
     entries = stored(open_.select(F.col("i").alias("g"), F.lit(0).cast("long").alias("i"), "digest", "path", F.col("digest").alias("subroot"))
-                     .join(groups, "g"), "merkle-entries")
+                     .hint("merge").join(groups, "g"), "merkle-entries")
 
     # Down the groups' trees, each entered at its own height.
     columns = ["g", "i", "digest", "path", "subroot"]
@@ -219,7 +223,7 @@ def proofs(tree: Manifest, requests: DataFrame | None = None) -> DataFrame:
     nodes = lone if found is None else lone.unionByName(found.select(*columns, "children"))
 
     digit = F.expr(f"cast(r.i % {fanout} as int)")
-    one = runs.join(nodes, ["g", "i"]).select(F.explode("asked").alias("r"), "children", "digest", "path", "subroot")
+    one = runs.join(nodes.hint("merge"), ["g", "i"]).select(F.explode("asked").alias("r"), "children", "digest", "path", "subroot")
     others = F.concat(F.slice("children", F.lit(1), digit), F.slice("children", digit + 2, F.lit(fanout)))
     path = F.when(F.col("children").isNull(), F.col("path")).otherwise(
         F.concat(F.array(F.struct(digit.alias("digit"), others.alias("others"))), F.col("path")))

@@ -84,6 +84,16 @@ def test_deep_and_wide_trees(spark, sources):
     assert sorted(got_rows(merkle.proofs(tree)), key=key) == sorted(brute(rows), key=key)
 
 
+def test_paths_are_not_broadcast(spark):
+    """However small Spark takes requests to be before they are exploded."""
+    rows = [(i, "t", "en", f"s{i % 40}", 1) for i in range(700)]
+    tree = merkle.manifest(spark.createDataFrame([(*r, *"ginlp") for r in rows], SCHEMA), FIELDS, fanout=4)
+    proved = merkle.proofs(tree)
+    assert sorted(got_rows(proved), key=key) == sorted(brute(rows, 4), key=key)
+    assert len(tree.levels) > 1 and len(tree.top_levels) > 1
+    assert "Broadcast" not in proved._jdf.queryExecution().executedPlan().toString()
+
+
 def test_proofs_of_some_leaves(spark):
     docs = spark.createDataFrame([(*r, *"ginlp") for r in ROWS], SCHEMA)
     tree = merkle.manifest(docs, FIELDS, fanout=2)
