@@ -19,6 +19,11 @@ def _pack(values: np.ndarray, bits: int) -> np.ndarray:
     words = np.zeros((len(values) * bits + 63) // 64 + 1, np.uint64)
     if not bits or not len(values):
         return words
+    if len(values) > AT_ONCE:  # as many values as bits in a word begin with a word
+        for k in range(0, len(values), AT_ONCE):
+            part = _pack(values[k: k + AT_ONCE], bits)[:-1]
+            words[k * bits // 64: k * bits // 64 + len(part)] = part
+        return words
     at = np.arange(len(values), dtype=np.uint64) * np.uint64(bits)
     word, off = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
     first = np.concatenate([[0], np.flatnonzero(word[1:] != word[:-1]) + 1])
@@ -61,10 +66,11 @@ class EliasFano:
         n = len(values)
         bits = max(0, (universe // max(n, 1)).bit_length() - 1)
         low = _pack(values & np.uint64((1 << bits) - 1), bits)
-        tops = (values >> np.uint64(bits)).astype(np.int64)
+        places = (values >> np.uint64(bits)).astype(np.int64)
+        places += np.arange(n)
         size = n + ((universe - 1) >> bits) + 1
         flags = np.zeros(-(-size // (64 * BLOCK)) * 64 * BLOCK, np.uint8)
-        flags[tops + np.arange(n)] = 1
+        flags[places] = 1
         high = np.packbits(flags, bitorder="little").view(np.uint64)
         in_block = np.bitwise_count(high.reshape(-1, BLOCK)).sum(axis=1, dtype=np.uint64)
         return cls(n, bits, low, high, np.concatenate([np.zeros(1, np.uint64), np.cumsum(in_block, dtype=np.uint64)]))
@@ -136,6 +142,20 @@ def _codes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.bincount(code, values, 256) / np.maximum(n, 1)).astype(np.float32), code
 
 
+def summed(context: np.ndarray, successor: np.ndarray, times: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct contexts ascending, successors of each, those ascending in each, how often each pair occurs)."""
+    words, at = np.unique(context, return_inverse=True)
+    key = (at.astype(np.uint64) << np.uint64(bits)) | successor
+    del at
+    by = np.argsort(key)
+    key = key[by]
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
+    pair = np.add.reduceat(times[by], starts) if len(key) else np.zeros(0, np.int64)
+    key = key[starts]
+    kinds = np.bincount((key >> np.uint64(bits)).astype(np.int64), minlength=len(words))
+    return words, kinds, key & np.uint64((1 << bits) - 1), pair
+
+
 class Trie:
     """Levels of one shard: words with counts, pointers and back-off; their successors with probabilities.
 
@@ -154,21 +174,22 @@ class Trie:
     @classmethod
     def build(cls, context: np.ndarray, successor: np.ndarray, times: np.ndarray, bits: int = 24) -> Trie:
         """From context hashes, ``bits`` low bits of the successors' hashes, and how often the pair occurs."""
-        words, at = np.unique(context, return_inverse=True)
+        return cls.of_sorted(*summed(context, successor, times, bits), bits)
+
+    @classmethod
+    def of_sorted(cls, words: np.ndarray, kinds: np.ndarray, low: np.ndarray, pair: np.ndarray, bits: int = 24) -> Trie:
+        """From what :func:`summed` gives, also of one range of contexts after another."""
         if len(words) << bits >= 1 << 64:
             raise ValueError("too many words in one shard")
-        key, back = np.unique((at.astype(np.uint64) << np.uint64(bits)) | successor, return_inverse=True)
-        pair = np.bincount(back, times, len(key))
-        of = (key >> np.uint64(bits)).astype(np.int64)
+        of = np.repeat(np.arange(len(words), dtype=np.uint32), kinds)
         total = np.bincount(of, pair, len(words))
-        kinds = np.bincount(of, minlength=len(words))
-        prob, prob_codes = _codes(np.log10((pair - DISCOUNT) / total[of])) if len(key) else _codes(np.zeros(0))
+        prob, prob_codes = _codes(np.log10((pair - DISCOUNT) / total[of])) if len(low) else _codes(np.zeros(0))
         backoff, backoff_codes = _codes(np.log10(DISCOUNT * kinds / total)) if len(words) else _codes(np.zeros(0))
         sums, ends = np.cumsum(total).astype(np.uint64), np.cumsum(kinds).astype(np.uint64)
-        low = key & np.uint64((1 << bits) - 1)
         # Each context has a successor, so the last of each range is there.
         bases = np.concatenate([np.zeros(1, np.uint64), np.cumsum(low[ends.astype(np.int64) - 1], dtype=np.uint64)])
         values = bases[of] + low
+        del of
         return cls(EliasFano.build(words, 1 << 64), EliasFano.build(sums, int(sums[-1]) + 1 if len(sums) else 1),
                    EliasFano.build(ends, int(ends[-1]) + 1 if len(ends) else 1),
                    EliasFano.build(values, int(values[-1]) + 1 if len(values) else 1), backoff, backoff_codes, prob, prob_codes)

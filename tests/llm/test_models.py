@@ -100,6 +100,38 @@ def test_language_model_against_brute_force(spark, monkeypatch, case):
         assert r["score"] == pytest.approx(score, rel=0.02, abs=0.03 * n)
 
 
+def test_shards_are_asked_in_one_round(spark, monkeypatch):
+    """No shard asks the others for what it doesn't have: such messages would grow with the square of the shards."""
+    frames, stored = [], ngram_lm.stored
+    monkeypatch.setattr(ngram_lm, "stored", lambda df, name: frames.append(df) or stored(df, name))
+    monkeypatch.setattr(ngram_lm, "SHARD_BYTES", 60_000)
+    frames.append(ngram_lm.score_documents(documents(spark), F.col("doc_id") % 7 != 2))
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in frames]
+    assert sum(p.count("FlatMapCoGroupsInPandas") for p in plans) == 1
+
+
+def test_a_word_that_two_batches_share_is_counted_once(spark, monkeypatch):
+    """Where a long text is cut, the last token of a batch is no context in it."""
+    monkeypatch.setattr(ngram_lm, "SHARD_BYTES", 100_000)
+    learnt = [(0, "a " * 2000), (1, "rare"), (2, "rare"), (3, "rare")]
+    n = ngram_lm.BATCH_TOKENS
+    long = [(10 + k, "a " * at + "rare " + "a " * (n + 5 - at)) for k, at in enumerate((n - 4, n - 3, n - 2, n - 1, 1000))]
+    df = spark.createDataFrame(learnt + long, "doc_id long, text string").repartition(4)
+    *cut, whole = [r["score"] for r in ngram_lm.score_documents(df, F.col("doc_id") < 10).where("doc_id >= 10").orderBy("doc_id").collect()]
+    assert cut == pytest.approx([whole] * 4, abs=0.01)
+
+
+def test_counts_that_are_summed_piece_by_piece(spark, monkeypatch):
+    """A shard never holds all messages of a very common word: small sums, summed again, give the same model."""
+    monkeypatch.setattr(ngram_lm, "SHARD_BYTES", 60_000)
+    docs = documents(spark).select("doc_id", "text").repartition(12, "doc_id")  # so many messages a shard
+    want = sorted(map(tuple, ngram_lm.score_documents(docs, F.col("doc_id") % 7 != 2).collect()))
+    monkeypatch.setattr(ngram_lm, "SUM_PAIRS", 50)
+    got = sorted(map(tuple, ngram_lm.score_documents(docs, F.col("doc_id") % 7 != 2).collect()))
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert [r[5:] for r in got] == [pytest.approx(r[5:], rel=1e-6) for r in want]
+
+
 def test_language_model_of_an_empty_table_and_against_the_base(spark):
     assert ngram_lm.score_documents(empty_docs(spark), F.lit(True)).count() == 0
     scored = ngram_lm.score_documents(documents(spark), F.col("doc_id") % 7 != 2).where("not learnt").agg(F.sum("score"), F.sum("base_score")).first()
